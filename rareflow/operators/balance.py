@@ -12,6 +12,7 @@ from rareflow.functions.hashing import hash_fraction
 from rareflow.operators.profile import class_count_map
 from rareflow.operators.quantiles import approximate_quantiles, exact_quantiles
 from rareflow.schema import LABEL, WEIGHT
+from rareflow.session import small_table
 
 IQR_REACH = 1.5
 
@@ -106,7 +107,9 @@ def drop_positive_outliers(
 ) -> tuple[DataFrame, DataFrame]:
     """The cleaned table, and the fences as rows."""
     fences = iqr_fences(df, columns, label, exact)
-    report = df.sparkSession.createDataFrame(
-        fences, "column string, lower double, upper double, removed bigint, removed_missing bigint"
+    report = small_table(
+        df.sparkSession,
+        fences,
+        "column string, lower double, upper double, removed bigint, removed_missing bigint",
     )
     return drop_outside(df, fences, label), report

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rareflow.functions.columns import col
+from rareflow.session import small_table
 
 # exp(-z*z/2) is zero in double precision beyond this distance
 KERNEL_REACH = 38.7
@@ -41,7 +42,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50, by: Sequenc
             ranges.append((*[row[b] for b in by], c, lo, hi, (hi - lo) / bins, n))
     group_types = [f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by]
     spec = ", ".join([*group_types, "column string, lo double, hi double, width double, total bigint"])
-    table = df.sparkSession.createDataFrame(ranges, spec)
+    table = small_table(df.sparkSession, ranges, spec)
 
     ids = [*by, "column"]
     long = values.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "value").where("value is not null")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from rareflow.functions.columns import col
 from rareflow.operators.quantiles import exact_quantiles
 from rareflow.schema import LABEL
+from rareflow.session import small_table
 
 WHISKER = 1.5
 
@@ -77,12 +78,17 @@ def correlation_rows(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         matrix = Correlation.corr(vectors, "v").first()[0].toArray()
         r = {(a, b): float(matrix[i, j]) for i, a in enumerate(names) for j, b in enumerate(names)}
     rows = [(a, b, None if v is None or v != v else v) for (a, b), v in r.items()]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    return small_table(df.sparkSession, rows, "a string, b string, r double")
 
 
 def _pairwise(numbers: DataFrame, names: list[str]) -> dict[tuple, float | None]:
     pairs = [*combinations(names, 2), *((a, a) for a in names)]
-    row = numbers.agg(*[F.corr(col(a), col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]).first()
+
+    def r(a, b):
+        spread = F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b))
+        return F.try_divide(F.regr_sxy(a, b), spread)
+
+    row = numbers.agg(*[r(col(a), col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]).first()
     return {key: row[i] for i, (a, b) in enumerate(pairs) for key in ((a, b), (b, a))}
 
 
@@ -112,8 +118,10 @@ def _with_fences(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
         reach = WHISKER * (q3 - q1)
         rows.append((group, column, q1, median, q3, q1 - reach, q3 + reach))
     kind = df.schema[by].dataType.simpleString()
-    fences = df.sparkSession.createDataFrame(
-        rows, f"g {kind}, c string, q1 double, median double, q3 double, lower double, upper double"
+    fences = small_table(
+        df.sparkSession,
+        rows,
+        f"g {kind}, c string, q1 double, median double, q3 double, lower double, upper double",
     )
     values = df.select(by, *[col(c).cast("double").alias(c) for c in columns]).unpivot(
         by, [col(c) for c in columns], "column", "value"

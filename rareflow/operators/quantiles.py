@@ -16,15 +16,19 @@ from pyspark.sql import functions as F
 
 from rareflow.functions.columns import col
 from rareflow.operators.running import running_totals
+from rareflow.session import small_table
 
 ACCURACY = 10_000
+SKETCH_SIZE = 4_000
 STEPS = 1_000
+# about three times the sketch's rank error at 99 % confidence, as a share of the values
+SLACK = 0.002
 RANK_TASK_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
 class OrderStatistic:
-    """The value at a rank, and how many values of the group are smaller."""
+    """The value at a rank (from 1), how many values of the group are smaller, and how many there are."""
 
     value: float
     below: int
@@ -35,9 +39,9 @@ class OrderStatistic:
 @dataclass(frozen=True)
 class _Bracket:
     group: object
-    column: str
+    position: int
     name: str
-    rank: int
+    ranks: tuple[int, ...]
     n: int
     lo: float | None = None
     hi: float | None = None
@@ -45,36 +49,41 @@ class _Bracket:
     settled: bool = False
 
 
-_BRACKET_SCHEMA = "b_column string, name string, rank bigint, lo double, hi double"
-
-
 def order_statistics(
     df: DataFrame,
     columns: Sequence[str],
-    ranks: Callable[[int], dict[str, int]],
+    ranks: Callable[[int], dict[str, tuple[int, ...]]],
     by: str | None = None,
     rank_task_rows: int = RANK_TASK_ROWS,
-) -> dict[tuple, OrderStatistic]:
-    """``{(group, column, name): statistic}`` for ``ranks(n) -> {name: rank from 1}``.
+) -> dict[tuple, tuple[OrderStatistic, ...]]:
+    """``{(group, column, name): statistics}`` for ``ranks(n) -> {name: neighbouring ranks}``.
 
     Values are taken as doubles, NULLs are left out and NaN counts as the largest. The groups of
     ``by`` must be few, such as class labels: one driver row is kept for each.
     """
     base = df.select(
-        (col(by) if by else F.lit(0)).alias("g"), *[col(c).cast("double").alias(c) for c in columns]
+        (col(by) if by else F.lit(0)).alias("g"), *[col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)]
     )
     first = base.groupBy("g").agg(
-        *[F.struct(F.count(col(c)).alias("n"), _sketch(f"`{c}`").alias("grid")).alias(c) for c in columns]
+        *[
+            F.struct(
+                F.count(f"_{i}").alias("n"),
+                F.count_if(~F.isnan(f"_{i}")).alias("numbers"),
+                _sketch(f"_{i}").alias("grid"),
+            ).alias(c)
+            for i, c in enumerate(columns)
+        ]
     )
     pending, found = [], {}
     for row in first.collect():
-        for c in columns:
-            n = row[c]["n"]
-            for name, rank in ranks(n).items() if n else ():
-                wanted = _Bracket(row["g"], c, name, min(max(rank, 1), n), n)
-                pending.append(_narrow(wanted, row[c]["grid"], wanted.rank, n))
-
-    values = base.unpivot("g", [col(c) for c in columns], "column", "value").where(F.col("value").isNotNull())
+        for i, c in enumerate(columns):
+            n, numbers, grid = row[c]
+            for name, wanted in ranks(n).items() if n else ():
+                bracket = _Bracket(row["g"], i, name, tuple(min(max(r, 1), n) for r in wanted), n)
+                pending.append(_narrow(bracket, grid, bracket.ranks, numbers) if numbers else _give_up(bracket))
+
+    values = base.select("g", F.posexplode(F.array(*[f"_{i}" for i in range(len(columns))])).alias("position", "value"))
+    values = values.where("value is not null")
     while pending:
         ready = [b for b in pending if b.inside <= rank_task_rows]
         spread = [b for b in pending if b.inside > rank_task_rows and b.settled]
@@ -83,107 +92,107 @@ def order_statistics(
         if ready:
             ranked = _rank_inside(values, ready)
             found.update(ranked)
-            pending += [_give_up(b) for b in ready if (b.group, b.column, b.name) not in ranked]
+            pending += [_give_up(b) for b in ready if b not in ranked]
         if spread:
             found.update(_rank_everywhere(values, spread, rank_task_rows))
-    return found
+    return {(b.group, columns[b.position], b.name): statistics for b, statistics in found.items()}
 
 
 def _sketch(value: str) -> Column:
-    """Approximate values at STEPS + 1 evenly spaced ranks, as SQL text: a thousand literals are one call."""
+    """Approximate values at STEPS + 1 evenly spaced ranks, NULL without numbers. SQL text, as that is one call."""
     shares = ", ".join(f"{i / STEPS}D" for i in range(STEPS + 1))
-    return F.expr(f"percentile_approx({value}, array({shares}), {ACCURACY})")
+    sketch = f"kll_sketch_agg_double({value}, {SKETCH_SIZE})"
+    return F.expr(
+        f"case when count_if(not isnan({value})) > 0 then kll_sketch_get_quantile_double({sketch}, array({shares})) end"
+    )
 
 
-def _narrow(bracket: _Bracket, grid: list[float], rank: int, n: int) -> _Bracket:
-    """Cut the bracket to the sketch's values around ``rank`` of the ``n`` values inside it."""
-    slack = 2.0 / ACCURACY
-    low = math.floor((rank / n - slack) * STEPS) - 1
-    high = math.ceil((rank / n + slack) * STEPS) + 1
-    lo = grid[low] if low > 0 else bracket.lo
+def _narrow(bracket: _Bracket, grid: list[float], ranks: Sequence[int], n: int) -> _Bracket:
+    """Cut the bracket to the sketch's values around the ``ranks`` of the ``n`` numbers inside it."""
+    low = math.floor((min(ranks) / n - SLACK) * STEPS) - 1
+    high = math.ceil((max(ranks) / n + SLACK) * STEPS) + 1
+    lo = grid[min(low, STEPS)] if low > 0 else bracket.lo
     hi = grid[high] if high < STEPS else bracket.hi
-    share = min(1.0, (high - low) / STEPS + 2 * slack)
-    if lo == hi:
+    if lo is not None and lo == hi:
         return replace(bracket, lo=lo, hi=hi, inside=0)
     unchanged = (lo, hi) == (bracket.lo, bracket.hi)
+    share = min(1.0, (high - low) / STEPS + 2 * SLACK)
     return replace(bracket, lo=lo, hi=hi, inside=n if unchanged else n * share, settled=unchanged)
 
 
 def _give_up(bracket: _Bracket) -> _Bracket:
-    """Drop a bracket that cannot be used; the rank is then looked up among all values, in ranges."""
+    """Drop a bracket that cannot be used; the ranks are then looked up among all values, in ranges."""
     return replace(bracket, lo=None, hi=None, inside=math.inf, settled=True)
 
 
 def _bracketed(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
-    """Every value with each bracket of its group and column, and its side: -1 below, 0 inside, 1 above."""
-    spark = values.sparkSession
+    """Every value once per bracket of its group and column: ``id`` and the side, -1 below, 0 inside, 1 above.
+
+    The broadcast table has one row per group, column and wanted quantile.
+    """
     group_type = values.schema["g"].dataType.simpleString()
-    table = spark.createDataFrame(
-        [(b.group, b.column, b.name, b.rank, b.lo, b.hi) for b in brackets], f"b_g {group_type}, {_BRACKET_SCHEMA}"
-    )
-    same = F.col("g").eqNullSafe(F.col("b_g")) & (F.col("column") == F.col("b_column"))
-    return values.join(F.broadcast(table), same).withColumn(
-        "side", F.when(F.col("value") < F.col("lo"), -1).when(F.col("value") > F.col("hi"), 1).otherwise(0)
+    table = small_table(
+        values.sparkSession,
+        [(i, b.group, b.position, b.lo, b.hi) for i, b in enumerate(brackets)],
+        f"id int, b_g {group_type}, b_position int, lo double, hi double",
     )
+    same = F.col("g").eqNullSafe(F.col("b_g")) & (F.col("position") == F.col("b_position"))
+    side = F.when(F.col("value") < F.col("lo"), -1).when(F.col("value") > F.col("hi"), 1).otherwise(0)
+    return values.join(F.broadcast(table), same).select("id", "value", side.alias("side"))
 
 
 def _refine(values: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
-    inside = F.when(F.col("side") == 0, F.col("value"))
+    inside = F.col("side") == 0
     sketched = (
         _bracketed(values, brackets)
-        .groupBy("g", "column", "name")
+        .groupBy("id")
         .agg(
             F.count_if(F.col("side") < 0).alias("below"),
-            F.count(inside).alias("inside"),
+            F.count_if(inside).alias("inside"),
+            F.count_if(inside & ~F.isnan("value")).alias("numbers"),
             _sketch("case when side = 0 then value end").alias("grid"),
         )
     )
-    known = {(r["g"], r["column"], r["name"]): r for r in sketched.collect()}
     narrowed = []
-    for b in brackets:
-        row = known[(b.group, b.column, b.name)]
-        rank = b.rank - row["below"]
-        if 0 < rank <= row["inside"]:
-            narrowed.append(_narrow(b, row["grid"], rank, row["inside"]))
-        else:
-            narrowed.append(_give_up(b))
+    for row in sketched.collect():
+        b = brackets[row["id"]]
+        ranks = [r - row["below"] for r in b.ranks]
+        usable = 0 < min(ranks) and max(ranks) <= row["inside"] and row["numbers"]
+        narrowed.append(_narrow(b, row["grid"], ranks, row["numbers"]) if usable else _give_up(b))
     return narrowed
 
 
-def _rank_inside(values: DataFrame, brackets: list[_Bracket]) -> dict[tuple, OrderStatistic]:
-    inside = F.when(F.col("side") == 0, F.col("value"))
-    counted = (
-        _bracketed(values, brackets)
-        .where(F.col("side") <= 0)
-        .groupBy("g", "column", "name", "rank", inside.alias("value"), "side")
-        .agg(F.count("*").alias("n"))
-    )
-    upto = Window.partitionBy("g", "column", "name").orderBy("side", "value")
-    hits = (
-        counted.withColumn("upto", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-        .where((F.col("side") == 0) & (F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select("g", "column", "name", "value", (F.col("upto") - F.col("n")).alias("below"))
-    )
-    return _statistics(hits, brackets)
+def _rank_inside(values: DataFrame, brackets: list[_Bracket]) -> dict[_Bracket, tuple[OrderStatistic, ...]]:
+    """Count the values below each bracket in one row and those inside per value, then rank the latter."""
+    inside = F.when(F.col("side") == 0, F.col("value")).alias("value")
+    counted = _bracketed(values, brackets).where("side <= 0").groupBy("id", inside).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("id").orderBy(F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0)
+    below = F.sum("n").over(upto) - F.col("n")
+    return _look_up(counted.select("id", "value", "n", below.alias("below")).where("value is not null"), brackets)
 
 
-def _rank_everywhere(values: DataFrame, brackets: list[_Bracket], rank_task_rows: int) -> dict[tuple, OrderStatistic]:
-    counted = (
-        _bracketed(values, [_give_up(b) for b in brackets])
-        .groupBy("g", "column", "name", "rank", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = running_totals(counted, "value", ["n"], ["g", "column", "name"], rank_task_rows)
+def _rank_everywhere(
+    values: DataFrame, brackets: list[_Bracket], rank_task_rows: int
+) -> dict[_Bracket, tuple[OrderStatistic, ...]]:
+    counted = _bracketed(values, [_give_up(b) for b in brackets]).groupBy("id", "value").agg(F.count("*").alias("n"))
+    ranked = running_totals(counted, "value", ["n"], ["id"], rank_task_rows)
     below = F.col("all_n") - F.col("cum_n")
-    hits = ranked.where((below < F.col("rank")) & (below + F.col("n") >= F.col("rank")))
-    return _statistics(hits.select("g", "column", "name", "value", below.alias("below")), brackets)
+    return _look_up(ranked.select("id", "value", "n", below.alias("below")), brackets)
 
 
-def _statistics(hits: DataFrame, brackets: list[_Bracket]) -> dict[tuple, OrderStatistic]:
-    wanted = {(b.group, b.column, b.name): b for b in brackets}
-    rows = {(r["g"], r["column"], r["name"]): r for r in hits.collect()}
+def _look_up(ranked: DataFrame, brackets: list[_Bracket]) -> dict[_Bracket, tuple[OrderStatistic, ...]]:
+    """The statistics of every bracket whose ranks were all met; a few rows per bracket come to the driver."""
+    rows = [(i, r) for i, b in enumerate(brackets) for r in sorted(set(b.ranks))]
+    wanted = small_table(ranked.sparkSession, rows, "id int, rank bigint")
+    met = (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("n"))
+    hits = {
+        (r["id"], r["rank"]): (r["value"], r["below"])
+        for r in ranked.join(F.broadcast(wanted), "id").where(met).collect()
+    }
     return {
-        key: OrderStatistic(row["value"], row["below"], wanted[key].rank, wanted[key].n) for key, row in rows.items()
+        b: tuple(OrderStatistic(*hits[(i, r)], r, b.n) for r in b.ranks)
+        for i, b in enumerate(brackets)
+        if all((i, r) in hits for r in b.ranks)
     }
 
 
@@ -197,22 +206,21 @@ def exact_quantiles(
 ) -> dict[tuple, list[float]]:
     """``{(group, column): [quantile, ...]}``: between neighbours when ``interpolate``, else a value of the column."""
 
-    def places(n: int) -> list[tuple[int, int, float]]:
+    def ranks(n: int) -> dict[str, tuple[int, ...]]:
         if not interpolate:
-            return [(math.ceil(p * n), math.ceil(p * n), 0.0) for p in probabilities]
-        at = [p * (n - 1) for p in probabilities]
-        return [(math.floor(x) + 1, math.ceil(x) + 1, x - math.floor(x)) for x in at]
-
-    def ranks(n: int) -> dict[str, int]:
-        return {f"{i}{end}": r for i, (a, b, _) in enumerate(places(n)) for end, r in (("a", a), ("b", b))}
+            return {f"{p}": (math.ceil(p * n),) for p in probabilities}
+        places = {p: p * (n - 1) for p in probabilities}
+        return {f"{p}": (math.floor(x) + 1, math.ceil(x) + 1) for p, x in places.items()}
 
     found = order_statistics(df, columns, ranks, by, rank_task_rows)
     result = {}
-    for (group, column), n in {(g, c): s.n for (g, c, _), s in found.items()}.items():
+    for group, column in dict.fromkeys((g, c) for g, c, _ in found):
         row = []
-        for i, (_, _, share) in enumerate(places(n)):
-            a, b = (found[(group, column, f"{i}{end}")].value for end in "ab")
-            row.append(a if share == 0.0 or a == b else a + (b - a) * share)
+        for p in probabilities:
+            first, last = (found[(group, column, f"{p}")][i] for i in (0, -1))
+            share = p * (first.n - 1) % 1.0
+            equal = first.value == last.value or first.rank == last.rank
+            row.append(first.value if equal else first.value + (last.value - first.value) * share)
         result[(group, column)] = row
     return result
 
@@ -226,17 +234,18 @@ def quantile_rows(
 ) -> DataFrame:
     """The exact quantiles as rows ``([by], column, p, value)``."""
     found = exact_quantiles(df, columns, probabilities, by, interpolate)
-    lead = [df.schema[by].dataType.simpleString()] if by else []
     rows = [
         (*([group] if by else []), column, float(p), value)
         for (group, column), values in found.items()
         for p, value in zip(probabilities, values)
     ]
-    names = ", ".join([*(f"`{by}` {t}" for t in lead), "column string, p double, value double"])
-    return df.sparkSession.createDataFrame(rows, names)
+    lead = f"`{by}` {df.schema[by].dataType.simpleString()}, " if by else ""
+    return small_table(df.sparkSession, rows, f"{lead}column string, p double, value double")
 
 
-def approximate_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
+def approximate_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = ACCURACY
+) -> DataFrame:
     """``percentile_approx`` of one column, one row with ``q1, q2, ...``: a single pass, rank error at most n/accuracy."""
     return df.selectExpr(
         *[f"percentile_approx(`{column}`, {p}, {accuracy}) as q{i}" for i, p in enumerate(probabilities, 1)]

@@ -53,8 +53,8 @@ def mark_stratified_split(
     which keeps copies out of the other part; the ratio is exact when no such rows meet at the cut.
     """
     keyed = df.select(col(label).alias("c"), h.alias("h"), tie.alias("t"))
-    cuts = order_statistics(keyed, ["h"], lambda n: {"cut": max(1, math.floor(n * ratio))}, "c")
-    last = {group: (int(s.value), math.floor(s.n * ratio) - s.below) for (group, _, _), s in cuts.items()}
+    cuts = order_statistics(keyed, ["h"], lambda n: {"cut": (math.floor(n * ratio),)}, "c")
+    last = {group: (int(s.value), math.floor(s.n * ratio) - s.below) for (group, _, _), (s,) in cuts.items()}
     if not last:
         return df.withColumn(part, F.lit("test"))
 

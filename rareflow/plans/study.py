@@ -35,7 +35,7 @@ from rareflow.operators.profile import (
 from rareflow.operators.split import split_stratified
 from rareflow.operators.thresholds import best_threshold, threshold_sweep
 from rareflow.schema import LABEL
-from rareflow.session import scratch_path
+from rareflow.session import scratch_path, small_table
 from rareflow.sources.models import save_model
 from rareflow.sources.tables import scan_parquet, sink_parquet
 
@@ -123,7 +123,7 @@ def run_study(
     sink_parquet(score_by_models(models, test, [label]), f"{work}/scores")
     scores = scan_parquet(spark, f"{work}/scores")
     tables["scores"] = scores
-    tables["fit_seconds"] = spark.createDataFrame(seconds, "model string, fit_seconds double")
+    tables["fit_seconds"] = small_table(spark, seconds, "model string, fit_seconds double")
     tables["sweep"] = threshold_sweep(scores, label, by=["model"])
     tables["best_threshold"] = best_threshold(tables["sweep"], ["model"])
     points = curve_points(scores, label, by=["model"])

@@ -5,7 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def get_session(app_name: str) -> SparkSession:
@@ -48,3 +53,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder once, so later passes neither recompute nor lose them."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def staged(df: DataFrame, label: str = "stage") -> DataFrame:
+    """The rows as a Parquet table in the shared folder: for tables that several passes read a few columns of."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """Driver rows, such as fences or bin ranges, as a local relation: no job runs and its size is known."""
+    schema = to_arrow_schema(T.StructType.fromDDL(ddl))
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema))

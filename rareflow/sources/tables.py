@@ -20,6 +20,17 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an input with fewer splits than cores out to all cores.
+
+    A small file is one split, so one core would do all the work on it. Large tables have far more
+    splits than the cluster has cores and pass unchanged, without a shuffle. Rows go by the hash of
+    their columns, so a retried task deals them out the same way.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
+
+
 def sink_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, mode="overwrite", header=True)
 

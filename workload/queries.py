@@ -12,10 +12,10 @@ from rareflow.plans.prepare import prepare
 from rareflow.plans.score import score
 from rareflow.plans.study import run_study
 from rareflow.plans.train import train_model
-from rareflow.session import cut_lineage, scratch_path
+from rareflow.session import scratch_path, small_table, staged
 from rareflow.sources import tables as io
 from rareflow.sources.models import load_model, save_model
-from workload.tables import FEATURES, WIDE, emb, ev, features, table, two_scores, txn
+from workload.tables import FEATURES, WIDE, emb, ev, features, stored_txn, table, two_scores, txn
 
 STUMP_FEATURES = ["V1", "V2", "V3"]
 STUMPS = {
@@ -107,8 +107,8 @@ def quartiles(spark, sf):
 
 
 def quartiles_by_class(spark, sf):
-    found = quantiles.quantile_rows(txn(spark, sf), ["Amount", "V1", "Time"], (0.25, 0.5, 0.75, 0.99), by="Class")
-    return rounded(found)
+    rows = stored_txn(spark, sf, "Amount", "V1", "Time", "Class")
+    return rounded(quantiles.quantile_rows(rows, ["Amount", "V1", "Time"], (0.25, 0.5, 0.75, 0.99), by="Class"))
 
 
 def quartiles_approx(spark, sf):
@@ -116,7 +116,8 @@ def quartiles_approx(spark, sf):
 
 
 def corr_matrix(spark, sf):
-    return rounded(profile.correlation_rows(txn(spark, sf), [*FEATURES, "Class"]), 8)
+    columns = [*FEATURES, "Class"]
+    return rounded(profile.correlation_rows(stored_txn(spark, sf, *columns), columns), 8)
 
 
 def corr_wide(spark, sf):
@@ -124,13 +125,14 @@ def corr_wide(spark, sf):
 
 
 def corr_balanced(spark, sf):
-    rows = txn(spark, sf)
+    rows = stored_txn(spark, sf, "h", *FEATURES, "Class")
     matrix = profile.correlation_rows(balance.undersample(rows, F.col("h")), [*FEATURES, "Class"])
     return rounded(matrix, 8)
 
 
 def corr_range(spark, sf):
-    rows, columns = txn(spark, sf), [*FEATURES, "Class"]
+    columns = [*FEATURES, "Class"]
+    rows = stored_txn(spark, sf, "h", *columns)
     before = profile.correlation_rows(rows, columns)
     after = profile.correlation_rows(balance.undersample(rows, F.col("h")), columns)
     return rounded(profile.colour_range(before, after), 8)
@@ -160,7 +162,8 @@ def kde_amount(spark, sf):
 
 
 def boxplot_by_class(spark, sf):
-    return rounded(profile.boxplot_rows(txn(spark, sf), ["Amount", "V1", "Time"]))
+    columns = ["Amount", "V1", "Time"]
+    return rounded(profile.boxplot_rows(stored_txn(spark, sf, *columns, "Class"), columns))
 
 
 def boxplot_events(spark, sf):
@@ -175,7 +178,8 @@ def boxplot_outliers(spark, sf):
 
 
 def split_stratified(spark, sf):
-    marked = split.mark_stratified_split(txn(spark, sf), F.col("h"), F.col("txn_id"))
+    rows = stored_txn(spark, sf, "txn_id", "h", "Class")
+    marked = split.mark_stratified_split(rows, F.col("h"), F.col("txn_id"))
     return marked.select("txn_id", "Class", "part")
 
 
@@ -240,7 +244,7 @@ def class_weights(spark, sf):
 
 
 def scale_features(spark, sf):
-    rows = txn(spark, sf).select("txn_id", *FEATURES)
+    rows = stored_txn(spark, sf, "txn_id", *FEATURES)
     scaled = models.Pipeline(stages=models.scaling_stages(FEATURES)).fit(rows).transform(rows)
     return rounded(scaled.select("txn_id", *[vector_item("features", i).alias(f"z{i}") for i in range(len(FEATURES))]))
 
@@ -253,7 +257,7 @@ def _stump_fit(rows, kind, settings, weighted):
 
 
 def _leaf_counts(spark, sf, kind, settings, weighted=False):
-    rows = txn(spark, sf).select(*STUMP_FEATURES, "Class")
+    rows = stored_txn(spark, sf, *STUMP_FEATURES, "Class")
     scored = models.score_table(_stump_fit(rows, kind, settings, weighted), rows)
     return scored.groupBy("Class", F.round("score", 6).alias("score")).agg(F.count("*").alias("n"))
 
@@ -270,18 +274,15 @@ def fit_lr_prior(spark, sf):
     return _leaf_counts(spark, sf, "lr", {"regParam": 10.0, "elasticNetParam": 1.0})
 
 
-def _fit(spark, sf, kind, settings=None):
-    rows = txn(spark, sf)
-    train, test = split.split_stratified(rows.select("txn_id", "h", *FEATURES, "Class"), F.col("h"), F.col("txn_id"))
-    weighted = models.JOB_WEIGHTED[kind]
-    fitting = balance.with_class_weights(train.select(*FEATURES, "Class"))[0] if weighted else train
-    estimator = models.make_estimator(
-        kind, settings or models.STUDY_SETTINGS[kind], weight="classWeightCol" if weighted else None
-    )
-    fitting = cut_lineage(fitting.select(*FEATURES, "Class", *(["classWeightCol"] if weighted else [])))
+def _fit(spark, sf, kind):
+    """The study's settings and the job's weighting, fitted on the training part and judged on the test part."""
+    rows = stored_txn(spark, sf, "txn_id", "h", *FEATURES, "Class")
+    train, test = split.split_stratified(rows, F.col("h"), F.col("txn_id"))
+    weight = "classWeightCol" if models.JOB_WEIGHTED[kind] else None
+    fitting = balance.with_class_weights(train)[0] if weight else train
+    estimator = models.make_estimator(kind, models.STUDY_SETTINGS[kind], weight=weight)
     model, seconds = models.timed(lambda: models.make_pipeline(FEATURES, estimator).fit(fitting))
-    areas = models.areas_of(model, test.select(*FEATURES, "Class"))
-    return areas.select(F.lit(kind).alias("model"), "*", F.lit(seconds).alias("fit_seconds"))
+    return models.areas_of(model, test).select(F.lit(kind).alias("model"), "*", F.lit(seconds).alias("fit_seconds"))
 
 
 def fit_lr(spark, sf):
@@ -301,18 +302,18 @@ def _tuned_rows(spark, tuned, measures):
         (", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda x: x[0].name)), float(m))
         for params, m in zip(tuned.getEstimatorParamMaps(), measures)
     ]
-    return spark.createDataFrame(rows, "candidate string, auprc double")
+    return small_table(spark, rows, "candidate string, auprc double")
 
 
 def tune_tvs(spark, sf):
-    rows = cut_lineage(balance.with_class_weights(features(spark, sf))[0])
+    rows = balance.with_class_weights(stored_txn(spark, sf, *FEATURES, "Class"))[0]
     estimator = models.make_estimator("lr", weight="classWeightCol")
     tuned = models.tune_by_split(rows, FEATURES, estimator, SMALL_GRIDS["lr"])
     return _tuned_rows(spark, tuned, tuned.validationMetrics)
 
 
 def tune_cv(spark, sf):
-    rows = cut_lineage(balance.undersample(txn(spark, sf), F.col("h")).select("h", *FEATURES, "Class"))
+    rows = staged(balance.undersample(stored_txn(spark, sf, "h", *FEATURES, "Class"), F.col("h")))
     # undersampling keeps the smallest hashes; folds only need them spread modulo 3
     tuned = models.tune_by_folds(rows, FEATURES, models.make_estimator("lr"), SMALL_GRIDS["lr"], h=F.col("h"))
     return _tuned_rows(spark, tuned, tuned.avgMetrics)
@@ -323,7 +324,7 @@ def best_model(spark, sf):
 
 
 def save_load_score(spark, sf):
-    rows = txn(spark, sf).select(*STUMP_FEATURES, "Class")
+    rows = stored_txn(spark, sf, *STUMP_FEATURES, "Class")
     model = _stump_fit(rows, "rf", STUMPS["rf"], weighted=True)
     path = scratch_path(spark, "scoring")
     save_model(model, f"{path}/model")
@@ -332,7 +333,7 @@ def save_load_score(spark, sf):
 
 
 def apply_model(spark, sf):
-    rows = txn(spark, sf).select("txn_id", *STUMP_FEATURES, "Class")
+    rows = stored_txn(spark, sf, "txn_id", *STUMP_FEATURES, "Class")
     model = _stump_fit(rows, "rf", STUMPS["rf"], weighted=True)
     path = scratch_path(spark, "model")
     save_model(model, path)
@@ -398,7 +399,7 @@ def evaluator_areas(spark, sf):
         (name, float(models.make_evaluator(metric, raw="score").evaluate(rows)))
         for name, metric in (("auprc_spark", "areaUnderPR"), ("auroc", "areaUnderROC"))
     ]
-    return rounded(spark.createDataFrame(values, "metric string, value double"))
+    return rounded(small_table(spark, values, "metric string, value double"))
 
 
 def best_f1(spark, sf):
@@ -435,7 +436,8 @@ def prepare_rows(spark, sf):
 
 
 def train_job(spark, sf):
-    train, test = split.split_stratified(txn(spark, sf), F.col("h"), F.col("txn_id"))
+    rows = stored_txn(spark, sf, "txn_id", "h", *FEATURES, "Class")
+    train, test = split.split_stratified(rows, F.col("h"), F.col("txn_id"))
     path = scratch_path(spark, "trained")
     for name, part in (("train", train), ("test", test)):
         io.sink_parquet(part.select(*FEATURES, "Class"), f"{path}/{name}")
@@ -462,7 +464,7 @@ def full_run_job(spark, sf):
 
 def study(spark, sf):
     found = run_study(
-        features(spark, sf),
+        stored_txn(spark, sf, *FEATURES, "Class"),
         scratch_path(spark, "study-models"),
         trim=("Amount", "V1"),
         boxplots=("V1", "V2", "V3", "Amount"),

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rareflow.functions.hashing import md5_hash
-from rareflow.sources.tables import scan_parquet
+from rareflow.session import staged
+from rareflow.sources.tables import scan_parquet, spread
 
 KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 FEATURES = ["Time", "V1", "V2", "V3", "Amount"]
@@ -22,7 +23,8 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     first_day = items.agg(F.min("l_shipdate").alias("t0")).scalar()
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in KEY])
-    rows = items.select(
+    used = spread(items.select(*KEY, "l_shipdate", "l_quantity", "l_discount", "l_tax", "l_extendedprice"))
+    rows = used.select(
         key.alias("txn_id"),
         md5_hash(key).alias("h"),
         F.timestamp_diff("SECOND", first_day, "l_shipdate").cast("double").alias("Time"),
@@ -39,6 +41,11 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_txn(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The transactions as a Parquet table, for operators that pass over them several times."""
+    return staged(txn(spark, sf_dir).select(*columns), "txn")
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transactions in the layout of a raw table: features and label only."""
     return txn(spark, sf_dir).select(*FEATURES, "Class")
@@ -48,7 +55,7 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as skewed amounts; purchases are the positives."""
     events = table(spark, sf_dir, "events")
     first = events.agg(F.min("ts").alias("t0")).scalar()
-    return events.select(
+    return spread(events.select("event_id", "ts", "value", "event_type")).select(
         "event_id",
         (F.timestamp_diff("MICROSECOND", first, "ts") / 1e6).alias("Time"),
         F.col("value").alias("Amount"),
@@ -58,8 +65,7 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """28 embedding dimensions in the shape of the card table."""
-    rows = table(spark, sf_dir, "embeddings")
-    return rows.select(
+    return table(spark, sf_dir, "embeddings").select(
         *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(WIDE)],
         F.when(F.col("label") == 0, 1).otherwise(0).alias("Class"),
     )
