@@ -68,7 +68,7 @@ def order_statistics(
         *[
             F.struct(
                 F.count(f"_{i}").alias("n"),
-                F.count_if(~F.isnan(f"_{i}")).alias("numbers"),
+                F.count(F.nanvl(f"_{i}", F.lit(None).cast("double"))).alias("numbers"),
                 _sketch(f"_{i}").alias("grid"),
             ).alias(c)
             for i, c in enumerate(columns)
@@ -103,7 +103,7 @@ def _sketch(value: str) -> Column:
     shares = ", ".join(f"{i / STEPS}D" for i in range(STEPS + 1))
     sketch = f"kll_sketch_agg_double({value}, {SKETCH_SIZE})"
     return F.expr(
-        f"case when count_if(not isnan({value})) > 0 then kll_sketch_get_quantile_double({sketch}, array({shares})) end"
+        f"case when kll_sketch_get_n_double({sketch}) > 0 then kll_sketch_get_quantile_double({sketch}, array({shares})) end"
     )
 
 
