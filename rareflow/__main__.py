@@ -27,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--seed", type=int, default=42)
         p.add_argument("--schema", default="infer", help="'infer', 'card' or a DDL string; inferring reads the text twice")
         p.add_argument("--split", choices=SPLITS, default="stratified")
+        p.add_argument("--key", nargs="*", help="columns that tell rows apart; all columns where not given")
         p.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
 
     add_prepare_options(jobs.add_parser("prepare"))
@@ -67,6 +68,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
             "seed": a.seed,
             "schema": _schema(a.schema),
             "split": a.split,
+            "key": a.key,
             "source_format": a.input_format,
         }
         if a.job == "prepare":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rareflow.session import cut_lineage
 
 ROWS_PER_TASK = 1_000_000
-MAX_RANGES = 2_000
+MAX_RANGES = 10_000
 
 
 def running_totals(
@@ -53,7 +53,7 @@ def _windows_by_range(rows, key, sums, by, ranges):
         inputCol=key,
         outputCol="_range",
         numBuckets=max(2, ranges),
-        relativeError=max(1e-4, 0.25 / ranges),
+        relativeError=max(2e-5, 0.25 / ranges),
         handleInvalid="keep",  # NaN gets the highest range, as it sorts above all numbers
     )
     ranged = cutter.fit(rows).transform(rows)

@@ -11,6 +11,7 @@ from rareflow.functions.columns import col
 from rareflow.functions.hashing import hash_fraction
 from rareflow.operators.quantiles import order_statistics
 from rareflow.schema import LABEL
+from rareflow.session import staged
 
 
 def split_random(df: DataFrame, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -45,14 +46,20 @@ def mark_stratified_split(
     ratio: float = 0.8,
     label: str = LABEL,
     part: str = "part",
+    stage_keys: bool = False,
 ) -> DataFrame:
     """``train`` for exactly floor(ratio * n) rows of each class, the smallest by (hash, tie); ``test`` for the others.
 
     The rows are not ranked: only the last (hash, tie) of each class's training part is looked up,
     then one narrow pass compares every row with it. Rows equal in both hash and tie stay together,
     which keeps copies out of the other part; the ratio is exact when no such rows meet at the cut.
+
+    The look-up makes three passes over label, hash and tie. ``stage_keys`` writes these to the shared
+    folder once, which pays where the hash covers many columns.
     """
     keyed = df.select(col(label).alias("c"), h.alias("h"), tie.alias("t"))
+    if stage_keys:
+        keyed = staged(keyed, "split-keys")
     cuts = order_statistics(keyed, ["h"], lambda n: {"cut": (math.floor(n * ratio),)}, "c")
     last = {group: (int(s.value), math.floor(s.n * ratio) - s.below) for (group, _, _), (s,) in cuts.items()}
     if not last:
@@ -84,6 +91,6 @@ def parts(marked: DataFrame, part: str = "part") -> tuple[DataFrame, DataFrame]:
 
 
 def split_stratified(
-    df: DataFrame, h: Column, tie: Column, ratio: float = 0.8, label: str = LABEL
+    df: DataFrame, h: Column, tie: Column, ratio: float = 0.8, label: str = LABEL, stage_keys: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    return parts(mark_stratified_split(df, h, tie, ratio, label, "_part"), "_part")
+    return parts(mark_stratified_split(df, h, tie, ratio, label, "_part", stage_keys), "_part")

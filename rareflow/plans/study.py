@@ -86,7 +86,7 @@ def run_study(
     tables = profile(df, amounts, label)
 
     if study_order == "split_first":
-        pool, test = split_stratified(df, h, tie, 0.8, label)
+        pool, test = split_stratified(df, h, tie, 0.8, label, stage_keys=True)
     else:
         pool, test = df, None
     balanced = undersample(pool, sampling, label)
@@ -102,7 +102,7 @@ def run_study(
     work = scratch_path(spark, "study")
     train = trimmed
     if test is None:
-        train, test = split_stratified(trimmed, h, tie, 0.8, label)
+        train, test = split_stratified(trimmed, h, tie, 0.8, label, stage_keys=True)
     for name, part in (("train", train), ("test", test)):
         sink_parquet(part, f"{work}/{name}")
     train, test = (scan_parquet(spark, f"{work}/{name}") for name in ("train", "test"))
