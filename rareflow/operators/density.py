@@ -28,7 +28,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50, by: Sequenc
     """
     by = list(by)
     values = _finite(df, columns, by)
-    stats = [F.struct(F.min(col(c)).alias("lo"), F.max(col(c)).alias("hi"), F.count(col(c)).alias("n")).alias(c) for c in columns]
+    stats = [F.struct(F.min(col(c)), F.max(col(c)), F.count(col(c))).alias(c) for c in columns]
     ranges = []
     for row in values.groupBy(*by).agg(*stats).collect():
         for c in columns:

@@ -54,6 +54,9 @@ def mark_stratified_split(
     then one narrow pass compares every row with it. Rows equal in both hash and tie stay together,
     which keeps copies out of the other part; the ratio is exact when no such rows meet at the cut.
 
+    ``h`` must spread over [0, 2**32): the distinct ties at the one hash of the cut are ranked in one task, some
+    hundreds for 10**12 rows, and copies of a row count as one.
+
     The look-up makes three passes over label, hash and tie. ``stage_keys`` writes these to the shared
     folder once, which pays where the hash covers many columns.
     """

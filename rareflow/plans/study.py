@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -109,16 +110,17 @@ def run_study(
 
     features = feature_columns(df, [label])
     settings = {**STUDY_SETTINGS, **(settings or {})}
-    models, seconds = {}, []
-    for kind in ("lr", "rf", "gbt"):
+
+    def fit(kind: str) -> PipelineModel:
         estimator = make_estimator(kind, settings[kind], label, seed=seed)
-        if kind == "lr":
-            folds_by = row_hash(columns, seed + 2)
-            fit = lambda e=estimator: tune_by_folds(train, features, e, lr_grid or GRIDS["lr"], label, h=folds_by).bestModel
-        else:
-            fit = lambda e=estimator: make_pipeline(features, e).fit(train)
-        models[kind], took = timed(fit)
-        seconds.append((kind, took))
+        if kind != "lr":
+            return make_pipeline(features, estimator).fit(train)
+        h = row_hash(columns, seed + 2)
+        return tune_by_folds(train, features, estimator, lr_grid or GRIDS["lr"], label, h=h, seed=seed).bestModel
+
+    fitted = {kind: timed(partial(fit, kind)) for kind in ("lr", "rf", "gbt")}
+    models = {kind: model for kind, (model, _) in fitted.items()}
+    seconds = [(kind, took) for kind, (_, took) in fitted.items()]
 
     sink_parquet(score_by_models(models, test, [label]), f"{work}/scores")
     scores = scan_parquet(spark, f"{work}/scores")

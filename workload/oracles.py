@@ -162,7 +162,7 @@ UNDER = """f as (select sum("Class")*1e0/sum(1-"Class") as fr from txn),
     under as (select txn.* from txn cross join f where "Class"=1 or h/4294967296e0<fr)"""
 
 
-def _with(*ctes: str) -> str:
+def with_ctes(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
@@ -185,37 +185,37 @@ def oracles() -> dict[str, str]:
               union all (select 'negative', row_number() over (order by r, a), a, round(r,8)
                from cm where b='Class' and a<>'Class')"""
     return {
-        "class_stats": _with(TXN) + 'select "Class", count(*) as n, cast(sum(count(*)) over () as bigint) as total from txn group by 1',
+        "class_stats": with_ctes(TXN) + 'select "Class", count(*) as n, cast(sum(count(*)) over () as bigint) as total from txn group by 1',
         "row_count": "select count(*) as n from lineitem",
         "numeric_cast": """select cast(l_orderkey as double) as l_orderkey, cast(l_linenumber as double) as l_linenumber,
             cast(l_quantity as double) as l_quantity, case when l_returnflag='R' then 1 else 0 end as "Class"
             from lineitem""",
-        "csv_round_trip": _with(TXN) + f'select {plain}, "Class" from txn',
-        "csv_inferred": _with(TXN) + f'select {plain}, "Class" from txn',
+        "csv_round_trip": with_ctes(TXN) + f'select {plain}, "Class" from txn',
+        "csv_inferred": with_ctes(TXN) + f'select {plain}, "Class" from txn',
         "land_once": "select o_orderkey, o_custkey, o_totalprice from orders",
-        "metrics_sink": _with(TXN) + """select cast(sum(1-"Class") as bigint) as negatives,
+        "metrics_sink": with_ctes(TXN) + """select cast(sum(1-"Class") as bigint) as negatives,
             cast(sum("Class") as bigint) as positives from txn""",
-        "distinct_rows": _with(TXN, distinct) + "select * from d",
-        "log_amount": _with(TXN) + """select txn_id, round(case when V2>0 then ln(V2) end,6) as log_v2,
+        "distinct_rows": with_ctes(TXN, distinct) + "select * from d",
+        "log_amount": with_ctes(TXN) + """select txn_id, round(case when V2>0 then ln(V2) end,6) as log_v2,
             case when V2>0 then 0 else 1 end as non_positive from txn""",
-        "describe_typed": _with(TXN) + described,
-        "quartiles": _with(EV, 'pos as (select * from ev where "Class"=1)')
+        "describe_typed": with_ctes(TXN) + described,
+        "quartiles": with_ctes(EV, 'pos as (select * from ev where "Class"=1)')
         + quantiles("pos", ["Amount", "Time"], (0.25, 0.75), "quantile_disc", False),
-        "quartiles_by_class": _with(TXN)
+        "quartiles_by_class": with_ctes(TXN)
         + quantiles("txn", ["Amount", "V1", "Time"], (0.25, 0.5, 0.75, 0.99), "quantile_cont", True),
-        "quartiles_approx": _with(EV) + """select round(quantile_disc("Amount",0.25),6) as q1,
+        "quartiles_approx": with_ctes(EV) + """select round(quantile_disc("Amount",0.25),6) as q1,
             round(quantile_disc("Amount",0.75),6) as q2 from ev where "Class"=1""",
-        "corr_matrix": _with(TXN, corr_matrix("txn", corr_columns)) + "select a, b, round(r,8) as r from cm",
-        "corr_wide": _with(EMB, corr_matrix("emb", [*WIDE, "Class"])) + "select a, b, round(r,8) as r from cm",
-        "corr_balanced": _with(TXN, UNDER, corr_matrix("under", corr_columns)) + "select a, b, round(r,8) as r from cm",
-        "corr_range": _with(TXN, UNDER, f"every as ({corr_rows('txn', corr_columns)} union all {corr_rows('under', corr_columns)})")
+        "corr_matrix": with_ctes(TXN, corr_matrix("txn", corr_columns)) + "select a, b, round(r,8) as r from cm",
+        "corr_wide": with_ctes(EMB, corr_matrix("emb", [*WIDE, "Class"])) + "select a, b, round(r,8) as r from cm",
+        "corr_balanced": with_ctes(TXN, UNDER, corr_matrix("under", corr_columns)) + "select a, b, round(r,8) as r from cm",
+        "corr_range": with_ctes(TXN, UNDER, f"every as ({corr_rows('txn', corr_columns)} union all {corr_rows('under', corr_columns)})")
         + "select round(min(r),8) as vmin, round(max(r),8) as vmax from every",
-        "top_corr": _with(EMB, corr_matrix("emb", [*WIDE, "Class"]))
+        "top_corr": with_ctes(EMB, corr_matrix("emb", [*WIDE, "Class"]))
         + f'select side, cast(place as int) as place, "column", r from ({tops}) q where place<=5',
-        "histogram": _with(TXN) .rstrip() + ",\n" + histogram("txn", ["Amount", "Time"]).format(digits=12),
-        "histogram_log": _with(TXN, log_txn).rstrip() + ",\n" + histogram("logs", ["log_amount"]).format(digits=6),
-        "score_density": _with(TXN, scores).rstrip() + ",\n" + histogram("x", ["score"], ("model", '"Class"')).format(digits=6),
-        "kde_amount": _with(
+        "histogram": with_ctes(TXN).rstrip() + ",\n" + histogram("txn", ["Amount", "Time"]).format(digits=12),
+        "histogram_log": with_ctes(TXN, log_txn).rstrip() + ",\n" + histogram("logs", ["log_amount"]).format(digits=6),
+        "score_density": with_ctes(TXN, scores).rstrip() + ",\n" + histogram("x", ["score"], ("model", '"Class"')).format(digits=6),
+        "kde_amount": with_ctes(
             TXN,
             """s as (select *, sd*power(n,-0.2e0) as bw from (select count(*) as n, stddev_samp("Amount") as sd,
                  min("Amount") as lo, max("Amount") as hi from txn) q)""",
@@ -224,85 +224,86 @@ def oracles() -> dict[str, str]:
                  /(max(n)*max(bw)*sqrt(2*pi())) as d from txn cross join g group by i, x)""",
         )
         + """select cast(i as int) as i, round(x,4) as x, round(d*1e6,6) as density, round(d*n*span/50,3) as expected from k""",
-        "boxplot_by_class": _with(TXN, boxplot("txn", ["Amount", "V1", "Time"]))
+        "boxplot_by_class": with_ctes(TXN, boxplot("txn", ["Amount", "V1", "Time"]))
         + """select "Class", col as "column", round(q1,6) as q1, round(q2,6) as median, round(q3,6) as q3,
              round(least(min(case when ok then v end),q1),6) as whisker_low,
              round(greatest(max(case when ok then v end),q3),6) as whisker_high,
              count(*) as n, count(*) filter (where not ok) as outliers from f group by "Class", col, q1, q2, q3""",
-        "boxplot_events": _with(EV, boxplot("ev", ["Amount"]))
+        "boxplot_events": with_ctes(EV, boxplot("ev", ["Amount"]))
         + """select "Class", col as "column", round(q1,6) as q1, round(q2,6) as median, round(q3,6) as q3,
              round(least(min(case when ok then v end),q1),6) as whisker_low,
              round(greatest(max(case when ok then v end),q3),6) as whisker_high,
              count(*) as n, count(*) filter (where not ok) as outliers from f group by "Class", col, q1, q2, q3""",
-        "boxplot_outliers": _with(EV, boxplot("ev", ["Amount"]))
+        "boxplot_outliers": with_ctes(EV, boxplot("ev", ["Amount"]))
         + 'select "Class", col as "column", round(v,6) as value from f where not ok',
-        "split_stratified": _with(TXN, SPLIT) + 'select txn_id, "Class", part from parts',
-        "split_hash": _with(TXN)
+        "split_stratified": with_ctes(TXN, SPLIT) + 'select txn_id, "Class", part from parts',
+        "split_hash": with_ctes(TXN)
         + """select txn_id, "Class", case when h/4294967296e0<0.8e0 then 'train' else 'test' end as part from txn""",
-        "sample_hash": _with(TXN) + 'select txn_id, "Class" from txn where h/4294967296e0<0.1e0',
-        "undersample": _with(TXN, UNDER) + 'select txn_id, "Class" from under',
-        "union_all": _with(TXN, """u as (select txn_id, "Class" from txn where "Class"=1 union all select txn_id, "Class" from txn)""")
+        "split_random": with_ctes(TXN) + 'select "Class", count(*) as n, count(distinct txn_id) as n_ids from txn group by 1',
+        "sample_hash": with_ctes(TXN) + 'select txn_id, "Class" from txn where h/4294967296e0<0.1e0',
+        "undersample": with_ctes(TXN, UNDER) + 'select txn_id, "Class" from under',
+        "union_all": with_ctes(TXN, """u as (select txn_id, "Class" from txn where "Class"=1 union all select txn_id, "Class" from txn)""")
         + 'select "Class", count(*) as n, count(distinct txn_id) as n_ids from u group by 1',
-        "iqr_outliers": _with(EV, iqr("Amount", "ev", "one"), iqr("Time", "one", "two"))
+        "iqr_outliers": with_ctes(EV, iqr("Amount", "ev", "one"), iqr("Time", "one", "two"))
         + 'select event_id, round("Amount",6) as "Amount", "Class" from two',
-        "iqr_fences": _with(EV, iqr("Amount", "ev", "one"), iqr("Time", "one", "two"))
+        "iqr_fences": with_ctes(EV, iqr("Amount", "ev", "one"), iqr("Time", "one", "two"))
         + """select "column", round(lower,6) as lower, round(upper,6) as upper, removed, cast(0 as bigint) as removed_missing
              from (select * from one_r union all select * from two_r) q""",
-        "class_weights": _with(TXN, """n as (select count(*) as n, sum("Class") as p from txn)""",
+        "class_weights": with_ctes(TXN, """n as (select count(*) as n, sum("Class") as p from txn)""",
             """w as (select "Class", case when "Class"=1 then (n-p)*1e0/n else 1-(n-p)*1e0/n end as weight from txn cross join n)""")
         + 'select "Class", count(*) as n, round(min(weight),6) as weight, round(sum(weight),6) as total from w group by 1',
-        "scale_features": _with(TXN, "sd as (select " + ", ".join(f'stddev_samp("{c}") as s{i}' for i, c in enumerate(FEATURES)) + " from txn)")
+        "scale_features": with_ctes(TXN, "sd as (select " + ", ".join(f'stddev_samp("{c}") as s{i}' for i, c in enumerate(FEATURES)) + " from txn)")
         + "select txn_id, " + ", ".join(f'round("{c}"/s{i},6) as z{i}' for i, c in enumerate(FEATURES)) + " from txn cross join sd",
-        "fit_rf_stump": _with(TXN, stump(True)) + 'select "Class", round(rate,6) as score, count(*) as n from leaf group by 1, 2',
-        "fit_gbt_stump": _with(TXN, stump(False))
+        "fit_rf_stump": with_ctes(TXN, stump(True)) + 'select "Class", round(rate,6) as score, count(*) as n from leaf group by 1, 2',
+        "fit_gbt_stump": with_ctes(TXN, stump(False))
         + 'select "Class", round(1/(1+exp(-2*(2*rate-1))),6) as score, count(*) as n from leaf group by 1, 2',
-        "fit_lr_prior": _with(TXN)
+        "fit_lr_prior": with_ctes(TXN)
         + """select "Class", round((select sum("Class")*1e0/count(*) from txn),6) as score, count(*) as n from txn group by 1""",
-        "best_model": _with(TXN, SCORES, curve_ctes("x", "score", "model", "y"))
+        "best_model": with_ctes(TXN, SCORES, curve_ctes("x", "score", "model", "y"))
         + "select model, round(auprc_spark,6) as auprc_spark from areas order by areas.auprc_spark desc, model limit 1",
-        "save_load_score": _with(TXN, stump(True), 'predicted as (select "Class", case when rate>=0.5e0 then 1 else 0 end as pred from leaf)', CELLS)
+        "save_load_score": with_ctes(TXN, stump(True), 'predicted as (select "Class", case when rate>=0.5e0 then 1 else 0 end as pred from leaf)', CELLS)
         + f"select {RATE_COLUMNS}, tp, fp, fn, tn from mr",
-        "apply_model": _with(TXN, stump(True))
+        "apply_model": with_ctes(TXN, stump(True))
         + """select txn_id, round(rate,6) as score, case when rate>0.5e0 then 1e0 else 0e0 end as prediction,
              case when rate>=0.5e0 then 1e0 else 0e0 end as prediction_thresh from leaf""",
-        "threshold_predict": _with(TXN) + "select txn_id, case when score>=0.5e0 then 1e0 else 0e0 end as prediction_thresh from txn",
-        "threshold_metrics": _with(TXN, predicted, CELLS) + f"select tp, fp, fn, tn, {RATE_COLUMNS} from mr",
-        "confusion_matrix": _with(TXN, predicted, CELLS) + CELL_ROWS,
-        "threshold_sweep": _with(TXN, sweep_ctes("txn")) + f"select {SWEEP_COLUMNS} from sw",
-        "sweep_by_model": _with(TXN, scores, sweep_ctes("x", "model")) + f"select model, {SWEEP_COLUMNS} from sw",
-        "best_threshold": _with(TXN, sweep_ctes("txn")) + f"select {SWEEP_COLUMNS} from sw order by f0 desc, sw.threshold limit 1",
-        "best_threshold_predict": _with(TXN, sweep_ctes("txn"), "bt as (select threshold from sw order by f0 desc, threshold limit 1)")
+        "threshold_predict": with_ctes(TXN) + "select txn_id, case when score>=0.5e0 then 1e0 else 0e0 end as prediction_thresh from txn",
+        "threshold_metrics": with_ctes(TXN, predicted, CELLS) + f"select tp, fp, fn, tn, {RATE_COLUMNS} from mr",
+        "confusion_matrix": with_ctes(TXN, predicted, CELLS) + CELL_ROWS,
+        "threshold_sweep": with_ctes(TXN, sweep_ctes("txn")) + f"select {SWEEP_COLUMNS} from sw",
+        "sweep_by_model": with_ctes(TXN, scores, sweep_ctes("x", "model")) + f"select model, {SWEEP_COLUMNS} from sw",
+        "best_threshold": with_ctes(TXN, sweep_ctes("txn")) + f"select {SWEEP_COLUMNS} from sw order by f0 desc, sw.threshold limit 1",
+        "best_threshold_predict": with_ctes(TXN, sweep_ctes("txn"), "bt as (select threshold from sw order by f0 desc, threshold limit 1)")
         + "select txn_id, case when score>=threshold then 1e0 else 0e0 end as prediction_best_f1 from txn cross join bt",
-        "pr_curve": _with(TXN, curve_ctes("txn"))
+        "pr_curve": with_ctes(TXN, curve_ctes("txn"))
         + """select round(score,6) as threshold, round(prec,6) as "precision", round(rec,6) as recall from r
              union all select null, 1e0, 0e0""",
-        "roc_curve": _with(TXN, curve_ctes("txn"))
+        "roc_curve": with_ctes(TXN, curve_ctes("txn"))
         + """select round(score,6) as threshold, round(fpr,6) as fpr, round(rec,6) as tpr from r
              union all select null, 0e0, 0e0""",
-        "curve_points_amount": _with(TXN, curve_ctes("txn", '"Amount"'))
+        "curve_points_amount": with_ctes(TXN, curve_ctes("txn", '"Amount"'))
         + """select round(score,6) as score, cast(tp as bigint) as tp, cast(fp as bigint) as fp, cast(p-tp as bigint) as fn,
              cast(n-fp as bigint) as tn, round(prec,6) as "precision", round(rec,6) as recall, round(fpr,6) as fpr,
              round(f1,6) as f1 from r""",
-        "curve_areas": _with(TXN, curve_ctes("txn"))
+        "curve_areas": with_ctes(TXN, curve_ctes("txn"))
         + """select round(auroc,6) as auroc, round(auprc_spark,6) as auprc_spark, round(auprc_one,6) as auprc_one,
              n_thresholds from areas""",
-        "evaluator_areas": _with(TXN, curve_ctes("txn"))
+        "evaluator_areas": with_ctes(TXN, curve_ctes("txn"))
         + """select 'auprc_spark' as metric, round(auprc_spark,6) as value from areas
              union all select 'auroc', round(auroc,6) from areas""",
-        "best_f1": _with(TXN, curve_ctes("txn")) + f"select {bests} from best where place=1",
-        "compare_scores": _with(TXN, SCORES, curve_ctes("x", "score", "model", "y"))
+        "best_f1": with_ctes(TXN, curve_ctes("txn")) + f"select {bests} from best where place=1",
+        "compare_scores": with_ctes(TXN, SCORES, curve_ctes("x", "score", "model", "y"))
         + f"""select b.model, round(auroc,6) as auroc, round(auprc_spark,6) as auprc_spark, round(auprc_one,6) as auprc_one,
               n_thresholds, {bests} from best b join areas a on a.model=b.model where place=1""",
-        "compare_confusion": _with(TXN, SCORES, curve_ctes("x", "score", "model", "y"),
+        "compare_confusion": with_ctes(TXN, SCORES, curve_ctes("x", "score", "model", "y"),
             """b as (select model, cast(tp as bigint) as tp, cast(fp as bigint) as fp, cast(p-tp as bigint) as fn,
                      cast(n-fp as bigint) as tn from best where place=1)""")
         + """select model, 0 as "Class", 0 as pred, tn as n from b union all select model, 0, 1, fp from b
              union all select model, 1, 0, fn from b union all select model, 1, 1, tp from b""",
-        "prepare_job": _with(TXN, distinct, """st as (
+        "prepare_job": with_ctes(TXN, distinct, """st as (
               select 'rows_in' as stage, "Class", count(*) as n from txn group by 2
               union all select 'rows_dedup', "Class", count(*) from d group by 2
               union all select 'train', "Class", cast(floor(count(*)*0.8e0) as bigint) from d group by 2
               union all select 'test', "Class", count(*)-cast(floor(count(*)*0.8e0) as bigint) from d group by 2)""")
         + 'select stage, "Class", n from st',
-        "prepare_rows": _with(TXN, distinct) + "select * from d",
+        "prepare_rows": with_ctes(TXN, distinct) + "select * from d",
     }

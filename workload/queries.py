@@ -23,7 +23,7 @@ STUMPS = {
     "gbt": {"maxIter": 1, "maxDepth": 1, "maxBins": 64},
 }
 SMALL_GRIDS = {
-    "lr": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
+    "lr": {"regParam": [0.01], "elasticNetParam": [0.0, 0.5]},
     "rf": {"maxDepth": [4, 6], "numTrees": [10]},
     "gbt": {"maxIter": [5, 10], "maxDepth": [4]},
 }
@@ -187,13 +187,11 @@ def split_hash(spark, sf):
     return split.mark_hash_split(txn(spark, sf), 0.8, F.col("h")).select("txn_id", "Class", "part")
 
 
-def _part_counts(train, test):
-    marked = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return marked.groupBy("part", "Class").agg(F.count("*").alias("n"))
-
-
 def split_random(spark, sf):
-    return _part_counts(*split.split_random(features(spark, sf)))
+    """Which rows go where depends on the partitioning, but together the parts are the input, each row once."""
+    train, test = split.split_random(txn(spark, sf).select("txn_id", "Class"))
+    both = balance.union_all(train, test).groupBy("Class")
+    return both.agg(F.count("*").alias("n"), F.countDistinct("txn_id").alias("n_ids"))
 
 
 def sample_fraction(spark, sf):
@@ -308,14 +306,14 @@ def _tuned_rows(spark, tuned, measures):
 def tune_tvs(spark, sf):
     rows = balance.with_class_weights(stored_txn(spark, sf, *FEATURES, "Class"))[0]
     estimator = models.make_estimator("lr", weight="classWeightCol")
-    tuned = models.tune_by_split(rows, FEATURES, estimator, SMALL_GRIDS["lr"])
+    tuned = models.tune_by_split(rows, FEATURES, estimator, models.GRIDS["lr"])
     return _tuned_rows(spark, tuned, tuned.validationMetrics)
 
 
 def tune_cv(spark, sf):
     rows = staged(balance.undersample(stored_txn(spark, sf, "h", *FEATURES, "Class"), F.col("h")))
     # undersampling keeps the smallest hashes; folds only need them spread modulo 3
-    tuned = models.tune_by_folds(rows, FEATURES, models.make_estimator("lr"), SMALL_GRIDS["lr"], h=F.col("h"))
+    tuned = models.tune_by_folds(rows, FEATURES, models.make_estimator("lr"), models.GRIDS["lr"], h=F.col("h"))
     return _tuned_rows(spark, tuned, tuned.avgMetrics)
 
 
@@ -468,5 +466,6 @@ def study(spark, sf):
         scratch_path(spark, "study-models"),
         trim=("Amount", "V1"),
         boxplots=("V1", "V2", "V3", "Amount"),
+        lr_grid=SMALL_GRIDS["lr"],
     )
     return found.tables["comparison"].join(found.tables["fit_seconds"], "model")
