@@ -67,7 +67,8 @@ from v join least_ on n = vec_id left join links on a = vec_id
 
 
 def _op2() -> str:
-    topic = " ".join(f"when regexp_matches(lower(coalesce(text, '')), '{p}') then '{t}'" for t, p in mixing.TOPICS)
+    held = [(t, " or ".join(f"contains(lower(coalesce(text, '')), '{m}')" for m in marks)) for t, marks in mixing.TOPICS]
+    topic = " ".join(f"when {h} then '{t}'" for t, h in held)
     steps, last = [], "w0"
     dims = ("source", "lang", "topic")
     for k in range(mixing.ROUNDS):

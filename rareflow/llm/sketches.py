@@ -16,10 +16,14 @@ LEAST = 64
 ALL_HASHES = 2**63 - 1
 
 
-def shingle_hashes(text: Column, words: int = SHINGLE_WORDS) -> Column:
-    """Distinct hashes of the text's word shingles; a shorter text is one shingle, one without words has none."""
+def word_hashes(text: Column) -> Column:
+    """Hashes of the words between white space."""
     parts = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    named = F.transform(parts, lambda w: F.xxhash64(w))
+    return F.transform(parts, lambda w: F.xxhash64(w))
+
+
+def shingle_hashes(named: str, words: int = SHINGLE_WORDS) -> Column:
+    """Distinct hashes of the shingles over a column of word hashes; fewer words are one shingle, no word has none."""
     starts = F.sequence(F.lit(0), F.greatest(F.size(named) - words, F.lit(0)))
     # missing words beyond the end of a short text are null, which the hash leaves out
     each = F.transform(starts, lambda i: F.xxhash64(*[F.get(named, i + k) for k in range(words)]))
@@ -38,7 +42,9 @@ def with_sketch(
     bound = -(2**63) + int(fraction * 2**64) - 1
     rest = [F.col(f"`{c}`") for c in df.columns]
     every, below, lowest = f"{name}_every", f"{name}_below", f"{name}_lowest"
-    df = df.select(*rest, shingle_hashes(F.col(text), words).alias(every))
+    # a column for each step: within a lambda an expression would be computed for each element
+    df = df.select(*rest, word_hashes(F.col(text)).alias(every))
+    df = df.select(*rest, shingle_hashes(every, words).alias(every))
     df = df.select(*rest, every, F.array_sort(F.filter(every, lambda h: h <= bound)).alias(below))
     df = df.select(*rest, F.size(every).alias(every), below, F.when(F.size(below) < least, F.slice(F.array_sort(every), 1, least)).alias(lowest))
     small = F.struct(
