@@ -16,10 +16,12 @@ from rareflow.llm.common import free_name, text_of
 HASH_BITS = 20
 #: Distances between the two words of a pair: 1 is a bigram, more are skip-grams.
 GAPS = (1, 2, 3)
+#: Bytes of a word's beginning that are features of their own, so that endings and compounds share what is learnt of a stem.
+STEMS = (2, 4, 6, 8)
 #: Labelled documents that the model learns from at most, chosen by a hash of doc_id.
 LEARN_ROWS = 16_384
 #: FTRL-proximal: step size and its offset, L1 and L2 strength, passes over the rows.
-ALPHA, BETA, L1, L2, PASSES = 0.1, 1.0, 1.0, 1.0, 4
+ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 16.0, 1.0, 10
 THRESHOLD = 0.3
 
 _RANDOM = np.random.default_rng(11)
@@ -33,7 +35,7 @@ _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
 def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For ranges of texts: number of the text and bucket of every word, bigram and skip-gram, repeats included."""
+    """For ranges of texts: number of the text and bucket of every word, stem, bigram and skip-gram, repeats included."""
     raws = [t.encode("utf-8", "surrogatepass") for t in texts]
     at = 0
     while at < len(raws):
@@ -61,6 +63,10 @@ def _features(raws, first):
     name ^= name >> np.uint64(32)
     text = np.searchsorted(np.cumsum(sizes), start, side="right") + first
     numbers, names = [text], [name * _PLACE[0]]
+    for stem in STEMS:
+        begun = np.add.reduceat(np.where(place < stem, value, np.uint64(0)), start)
+        numbers.append(text)
+        names.append(((begun ^ (begun >> np.uint64(32))) * _PLACE[1] + np.uint64(stem)) * _PLACE[2])
     for gap in GAPS:
         if len(name) > gap:
             together = text[gap:] == text[:-gap]
