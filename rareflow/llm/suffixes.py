@@ -20,7 +20,7 @@ FIRST = 16
 #: Positions that one task groups at a time.
 GROUP_POSITIONS = 1_000_000
 #: Bytes that are ranked at a time, so that the arrays stay in a core's cache.
-SLICE = 1 << 18
+SLICE = 1 << 17
 
 _RANDOM = np.random.default_rng(42)
 _BYTE_RANK = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
@@ -47,7 +47,7 @@ def ranks(codes: np.ndarray, length: int) -> np.ndarray:
 
 def _lowest(rank: np.ndarray, width: int) -> np.ndarray:
     """Place of the leftmost smallest rank among the ``width`` from each place on."""
-    place, known = np.arange(len(rank), dtype=np.int64), 1
+    place, known = np.arange(len(rank), dtype=np.int32), 1
     while known < width:
         more = min(known, width - known)
         left, right = rank[: len(rank) - more], rank[more:]
@@ -157,7 +157,13 @@ def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 
 def _dealt(bucket: np.ndarray, number: np.ndarray, ids, marks, blobs):
     """For each bucket: its documents, how many entries each has, and the entries' values."""
-    order = np.lexsort((number, bucket))
+    bits = np.uint64(max(1, int(len(ids)).bit_length()))
+    at = np.arange(len(bucket), dtype=np.uint64)
+    low = np.uint64(max(1, len(bucket).bit_length()))
+    key = (bucket.astype(np.uint64) << bits) | number.astype(np.uint64)
+    order = np.argsort(key, kind="stable") if int(key.max(initial=0)).bit_length() + int(low) > 64 else None
+    if order is None:
+        order = (np.sort((key << low) | at) & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
     bucket, number = bucket[order], number[order]
     values, sizes = _runs(bucket)
     at = 0
@@ -182,10 +188,10 @@ def _first_ranks(length: int, first: int, buckets: int):
                 continue
             ids, marks = (batch.column(c).to_numpy() for c in ("id", "mark"))
             _, number, name, _, _ = _samples(codes, offsets, length, first)
-            order = np.lexsort((number, name))
-            number, name = number[order], name[order]
-            fresh = _starts(name) | _starts(number)
-            number, name = number[fresh], name[fresh]
+            # 48 bits of rank and 16 of document: the sort of plain numbers is far faster than that of places
+            both = np.sort((name << np.uint64(16)) | (number % 65536).astype(np.uint64))
+            both = both[_starts(both)]
+            number, name = (both & np.uint64(65535)).astype(np.int64), both >> np.uint64(16)
             known = _place_in_run(_starts(name)) >= 2
             rows = []
             for flag in (False, True):
@@ -239,9 +245,20 @@ def _shared_ranks(table: pa.Table) -> pa.Table:
 def _contexts(codes, place, lo, hi, length, first):
     """For each place the bytes of its windows, zero outside of them; equal ones have equal windows."""
     reach = length - first
-    at = place[:, None] - reach + np.arange(2 * reach + first)
-    inside = (at >= lo[:, None]) & (at < hi[:, None] + length)
-    return np.where(inside, codes[np.clip(at, 0, len(codes) - 1)], 0).astype(np.uint8)
+    width = 2 * reach + first
+    padded = np.pad(codes, (reach, width))
+    context = np.lib.stride_tricks.sliding_window_view(padded, width)[place].copy()
+    column = np.arange(width, dtype=np.int16)
+    context[column < (lo - place + reach).astype(np.int16)[:, None]] = 0
+    context[column >= (hi - place + reach + length).astype(np.int16)[:, None]] = 0
+    return context
+
+
+def _as_words(context: np.ndarray) -> np.ndarray:
+    """The rows' bytes as 64-bit words, filled up with zeros."""
+    wide = np.zeros((len(context), -(-context.shape[1] // 8) * 8), dtype=np.uint8)
+    wide[:, : context.shape[1]] = context
+    return wide.view("<u8")
 
 
 def _all_bits(first_bit, last_bit):
@@ -307,12 +324,14 @@ def _second_ranks(length: int, first: int, buckets: int):
 
 def _known_copies(context: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """True for rows whose bytes a row with a smaller id has too."""
-    name = ranks(context, context.shape[1])[:, 0]
+    words = _as_words(context)
+    name = np.zeros(len(words), dtype=np.uint64)
+    for k in range(words.shape[1]):
+        name = (name ^ (name >> np.uint64(29))) * _STEPS[k] + words[:, k] * _STEPS[k + 32]
     order = np.lexsort((ids, name))
-    head = _starts(name[order])
-    leader = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+    leader = order[np.maximum.accumulate(np.where(_starts(name[order]), np.arange(len(order)), 0))]
     copy = np.zeros(len(name), dtype=bool)
-    copy[order] = (ids[leader] < ids[order]) & (context[leader] == context[order]).all(axis=1)
+    copy[order] = (ids[leader] < ids[order]) & (words[leader] == words[order]).all(axis=1)
     return copy
 
 
@@ -331,13 +350,14 @@ def _repeats(length: int, first: int):
             lo, hi = (np.frombuffer(joined[c], dtype=np.uint8) for c in ("froms", "tos"))
             context = np.frombuffer(joined["contexts"], dtype=np.uint8).reshape(len(places), -1)
             anchor = ranks(context[:, reach : reach + first], first)[:, 0]
-            order = np.argsort(anchor, kind="stable")
+            order = np.lexsort((ids, anchor))
             bits = np.zeros(len(places), dtype=np.uint64)
             head = np.append(np.flatnonzero(_starts(anchor[order])), len(order))
             at = 0
             while at < len(head) - 1:
                 to = max(at + 1, int(np.searchsorted(head, head[at] + 50_000, side="right")) - 1)
-                mine = order[head[at] : head[to]]
+                mine = np.sort(order[head[at] : head[to]])
+                mine = mine[np.argsort(ids[mine], kind="stable")]
                 bits[mine] = _repeated_windows(context[mine], lo[mine], hi[mine], ids[mine], length, width)
                 at = to
             hit = bits != 0
@@ -353,33 +373,38 @@ def _repeats(length: int, first: int):
 
 
 def _repeated_windows(context, lo, hi, ids, length, width):
-    """Bit j of a row: its window at j is also a window of a row with a smaller id."""
+    """Bit j of a row: its window at j is also a window of a row with a smaller id; ``ids`` must ascend."""
     name = ranks(context, length)
-    row, column = np.nonzero((np.arange(width) >= lo[:, None]) & (np.arange(width) <= hi[:, None]))
+    columns = np.arange(width)
+    row, column = np.nonzero((columns >= lo[:, None]) & (columns <= hi[:, None]))
     name, owner = name[row, column], ids[row]
-    order = np.lexsort((owner, name))
-    leader = order[np.maximum.accumulate(np.where(_starts(name[order]), np.arange(len(order)), 0))]
-    if not _same_bytes(context, row, column, leader, order, length):  # two strings with one 64-bit rank
-        strings = np.stack([context[r, c : c + length] for r, c in zip(row, column)])
+    n = len(name)
+    low = np.uint64((1 << max(1, n.bit_length())) - 1)
+    # rows ascend by id, so the first place of a rank is that of its smallest id
+    packed = np.sort((name & ~low) | np.arange(n, dtype=np.uint64))
+    order = (packed & low).astype(np.int64)
+    head = np.concatenate([[True], (packed[1:] ^ packed[:-1]) > low]) if n else np.zeros(0, dtype=bool)
+    leader = order[np.maximum.accumulate(np.where(head, np.arange(n), 0))]
+    if not _same_bytes(context, row, column, leader, order, length):  # two strings with one shortened rank
+        strings = np.lib.stride_tricks.sliding_window_view(context, length, axis=1)[row, column]
         _, name = np.unique(strings, axis=0, return_inverse=True)
-        order = np.lexsort((owner, name.reshape(-1)))
-        leader = order[np.maximum.accumulate(np.where(_starts(name.reshape(-1)[order]), np.arange(len(order)), 0))]
-    repeated = owner[leader] < owner[order]
-    bits = np.zeros(len(context), dtype=np.uint64)
-    hit = order[repeated]
-    np.bitwise_or.at(bits, row[hit], np.uint64(1) << column[hit].astype(np.uint64))
-    return bits
+        order = np.argsort(name.reshape(-1), kind="stable")
+        leader = order[np.maximum.accumulate(np.where(_starts(name.reshape(-1)[order]), np.arange(n), 0))]
+    hit = order[owner[leader] < owner[order]]
+    on = np.zeros((len(context), 64), dtype=bool)
+    on[row[hit], column[hit]] = True
+    return np.packbits(on, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
 def _same_bytes(context, row, column, leader, order, length):
+    """Whether every window has the bytes of its leader, compared as 64-bit words at any byte."""
     other = np.flatnonzero(leader != order)
-    for a in range(0, len(other), 100_000):
-        at = other[a : a + 100_000]
-        x, y = leader[at], order[at]
-        reach = np.arange(length)
-        if (context[row[x][:, None], column[x][:, None] + reach] != context[row[y][:, None], column[y][:, None] + reach]).any():
-            return False
-    return True
+    x, y = leader[other], order[other]
+    flat = np.pad(np.ascontiguousarray(context).reshape(-1), (0, 8))
+    words = np.ndarray(len(flat) - 8, dtype="<u8", buffer=flat, strides=(1,))
+    x, y = (row[p] * context.shape[1] + column[p] for p in (x, y))
+    steps = sorted({*range(0, length - 7, 8), length - 8})
+    return all((words[x + k] == words[y + k]).all() for k in steps)
 
 
 def _spans(places: list[bytes], bits: list[bytes], length: int, first: int) -> np.ndarray:
