@@ -17,7 +17,7 @@ from rareflow.llm.common import text_of
 from rareflow.llm.tokens import encode_in_parts, vocabulary, with_end
 
 TOKENIZER = "word_bpe_49k.json"
-#: Ids from which on a block is closed; documents are never parted between blocks.
+#: Ids that close a block; documents are never parted between blocks.
 BLOCK_IDS = 1 << 16
 
 # fixed values: how many ids a 64-bit word holds and how many bits each takes, by selector
@@ -30,8 +30,15 @@ ESCAPE = (1 << 60) - 1
 _HEAD = struct.Struct("<4sIIII")
 
 
+_BITS = np.zeros(1 << 16, dtype=np.uint8)
+for _, _width in reversed(SELECTORS):
+    _BITS[: 1 << min(_width, 16)] = _width
+
+
 def _needed_bits(values: np.ndarray) -> np.ndarray:
-    """Bits of each value, at least 1."""
+    """Bits of each value, at least 1, rounded up to a width that a word has."""
+    if not len(values) or int(values.max()) < len(_BITS):
+        return _BITS[values]
     bits = np.ones(len(values), dtype=np.uint8)
     for _, width in SELECTORS[:-1]:
         bits = np.where(values >> np.uint64(width) > 0, width + 1, bits)
@@ -133,25 +140,19 @@ def write_ids(docs: DataFrame, out: str, path: str | None = None, partitions: in
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, start = TaskContext.get().partitionId(), 0
-        docs_held, counts_held, ids_held, held = [], [], [], 0
-
-        def close():
-            data = write_block(docs_held, np.concatenate(counts_held), np.concatenate(ids_held))
-            return pd.DataFrame({"part": [part], "start": [start], "docs": [len(docs_held)], "ids": [held], "block": [data]})
-
         for batch in batches:
             numbers = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
-            for a, z, ids, counts in encode_in_parts(path, batch["text"].tolist(), chars=200_000):
+            for a, z, ids, counts in encode_in_parts(path, batch["text"].tolist()):
                 ids, counts = with_end(ids, counts)
-                docs_held, held = docs_held + numbers[a:z], held + len(ids)
-                counts_held.append(counts)
-                ids_held.append(ids)
-                if held >= block:
-                    yield close()
-                    start += held
-                    docs_held, counts_held, ids_held, held = [], [], [], 0
-        if held:
-            yield close()
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                at = 0
+                while at < len(counts):
+                    to = min(len(counts), int(np.searchsorted(ends, ends[at] + block)))
+                    to = max(to, at + 1)
+                    data = write_block(numbers[a + at : a + to], counts[at:to], ids[ends[at] : ends[to]])
+                    held = int(ends[to] - ends[at])
+                    yield pd.DataFrame({"part": [part], "start": [start], "docs": [to - at], "ids": [held], "block": [data]})
+                    start, at = start + held, to
 
     ordered = rows.repartitionByRange(wide, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     blocks = ordered.mapInPandas(run, "part long, start long, docs long, ids long, block binary")

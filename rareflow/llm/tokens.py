@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 import numpy as np
 from tokenizers import Tokenizer
 
 END_ID = 1
 #: Pieces kept before the cache starts anew, and the most bytes of a piece that is kept.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_200_000
 CACHED_BYTES = 48
 
 _RANDOM = np.random.default_rng(7)
@@ -112,11 +113,36 @@ class Encoder:
         ids = np.fromiter((i for x in lists for i in x), dtype=np.uint32, count=int(lengths.sum()))
         return np.cumsum(lengths) - lengths, lengths, ids
 
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_whole``, in one text with line feeds between the pieces, which costs less than a text for each.
+
+        Pieces that could join with the line feed (white space at their end, or more than one space at their beginning) go the other way.
+        """
+        plain = np.array([not (p[-1].isspace() or p[:1].isspace() and (p[0] != " " or p[1:2].isspace())) for p in pieces])
+        lone = [pieces[i] for i in np.flatnonzero(~plain).tolist()]
+        together = [pieces[i] for i in np.flatnonzero(plain).tolist()]
+        found = self.tokenizer.encode("\n".join(together), add_special_tokens=False)
+        width = np.fromiter(map(len, together), dtype=np.int64, count=len(together)) + 1
+        begin = np.cumsum(width) - width
+        begins = np.fromiter((a for a, _ in found.offsets), dtype=np.int64, count=len(found))
+        owner = np.searchsorted(begin, begins, side="right") - 1
+        inside = begins < (begin + width - 1)[owner] if len(together) else np.zeros(0, dtype=bool)
+        counts = np.bincount(owner[inside], minlength=len(together))
+        starts, lengths = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+        ids = np.array(found.ids, dtype=np.uint32)[inside]
+        lengths[plain], starts[plain] = counts, np.cumsum(counts) - counts
+        if lone:
+            more, wide, other = self._whole(lone)
+            starts[~plain], lengths[~plain] = more + len(ids), wide
+            ids = np.append(ids, other)
+        return starts, lengths, ids
+
     def _pieces(self, raw: bytes, sizes: np.ndarray):
         """Slot of each piece in the tables of starts, lengths and ids, the tables, and the pieces of each text."""
         codes = np.frombuffer(raw, dtype=np.uint8)
         if self.lower:
             codes = _lower(codes)
+            codes[codes == 10] = 32  # white space is all alike where it is dropped
             raw = codes.tobytes()
         edges = np.concatenate([[0], np.cumsum(sizes)])
         first = np.zeros(len(codes), dtype=bool)
@@ -127,7 +153,7 @@ class Encoder:
         name = _names(codes, start, width)
         at, slot = _distinct(name)
         found = [raw[a:z] for a, z in zip(start[at].tolist(), stop[at].tolist())]
-        of = np.fromiter((self.index.get(p, -1) for p in found), dtype=np.int64, count=len(found))
+        of = np.fromiter(map(self.index.get, found, repeat(-1)), dtype=np.int64, count=len(found))
         if (of < 0).any() and len(self.index) + int((of < 0).sum()) > self.cached:
             self._clear()
             of[:] = -1
@@ -135,7 +161,7 @@ class Encoder:
         small = fresh[[len(found[i]) <= CACHED_BYTES for i in fresh.tolist()]] if len(fresh) else fresh
         kept = [found[i] for i in small.tolist()]
         if kept:
-            starts, lengths, ids = self._whole([p.decode("utf-8") for p in kept])
+            starts, lengths, ids = self._joined([p.decode("utf-8") for p in kept])
             of[small] = len(self.index) + np.arange(len(kept))
             self.index.update(zip(kept, range(len(self.index), len(self.index) + len(kept))))
             self.starts = np.concatenate([self.starts, starts + len(self.ids)])
