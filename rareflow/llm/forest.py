@@ -13,13 +13,13 @@ from rareflow.llm.common import settled
 from rareflow.llm.components import components
 
 MIN_COSINE = 0.98
-TREES = 4
+TREES = 3
 #: Vectors that are compared in one go; a larger node is split on.
-LEAF_ROWS = 1_000
+LEAF_ROWS = 2_000
 #: Vectors of a node, chosen by their hashes, that its splits are made from, and levels split before nodes are counted anew.
 SAMPLE_ROWS, LEVELS = 4_000, 5
 #: Half width of the strip around a split whose vectors go to both sides, as a share of the distance that a link spans at most.
-SPILL = 0.15
+SPILL = 0.12
 #: Countings of the nodes; what is still too large then is compared in blocks.
 ROUNDS = 12
 SEED = 5
