@@ -18,6 +18,17 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
+    """A join on group keys in which NULL is a group like any other; the keys stand once, as in ``left``."""
+    keys = list(keys)
+    named = {k: f"_of_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(named)
+    same = F.lit(True)
+    for k, other in named.items():
+        same = same & left[f"`{k}`"].eqNullSafe(renamed[f"`{other}`"])
+    return left.join(renamed, same, how).drop(*named.values())
+
+
 def cast_numbers(df: DataFrame, keep: Iterable[str] = (LABEL,)) -> DataFrame:
     """Every int, bigint, float and double column but ``keep`` as double, in one projection."""
     kept = set(keep)

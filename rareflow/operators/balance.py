@@ -24,12 +24,18 @@ def union_all(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def positive_ratio(df: DataFrame, label: str = LABEL) -> float:
     """Positives per negative."""
-    counts = class_count_map(df, label)
-    if not counts.get(1) or not counts.get(0):
-        raise ValueError(f"{label} needs rows of both classes 0 and 1, found {counts}")
+    counts = _two_classes(df, label)
     return counts[1] / counts[0]
 
 
+def _two_classes(df, label):
+    """Counts by class; any label but 0 and 1, a missing one too, is an error, as in the curves."""
+    counts = class_count_map(df, label)
+    if set(counts) != {0, 1}:
+        raise ValueError(f"{label} needs rows of both classes 0 and 1 and no others, found {counts}")
+    return counts
+
+
 def undersample(df: DataFrame, h: Column, label: str = LABEL, fraction: float | None = None) -> DataFrame:
     """All positives, and each negative whose hash falls below positives/negatives.
 
@@ -50,10 +56,8 @@ def undersample_random(df: DataFrame, label: str = LABEL, seed: int = 42, by_ran
 
 def with_class_weights(df: DataFrame, label: str = LABEL, weight: str = WEIGHT) -> tuple[DataFrame, dict]:
     """Weights that give both classes the same total, and the class counts."""
-    counts = class_count_map(df, label)
-    positives, total = counts.get(1, 0), sum(counts.values())
-    if not 0 < positives < total:
-        raise ValueError(f"{label} needs rows of both classes, found {counts}")
+    counts = _two_classes(df, label)
+    positives, total = counts[1], sum(counts.values())
     return df.withColumn(weight, class_weight(col(label), (total - positives) / total)), counts
 
 

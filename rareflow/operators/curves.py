@@ -135,7 +135,11 @@ def compare_scores(
     All models share one shuffle of their score counts; the confusion counts are those of the
     best point, so nothing is scanned again.
     """
-    points = curve_points(scored, label, score, [model], rows_per_task)
+    return compare_points(curve_points(scored, label, score, [model], rows_per_task), model)
+
+
+def compare_points(points: DataFrame, model: str = "model") -> DataFrame:
+    """The comparison from points that are there already."""
     return points.groupBy(model).agg(*_area_columns(), _best_column()).select(
         model, "auroc", "auprc_spark", "auprc_one", "n_thresholds", "best.*"
     )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.functions.columns import col
+from rareflow.functions.columns import col, join_groups
 from rareflow.session import small_table
 
 # exp(-z*z/2) is zero in double precision beyond this distance
@@ -48,12 +48,12 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50, by: Sequenc
     long = values.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "value").where("value is not null")
     bin_no = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")).cast("int"), F.lit(bins - 1))
     counted = (
-        long.join(F.broadcast(table), ids).groupBy(*ids, bin_no.alias("bin")).agg(F.count("*").alias("n"))
+        join_groups(long, F.broadcast(table), ids).groupBy(*ids, bin_no.alias("bin")).agg(F.count("*").alias("n"))
     )
     grid = table.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     n = F.coalesce("n", F.lit(0))
     left = F.col("lo") + F.col("bin") * F.col("width")
-    return grid.join(F.broadcast(counted), [*ids, "bin"], "left").select(
+    return join_groups(grid, counted, [*ids, "bin"], "left").select(
         *ids,
         "bin",
         left.alias("lo"),
@@ -69,7 +69,7 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int = 50
     Bandwidth: sample deviation times n**(-1/5). Each value only meets the grid points where its
     kernel is above zero in double precision, so nothing is lost; that is all points for small tables,
     and with the bandwidth shrinking as n grows about twenty of 200 at 10**12 rows. The sums are
-    taken map-side, one row per grid point leaves a task. ``expected`` is the density scaled to
+    taken map-side, one row per grid point leaves a task; equal values are counted first and met once. ``expected`` is the density scaled to
     a histogram of ``bins`` bins.
     """
     values = _finite(df, [column], []).where(col(column).isNotNull()).select(col(column).alias("v"))
@@ -85,10 +85,11 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int = 50
 
     first = F.greatest(F.lit(0), F.ceil((F.col("v") - reach - lo) / step).cast("int"))
     last = F.least(F.lit(points - 1), F.floor((F.col("v") + reach - lo) / step).cast("int"))
-    near = values.select("v", first.alias("i0"), last.alias("i1")).where("i0 <= i1")
-    met = near.select("v", F.explode(F.sequence("i0", "i1")).alias("i"))
+    counted = values.groupBy("v").agg(F.count("*").alias("c"))
+    near = counted.select("v", "c", first.alias("i0"), last.alias("i1")).where("i0 <= i1")
+    met = near.select("v", "c", F.explode(F.sequence("i0", "i1")).alias("i"))
     z = (at(F.col("i")) - F.col("v")) / bandwidth
-    sums = met.groupBy("i").agg(F.sum(F.exp(-0.5 * z * z)).alias("s"))
+    sums = met.groupBy("i").agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("s"))
     grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
     density = F.coalesce("s", F.lit(0.0)) / (n * bandwidth * math.sqrt(2 * math.pi))
     return grid.join(F.broadcast(sums), "i", "left").select(

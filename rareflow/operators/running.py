@@ -9,10 +9,10 @@ from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rareflow.functions.columns import join_groups
 from rareflow.session import cut_lineage
 
 ROWS_PER_TASK = 1_000_000
-MAX_RANGES = 10_000
 
 
 def running_totals(
@@ -25,27 +25,18 @@ def running_totals(
     """Adds ``cum_<s>`` (total from the highest key down to this row) and ``all_<s>`` (total of the group).
 
     ``rows`` must hold one row per (by, key), i.e. be aggregated already. It is written once to the
-    shared checkpoint folder, because its size decides the plan and later passes read it again.
+    shared checkpoint folder, because its size sets the number of ranges and later passes read it again.
 
-    Few rows: one window per group. Many rows: the key is cut into ranges at its approximate
-    quantiles, each range gets its own window, and the totals of the higher ranges (a table of at
-    most ``MAX_RANGES`` rows per group) are added as offsets. Wherever the cuts fall, the result is exact.
+    The key is cut into ranges of about ``rows_per_task`` rows at its approximate quantiles, each range gets its own window, and the
+    totals of the higher ranges (one row per range and group) are added as offsets. Wherever the cuts
+    fall, the result is exact. A NULL in ``by`` is a group of its own.
     """
     rows = cut_lineage(rows)
     n = rows.count()
-    if n <= rows_per_task:
-        return _one_window(rows, key, sums, by)
-    return _windows_by_range(rows, key, sums, by, min(MAX_RANGES, math.ceil(n / rows_per_task) + 1))
-
-
-def _one_window(rows, key, sums, by):
-    group = Window.partitionBy(*by)
-    running = group.orderBy(F.desc(key)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.select(
-        "*",
-        *[F.sum(s).over(running).alias(f"cum_{s}") for s in sums],
-        *[F.sum(s).over(group).alias(f"all_{s}") for s in sums],
-    )
+    if n == 0:  # no quantiles to cut at
+        nothing = [F.lit(None).cast("bigint").alias(f"{kind}_{s}") for kind in ("cum", "all") for s in sums]
+        return rows.select("*", *nothing)
+    return _windows_by_range(rows, key, sums, by, math.ceil(n / rows_per_task) + 1)
 
 
 def _windows_by_range(rows, key, sums, by, ranges):
@@ -53,7 +44,7 @@ def _windows_by_range(rows, key, sums, by, ranges):
         inputCol=key,
         outputCol="_range",
         numBuckets=max(2, ranges),
-        relativeError=max(2e-5, 0.25 / ranges),
+        relativeError=0.25 / ranges,
         handleInvalid="keep",  # NaN gets the highest range, as it sorts above all numbers
     )
     ranged = cutter.fit(rows).transform(rows)
@@ -68,7 +59,7 @@ def _windows_by_range(rows, key, sums, by, ranges):
     )
     inside = Window.partitionBy(*by, "_range").orderBy(F.desc(key))
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return ranged.join(F.broadcast(offsets), [*by, "_range"]).select(
+    return join_groups(ranged, offsets, [*by, "_range"]).select(
         *rows.columns,
         *[(F.col(f"_above_{s}") + F.sum(s).over(inside)).alias(f"cum_{s}") for s in sums],
         *[F.col(f"all_{s}") for s in sums],

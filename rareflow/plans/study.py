@@ -10,10 +10,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.functions.columns import feature_columns, log_positive
+from rareflow.functions.columns import col, feature_columns, join_groups, log_positive
 from rareflow.functions.hashing import row_hash
 from rareflow.operators.balance import drop_positive_outliers, undersample
-from rareflow.operators.curves import compare_scores, comparison_confusion, curve_points, pr_curve, roc_curve
+from rareflow.operators.curves import compare_points, comparison_confusion, curve_points, pr_curve, roc_curve
 from rareflow.operators.density import histogram, kernel_density
 from rareflow.operators.models import (
     GRIDS,
@@ -34,9 +34,9 @@ from rareflow.operators.profile import (
     label_correlations,
 )
 from rareflow.operators.split import split_stratified
-from rareflow.operators.thresholds import best_threshold, threshold_sweep
+from rareflow.operators.thresholds import best_threshold, confusion_rows, prediction_metrics, threshold_sweep
 from rareflow.schema import LABEL
-from rareflow.session import scratch_path, small_table
+from rareflow.session import scratch_path, small_table, staged
 from rareflow.sources.models import save_model
 from rareflow.sources.tables import scan_parquet, sink_parquet
 
@@ -90,7 +90,8 @@ def run_study(
         pool, test = split_stratified(df, h, tie, 0.8, label, stage_keys=True)
     else:
         pool, test = df, None
-    balanced = undersample(pool, sampling, label)
+    # written once: a small part of the rows, which ten of the steps below read
+    balanced = staged(undersample(pool, sampling, label), "balanced")
     tables["balanced_counts"] = class_counts(balanced, label)
     tables["corr_before"], tables["corr_after"] = correlation_rows(df), correlation_rows(balanced)
     tables["corr_range"] = colour_range(tables["corr_before"], tables["corr_after"])
@@ -107,6 +108,8 @@ def run_study(
     for name, part in (("train", train), ("test", test)):
         sink_parquet(part, f"{work}/{name}")
     train, test = (scan_parquet(spark, f"{work}/{name}") for name in ("train", "test"))
+    sizes = [("balanced", balanced.count()), ("trimmed", trimmed.count()), ("train", train.count()), ("test", test.count())]
+    tables["row_counts"] = small_table(spark, sizes, "stage string, n bigint")
 
     features = feature_columns(df, [label])
     settings = {**STUDY_SETTINGS, **(settings or {})}
@@ -130,9 +133,15 @@ def run_study(
     tables["best_threshold"] = best_threshold(tables["sweep"], ["model"])
     points = curve_points(scores, label, by=["model"])
     tables["pr_curve"], tables["roc_curve"] = pr_curve(points, ["model"]), roc_curve(points, ["model"])
-    tables["comparison"] = compare_scores(scores, label)
+    tables["comparison"] = compare_points(points)
     tables["confusion"] = comparison_confusion(tables["comparison"], label=label)
     tables["score_density"] = histogram(scores, ["score"], by=["model", label])
-    best = best_model(compare_scores(scores, label, "margin")).first()["model"]
+    at_best = col("score") >= col("threshold")
+    by_model = join_groups(scores, tables["best_threshold"].select("model", "threshold"), ["model"])
+    tables["scores_best_f1"] = with_best = by_model.select(*scores.columns, at_best.cast("double").alias("prediction_best_f1"))
+    tables["confusion_best_f1"] = confusion_rows(
+        prediction_metrics(with_best, label, "prediction_best_f1", ["model"]), ["model"], label
+    )
+    best = best_model(tables["comparison"]).first()["model"]
     save_model(models[best], f"{model_dir}/{best}_pipeline")
     return Study(tables, models, best)

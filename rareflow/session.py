@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from collections.abc import Sequence
@@ -32,13 +31,13 @@ def watching_session(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder of ``spark.checkpoint.dir``; a private one only where it is unset in local mode."""
+    """Shared folder of ``spark.checkpoint.dir``; one of the application only where it is unset in local mode."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="rareflow-checkpoints-")
+        folder = f"/tmp/rareflow-{sc.applicationId}"  # on Spark's default file system
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder

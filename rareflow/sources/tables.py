@@ -58,4 +58,4 @@ def sink_metrics(metrics: DataFrame, path: str) -> None:
 
 def label_counts_struct(counts: dict, name: str = "train_counts") -> Column:
     """Class counts as one struct column whose fields are the class values."""
-    return F.struct(*[F.lit(n).cast("bigint").alias(str(c)) for c, n in sorted(counts.items())]).alias(name)
+    return F.struct(*[F.lit(n).cast("bigint").alias(str(c)) for c, n in sorted(counts.items(), key=lambda x: (x[0] is None, x[0]))]).alias(name)

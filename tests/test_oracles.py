@@ -44,7 +44,7 @@ def test_names():
 def test_equal_to_sql(spark, duck, name):
     found = QUERIES[name](spark, SF_DIR)
     wanted = duck.execute(ORACLES[name])
-    types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    types = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
     assert {c: types[t] for c, t in found.dtypes} == {d[0]: str(d[1]) for d in wanted.description}
     assert table(found.columns, [tuple(r) for r in found.collect()]) == table(
         [d[0] for d in wanted.description], wanted.fetchall()

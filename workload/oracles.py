@@ -16,7 +16,7 @@ EV = """ev as (
   select event_id, (epoch_us(ts) - (select min(epoch_us(ts)) from events))/1e6 as "Time", value as "Amount",
          case when event_type='purchase' then 1 else 0 end as "Class" from events)"""
 
-WIDE = [f"V{i}" for i in range(1, 29)]
+WIDE = [f"V{i}" for i in range(1, 65)]
 EMB = (
     "emb as (select "
     + ", ".join(f"cast(embedding[{i}] as double) as {v}" for i, v in enumerate(WIDE, 1))
@@ -187,8 +187,9 @@ def oracles() -> dict[str, str]:
     return {
         "class_stats": with_ctes(TXN) + 'select "Class", count(*) as n, cast(sum(count(*)) over () as bigint) as total from txn group by 1',
         "row_count": "select count(*) as n from lineitem",
-        "numeric_cast": """select cast(l_orderkey as double) as l_orderkey, cast(l_linenumber as double) as l_linenumber,
-            cast(l_quantity as double) as l_quantity, case when l_returnflag='R' then 1 else 0 end as "Class"
+        "numeric_cast": """select cast(l_orderkey as double) as l_orderkey, cast(l_partkey as double) as l_partkey,
+            cast(l_suppkey as double) as l_suppkey, cast(l_linenumber as double) as l_linenumber, l_quantity, l_extendedprice,
+            l_discount, l_tax, l_returnflag, l_linestatus, case when l_returnflag='R' then 1 else 0 end as "Class"
             from lineitem""",
         "csv_round_trip": with_ctes(TXN) + f'select {plain}, "Class" from txn',
         "csv_inferred": with_ctes(TXN) + f'select {plain}, "Class" from txn',

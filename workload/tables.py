@@ -11,7 +11,7 @@ from rareflow.sources.tables import scan_parquet, spread
 
 KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 FEATURES = ["Time", "V1", "V2", "V3", "Amount"]
-WIDE = [f"V{i}" for i in range(1, 29)]
+WIDE = [f"V{i}" for i in range(1, 65)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,7 +64,7 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """28 embedding dimensions in the shape of the card table."""
+    """All embedding dimensions in the shape of the card table."""
     return table(spark, sf_dir, "embeddings").select(
         *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(WIDE)],
         F.when(F.col("label") == 0, 1).otherwise(0).alias("Class"),
