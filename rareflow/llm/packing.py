@@ -21,7 +21,7 @@ TOKENIZER = "byte_bpe_50k.json"
 SENTENCE_CUT = 2
 INNER_CUT = 8
 #: Tokens that one run of the programme sees; documents are never parted between runs.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 18
 FAR = np.int64(1) << 40
 
 

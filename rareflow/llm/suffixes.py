@@ -18,7 +18,7 @@ LENGTH = 50
 #: Bytes of the first rank; a window of LENGTH bytes holds LENGTH - FIRST + 1 places for it.
 FIRST = 16
 #: Positions that one task groups at a time.
-GROUP_POSITIONS = 1_000_000
+GROUP_POSITIONS = 500_000
 #: Bytes that are ranked at a time, so that the arrays stay in a core's cache.
 SLICE = 1 << 17
 

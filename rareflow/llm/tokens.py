@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 END_ID = 1
 #: Pieces kept before the cache starts anew, and the most bytes of a piece that is kept.
-CACHED_PIECES = 1_200_000
+CACHED_PIECES = 900_000
 CACHED_BYTES = 48
 
 _RANDOM = np.random.default_rng(7)
@@ -227,7 +227,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encode_in_parts(path: str, texts: list[str], chars: int = 4_000_000):
+def encode_in_parts(path: str, texts: list[str], chars: int = 2_000_000):
     """(from, to, ids, counts) for ranges of texts of about ``chars`` characters."""
     at = 0
     while at < len(texts):
