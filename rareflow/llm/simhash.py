@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rareflow.llm.common import by_key, free_name, settled, smallest_in_set, text_of
 from rareflow.llm.components import components
+from rareflow.llm.tokens import forget
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -118,6 +119,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, doc_id: str = "doc
     """``(doc_id, code)``: the SimHash of every whole text as a signed long; null and empty texts have 0."""
 
     def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             found = np.array([simhash(t, words) for t in batch["text"]], dtype=np.uint64)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "code": found.view(np.int64)})

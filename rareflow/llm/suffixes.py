@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rareflow.llm.common import settled, text_of
+from rareflow.llm.tokens import forget
 
 LENGTH = 50
 #: Bytes of the first rank; a window of LENGTH bytes holds LENGTH - FIRST + 1 places for it.
@@ -182,6 +183,7 @@ def _first_ranks(length: int, first: int, buckets: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             codes, offsets = _buffer(batch.column("text"))
             if not len(codes):
@@ -275,6 +277,7 @@ def _second_ranks(length: int, first: int, buckets: int):
     reach = length - first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             codes, offsets = _buffer(batch.column("text"))
             if not len(codes):
@@ -426,6 +429,7 @@ OUT = (
 
 def _removal(length: int, first: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             texts, places, bits = (batch.column(c).to_pylist() for c in ("text", "places", "bits"))

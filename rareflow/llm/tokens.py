@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 END_ID = 1
@@ -227,6 +230,19 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Give back what earlier tasks of this worker keep: encoders, and memory that was freed but not returned.
+
+    Workers live on between the stages of a pipeline; a stage that encodes nothing starts with this.
+    """
+    _ENCODERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def encode_in_parts(path: str, texts: list[str], chars: int = 2_000_000):
     """(from, to, ids, counts) for ranges of texts of about ``chars`` characters."""
     at = 0

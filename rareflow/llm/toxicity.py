@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rareflow.llm.common import free_name, text_of
+from rareflow.llm.tokens import forget
 
 #: Buckets of the feature hash, as bits; the model never has more weights than that.
 HASH_BITS = 20
@@ -145,6 +146,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Model:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")).join(chosen, "id")
 
     def buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for batch in batches:
             lists: list[list] = [[] for _ in range(len(batch))]
             for number, bucket in features(batch["text"].tolist()):
