@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rareflow.functions.columns import col, vector_item
+from rareflow.functions.hashing import row_hash
 from rareflow.operators.curves import curve_areas, curve_points
+from rareflow.operators.split import mark_hash_split, parts
 from rareflow.schema import LABEL
+from rareflow.session import staged
 
 ESTIMATORS = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
 
@@ -71,6 +77,18 @@ def make_evaluator(metric: str = "areaUnderPR", label: str = LABEL, raw: str = "
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName=metric, numBins=bins)
 
 
+@dataclass
+class Search:
+    """What a search over candidates found, under the names of MLlib's own search models."""
+
+    bestModel: PipelineModel
+    validationMetrics: list[float]
+    candidates: list[dict]
+
+    def getEstimatorParamMaps(self) -> list[dict]:
+        return self.candidates
+
+
 def tune_by_split(
     train: DataFrame,
     features: Sequence[str],
@@ -81,17 +99,25 @@ def tune_by_split(
     parallelism: int = 2,
     seed: int = 42,
     bins: int = 0,
-):
-    """Every candidate pipeline is fitted on one part and judged by AUPRC on the other; the best is refitted on all."""
-    search = TrainValidationSplit(
-        estimator=make_pipeline(features, estimator),
-        estimatorParamMaps=make_grid(estimator, grid),
-        evaluator=make_evaluator(label=label, bins=bins),
-        trainRatio=ratio,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    return search.fit(train)
+    h: Column | None = None,
+) -> Search:
+    """Every candidate pipeline is fitted on one part and judged by AUPRC on the other; the best is refitted on all.
+
+    A row's part follows from its hash ``h``, by default over all its columns, so the same rows are judged on any
+    partitioning. Both parts are written once, as each candidate reads them. Among equals the first candidate wins.
+    """
+    marked = mark_hash_split(train, ratio, row_hash(train.columns, seed) if h is None else h, "_part")
+    fitting, judged = (staged(part, "search") for part in parts(marked, "_part"))
+    pipeline, candidates = make_pipeline(features, estimator), make_grid(estimator, grid)
+    evaluator = make_evaluator(label=label, bins=bins)
+
+    def judge(candidate: dict) -> float:
+        return evaluator.evaluate(pipeline.fit(fitting, candidate).transform(judged))
+
+    with ThreadPool(min(parallelism, len(candidates))) as pool:
+        areas = pool.map(inheritable_thread_target(train.sparkSession)(judge), candidates)
+    best = candidates[areas.index(max(areas))]
+    return Search(pipeline.fit(train, best), areas, candidates)
 
 
 def tune_by_folds(

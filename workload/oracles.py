@@ -162,6 +162,32 @@ UNDER = """f as (select sum("Class")*1e0/sum(1-"Class") as fr from txn),
     under as (select txn.* from txn cross join f where "Class"=1 or h/4294967296e0<fr)"""
 
 
+DRAWN = """drawn as (select "Class", count(*) as n, count(distinct txn_id) as n_ids, true as is_part, true as right_size
+                     from txn group by 1)"""
+# fixed values: the grid of the linear model, as it is printed
+LR_GRID = [(0.0, 0.01), (0.5, 0.01), (0.0, 0.1), (0.5, 0.1)]
+
+
+def fitted(kind: str) -> str:
+    return with_ctes(TXN, SPLIT) + f"""select '{kind}' as model, count(*) as n, cast(sum("Class") as bigint) as n_positive,
+        count(*) filter (where part='test') as n_test, cast(sum("Class") filter (where part='test') as bigint) as n_test_positive,
+        true as areas_agree, true as beats_chance, true as timed from parts"""
+
+
+def searched() -> str:
+    return " union all ".join(
+        f"select 'elasticNetParam={e}, regParam={r}' as candidate, true as plausible, true as best_refitted" for e, r in LR_GRID
+    )
+
+
+# rows of each class, and of its training part
+CLASS_PARTS = """cp as (select "Class", count(*) as n, cast(floor(count(*)*0.8e0) as bigint) as kept from {0} group by 1)"""
+TRAINED = """(select kept from cp where "Class"=0) as train_negatives, (select kept from cp where "Class"=1) as train_positives,
+             true as plausible, true as timed"""
+NOT_SCORED = "null, null"
+HELD = """(select n-kept from cp where "Class"=1) as positives, (select n-kept from cp where "Class"=0) as negatives"""
+
+
 def with_ctes(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
@@ -240,7 +266,11 @@ def oracles() -> dict[str, str]:
         "split_stratified": with_ctes(TXN, SPLIT) + 'select txn_id, "Class", part from parts',
         "split_hash": with_ctes(TXN)
         + """select txn_id, "Class", case when h/4294967296e0<0.8e0 then 'train' else 'test' end as part from txn""",
-        "split_random": with_ctes(TXN) + 'select "Class", count(*) as n, count(distinct txn_id) as n_ids from txn group by 1',
+        "split_random": with_ctes(TXN, DRAWN)
+        + 'select *, n as n_parts, (select count(distinct txn_id) from txn where txn."Class"=drawn."Class") as ids_parts from drawn',
+        "sample_fraction": with_ctes(TXN, DRAWN) + "select * from drawn",
+        "sample_rand": with_ctes(TXN, DRAWN) + "select * from drawn",
+        "undersample_random": with_ctes(TXN, DRAWN) + "select * from drawn",
         "sample_hash": with_ctes(TXN) + 'select txn_id, "Class" from txn where h/4294967296e0<0.1e0',
         "undersample": with_ctes(TXN, UNDER) + 'select txn_id, "Class" from under',
         "union_all": with_ctes(TXN, """u as (select txn_id, "Class" from txn where "Class"=1 union all select txn_id, "Class" from txn)""")
@@ -260,6 +290,22 @@ def oracles() -> dict[str, str]:
         + 'select "Class", round(1/(1+exp(-2*(2*rate-1))),6) as score, count(*) as n from leaf group by 1, 2',
         "fit_lr_prior": with_ctes(TXN)
         + """select "Class", round((select sum("Class")*1e0/count(*) from txn),6) as score, count(*) as n from txn group by 1""",
+        "fit_lr_cells": with_ctes(TXN, """c as (select *, case when h % 16 < cell+4 then 1 else 0 end as y from (select h,
+              case when V1>=25 then 4 else 0 end + case when V2>=0.05 then 2 else 0 end + case when V3>=0.04 then 1 else 0 end as cell
+              from txn) q)""", "t as (select count(*) as n, sum(y) as p from c)")
+        + """select 'plain' as model, cell, count(*) as n, round(avg(y),4) as score from c group by cell union all
+             select 'weighted', cell, count(*), round(sum(y*(n-p))*1e0/sum(case when y=1 then n-p else p end),4)
+             from (select c.*, t.n, t.p from c cross join t) w group by cell""",
+        "fit_lr": fitted("lr"),
+        "fit_rf": fitted("rf"),
+        "fit_gbt": fitted("gbt"),
+        "tune_tvs": searched(),
+        "tune_cv": searched(),
+        "train_job": with_ctes(TXN, CLASS_PARTS.format("txn")) + f"select 'gbt' as model, {TRAINED}",
+        "full_run_job": with_ctes(TXN, f'd as (select distinct {plain}, "Class" from txn)', CLASS_PARTS.format("d"))
+        + " union all ".join(f"select '{m}' as model, {TRAINED}, {HELD if m == 'gbt' else NOT_SCORED}" for m in ("gbt", "lr", "rf")),
+        "study": with_ctes(TXN, CLASS_PARTS.format("txn"))
+        + " union all ".join(f"select '{m}' as model, {HELD}, true as auroc_plausible, true as f1_is_best, true as timed" for m in ("gbt", "lr", "rf")),
         "best_model": with_ctes(TXN, SCORES, curve_ctes("x", "score", "model", "y"))
         + "select model, round(auprc_spark,6) as auprc_spark from areas order by areas.auprc_spark desc, model limit 1",
         "save_load_score": with_ctes(TXN, stump(True), 'predicted as (select "Class", case when rate>=0.5e0 then 1 else 0 end as pred from leaf)', CELLS)

@@ -11,7 +11,7 @@ from rareflow.plans.full_run import full_run
 from rareflow.plans.prepare import prepare
 from rareflow.plans.score import score
 from rareflow.plans.study import run_study
-from rareflow.plans.train import train_model
+from rareflow.plans.train import train
 from rareflow.session import scratch_path, small_table, staged
 from rareflow.sources import tables as io
 from rareflow.sources.models import load_model, save_model
@@ -22,12 +22,6 @@ STUMPS = {
     "rf": {"numTrees": 1, "maxDepth": 1, "maxBins": 64, "bootstrap": False},
     "gbt": {"maxIter": 1, "maxDepth": 1, "maxBins": 64},
 }
-SMALL_GRIDS = {
-    "lr": {"regParam": [0.01], "elasticNetParam": [0.0, 0.5]},
-    "rf": {"maxDepth": [4, 6], "numTrees": [10]},
-    "gbt": {"maxIter": [5, 10], "maxDepth": [4]},
-}
-
 
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     """Doubles rounded, so that both engines print the same values."""
@@ -186,19 +180,40 @@ def split_hash(spark, sf):
     return split.mark_hash_split(txn(spark, sf), 0.8, F.col("h")).select("txn_id", "Class", "part")
 
 
+def _draw_facts(rows, drawn, share):
+    """For each class: the rows and ids drawn from, and what must hold of any draw: each row at most once, and
+    a size within five standard deviations of ``share`` (a column of the class) of the rows."""
+    of = rows.groupBy("Class", "txn_id").agg(F.count("*").alias("n"))
+    taken = drawn.groupBy("Class", "txn_id").agg(F.count("*").alias("k"))
+    both = of.join(taken, ["Class", "txn_id"], "full")
+    n, k = F.sum("n"), F.coalesce(F.sum("k"), F.lit(0))
+    sums = both.groupBy("Class").agg(
+        n.alias("n"),
+        F.count("n").alias("n_ids"),
+        F.bool_and(F.coalesce("k", F.lit(0)) <= F.coalesce("n", F.lit(0))).alias("is_part"),
+        k.alias("k"),
+    )
+    spread = 5 * F.sqrt(F.col("n") * share * (1 - share))
+    return sums.select("Class", "n", "n_ids", "is_part", (F.abs(F.col("k") - F.col("n") * share) <= spread + 1e-6).alias("right_size"))
+
+
 def split_random(spark, sf):
-    """Which rows go where depends on the partitioning, but together the parts are the input, each row once."""
-    train, test = split.split_random(txn(spark, sf).select("txn_id", "Class"))
+    """Which rows go where depends on the partitioning, but the parts are the input, each row once, in the given ratio."""
+    rows = stored_txn(spark, sf, "txn_id", "Class")
+    train, test = split.split_random(rows)
     both = balance.union_all(train, test).groupBy("Class")
-    return both.agg(F.count("*").alias("n"), F.countDistinct("txn_id").alias("n_ids"))
+    whole = both.agg(F.count("*").alias("n_parts"), F.countDistinct("txn_id").alias("ids_parts"))
+    return _draw_facts(rows, train, F.lit(0.8)).join(whole, "Class")
 
 
 def sample_fraction(spark, sf):
-    return profile.class_counts(split.sample_fraction(txn(spark, sf), 0.1))
+    rows = stored_txn(spark, sf, "txn_id", "Class")
+    return _draw_facts(rows, split.sample_fraction(rows, 0.1), F.lit(0.1))
 
 
 def sample_rand(spark, sf):
-    return profile.class_counts(split.sample_rand(txn(spark, sf), 0.1))
+    rows = stored_txn(spark, sf, "txn_id", "Class")
+    return _draw_facts(rows, split.sample_rand(rows, 0.1), F.lit(0.1))
 
 
 def sample_hash(spark, sf):
@@ -210,7 +225,9 @@ def undersample(spark, sf):
 
 
 def undersample_random(spark, sf):
-    return profile.class_counts(balance.undersample_random(txn(spark, sf)))
+    rows = stored_txn(spark, sf, "txn_id", "Class")
+    share = F.when(F.col("Class") == 1, 1.0).otherwise(balance.positive_ratio(rows))
+    return _draw_facts(rows, balance.undersample_random(rows), share)
 
 
 def union_all(spark, sf):
@@ -271,15 +288,60 @@ def fit_lr_prior(spark, sf):
     return _leaf_counts(spark, sf, "lr", {"regParam": 10.0, "elasticNetParam": 1.0})
 
 
+CELL_FEATURES = [f"cell{i}" for i in range(1, 8)]
+
+
+def fit_lr_cells(spark, sf):
+    """Unregularised, with one indicator for each cell of a grid but the first: a cell's probability is its positive share,
+    with class weights its weighted share."""
+    rows = txn(spark, sf)
+    bits = [(F.col("V1") >= 25, 4), (F.col("V2") >= 0.05, 2), (F.col("V3") >= 0.04, 1)]
+    cell = sum(F.when(hit, worth).otherwise(0) for hit, worth in bits)
+    label = F.when(F.col("h") % 16 < cell + 4, 1).otherwise(0)
+    rows = rows.select(cell.alias("cell"), label.alias("Class"))
+    marks = [F.when(F.col("cell") == i, 1.0).otherwise(0.0).alias(name) for i, name in enumerate(CELL_FEATURES, 1)]
+    rows = staged(rows.select("cell", "Class", *marks))
+    found = None
+    for name, weight in (("plain", None), ("weighted", "classWeightCol")):
+        fitting = balance.with_class_weights(rows)[0] if weight else rows
+        estimator = models.make_estimator("lr", {"regParam": 0.0, "maxIter": 200, "tol": 1e-12}, weight=weight)
+        scored = models.score_table(models.make_pipeline(CELL_FEATURES, estimator).fit(fitting), fitting)
+        cells = scored.groupBy("cell").agg(F.count("*").alias("n"), F.round(F.max("score"), 4).alias("score"))
+        cells = cells.select(F.lit(name).alias("model"), "*")
+        found = cells if found is None else found.unionByName(cells)
+    return found
+
+
 def _fit(spark, sf, kind):
-    """The study's settings and the job's weighting, fitted on the training part and judged on the test part."""
+    """The study's settings and the job's weighting, fitted on the training part and judged on the test part.
+
+    Beside exact counts: that the exact areas are those of MLlib's evaluator, are better than those of chance, and that the fit took time.
+    """
     rows = stored_txn(spark, sf, "txn_id", "h", *FEATURES, "Class")
     train, test = split.split_stratified(rows, F.col("h"), F.col("txn_id"))
     weight = "classWeightCol" if models.JOB_WEIGHTED[kind] else None
     fitting = balance.with_class_weights(train)[0] if weight else train
     estimator = models.make_estimator(kind, models.STUDY_SETTINGS[kind], weight=weight)
     model, seconds = models.timed(lambda: models.make_pipeline(FEATURES, estimator).fit(fitting))
-    return models.areas_of(model, test).select(F.lit(kind).alias("model"), "*", F.lit(seconds).alias("fit_seconds"))
+    areas = models.areas_of(model, test).first()
+    scored = model.transform(test)
+    agree = all(
+        abs(models.make_evaluator(metric).evaluate(scored) - areas[name]) < 1e-9
+        for name, metric in (("auprc_spark", "areaUnderPR"), ("auroc", "areaUnderROC"))
+    )
+    sizes = rows.groupBy().agg(F.count("*").alias("n"), F.sum("Class").alias("n_positive"))
+    judged = test.agg(F.count("*").alias("n_test"), F.sum("Class").alias("n_test_positive"), F.avg("Class").alias("share"))
+    better = (F.lit(areas["auprc_spark"]) > F.col("share")) & F.lit(areas["auroc"] > 0.5)
+    return sizes.join(F.broadcast(judged)).select(
+        F.lit(kind).alias("model"),
+        "n",
+        "n_positive",
+        "n_test",
+        "n_test_positive",
+        F.lit(agree).alias("areas_agree"),
+        better.alias("beats_chance"),
+        F.lit(seconds > 0).alias("timed"),
+    )
 
 
 def fit_lr(spark, sf):
@@ -295,17 +357,19 @@ def fit_gbt(spark, sf):
 
 
 def _tuned_rows(spark, tuned, measures):
-    rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda x: x[0].name)), float(m))
-        for params, m in zip(tuned.getEstimatorParamMaps(), measures)
-    ]
-    return small_table(spark, rows, "candidate string, auprc double")
+    """Each candidate, whether its AUPRC is one, and that the best is among them and was fitted again."""
+    names = [sorted((p.name, str(v)) for p, v in params.items()) for params in tuned.getEstimatorParamMaps()]
+    chosen = tuned.bestModel.stages[-1]
+    best = measures.index(max(measures))
+    refitted = all(str(chosen.getOrDefault(p)) == v for p, v in names[best])
+    rows = [(", ".join(f"{p}={v}" for p, v in c), 0 < m <= 1, refitted) for c, m in zip(names, measures)]
+    return small_table(spark, rows, "candidate string, plausible boolean, best_refitted boolean")
 
 
 def tune_tvs(spark, sf):
-    rows = balance.with_class_weights(stored_txn(spark, sf, *FEATURES, "Class"))[0]
+    rows = balance.with_class_weights(stored_txn(spark, sf, "h", *FEATURES, "Class"))[0]
     estimator = models.make_estimator("lr", weight="classWeightCol")
-    tuned = models.tune_by_split(rows, FEATURES, estimator, models.GRIDS["lr"])
+    tuned = models.tune_by_split(rows, FEATURES, estimator, models.GRIDS["lr"], h=F.col("h"))
     return _tuned_rows(spark, tuned, tuned.validationMetrics)
 
 
@@ -313,7 +377,7 @@ def tune_cv(spark, sf):
     rows = staged(balance.undersample(stored_txn(spark, sf, "h", *FEATURES, "Class"), F.col("h")))
     # undersampling keeps the smallest hashes; folds only need them spread modulo 3
     tuned = models.tune_by_folds(rows, FEATURES, models.make_estimator("lr"), models.GRIDS["lr"], h=F.col("h"))
-    return _tuned_rows(spark, tuned, tuned.avgMetrics)
+    return _tuned_rows(spark, tuned, list(tuned.avgMetrics))
 
 
 def best_model(spark, sf):
@@ -433,38 +497,47 @@ def prepare_rows(spark, sf):
 
 
 def train_job(spark, sf):
+    """The whole job with its own settings and grid; exact counts, and facts of the figures that it wrote."""
     rows = stored_txn(spark, sf, "txn_id", "h", *FEATURES, "Class")
-    train, test = split.split_stratified(rows, F.col("h"), F.col("txn_id"))
     path = scratch_path(spark, "trained")
-    for name, part in (("train", train), ("test", test)):
+    for name, part in zip(("train", "test"), split.split_stratified(rows, F.col("h"), F.col("txn_id"))):
         io.sink_parquet(part.select(*FEATURES, "Class"), f"{path}/{name}")
-    parts = [io.scan_parquet(spark, f"{path}/{name}") for name in ("train", "test")]
-    model, metrics = train_model(*parts, "gbt", grid=SMALL_GRIDS["gbt"], settings={"subsamplingRate": 0.8})
-    save_model(model, f"{path}/model")
-    return metrics
+    metrics = train(spark, f"{path}/train", f"{path}/test", f"{path}/model", f"{path}/metrics", "gbt")
+    return _job_facts(metrics)
+
+
+def _job_facts(metrics):
+    """Class counts of the training part, that the areas are shares and beat chance, and that the fit took time."""
+    counts = [F.col(f"train_counts.`{c}`").alias(name) for c, name in ((0, "train_negatives"), (1, "train_positives"))]
+    plausible = F.col("auprc").between(0, 1) & F.col("auroc").between(0.5, 1)
+    return metrics.select("model", *counts, plausible.alias("plausible"), (F.col("fit_seconds") > 0).alias("timed"))
 
 
 def full_run_job(spark, sf):
+    """All three families with the job's own settings and grids, then the scores' cells at 0.5."""
     path = scratch_path(spark, "run")
-    settings = {"lr": {}, "rf": {"subsamplingRate": 0.8}, "gbt": {"subsamplingRate": 0.8}}
-    done = full_run(
-        spark,
-        _raw_csv(spark, sf, FEATURES),
-        f"{path}/processed",
-        f"{path}/models",
-        grids=SMALL_GRIDS,
-        settings=settings,
+    done = full_run(spark, _raw_csv(spark, sf, FEATURES), f"{path}/processed", f"{path}/models")
+    cells = done["score"].select(
+        F.lit("gbt").alias("model"), (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives")
     )
-    scored = done["score"].select(F.lit("gbt").alias("model"), "precision", "recall", "f1")
-    return done["metrics"].select("model", "auprc", "auroc", "auprc_one", "fit_seconds").join(scored, "model", "left")
+    return _job_facts(done["metrics"]).join(cells, "model", "left")
 
 
 def study(spark, sf):
+    """The study with its own grid: exact sizes of the held-out part, and that the sweep, the curves and the choice agree."""
     found = run_study(
         stored_txn(spark, sf, *FEATURES, "Class"),
         scratch_path(spark, "study-models"),
         trim=("Amount", "V1"),
         boxplots=("V1", "V2", "V3", "Amount"),
-        lr_grid=SMALL_GRIDS["lr"],
     )
-    return found.tables["comparison"].join(found.tables["fit_seconds"], "model")
+    compared = found.tables["comparison"].join(found.tables["fit_seconds"], "model")
+    swept = found.tables["best_threshold"].select("model", F.col("f1").alias("swept_f1"))
+    return compared.join(swept, "model").select(
+        "model",
+        (F.col("tp") + F.col("fn")).alias("positives"),
+        (F.col("fp") + F.col("tn")).alias("negatives"),
+        F.col("auroc").between(0.5, 1).alias("auroc_plausible"),
+        (F.col("swept_f1") <= F.col("f1") + 1e-6).alias("f1_is_best"),
+        (F.col("fit_seconds") > 0).alias("timed"),
+    )
