@@ -46,6 +46,15 @@ def test_unknown_model_type():
         models.make_estimator("svm")
 
 
+def test_search_does_not_depend_on_the_partitioning(labelled):
+    lr = models.make_estimator("lr")
+    found = [models.tune_by_split(rows, FEATURES, lr, GRIDS["lr"]) for rows in (labelled, labelled.repartition(7, "c"))]
+    assert found[0].validationMetrics == pytest.approx(found[1].validationMetrics, rel=1e-6)
+    best = found[0].validationMetrics.index(max(found[0].validationMetrics))
+    chosen = found[0].bestModel.stages[-1]
+    assert all(chosen.getOrDefault(p) == v for p, v in found[0].candidates[best].items())
+
+
 def test_fixed_grids():
     for kind, size in (("lr", 4), ("rf", 4), ("gbt", 4)):
         assert len(models.make_grid(models.make_estimator(kind), models.GRIDS[kind])) == size
