@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -25,8 +26,9 @@ BLOCK_TOKENS = 1 << 18
 FAR = np.int64(1) << 40
 
 
+@cache
 def sentence_ends(path: str) -> np.ndarray:
-    """For each id whether its token ends a sentence or a line."""
+    """For each id whether its token ends a sentence or a line; made once for each file and worker."""
     tokenizer = Tokenizer.from_file(path)
     ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
     for token, i in tokenizer.get_vocab().items():

@@ -91,8 +91,8 @@ def _distinct(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """Ids of texts as ``tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    A text falls into pieces at places where no token can reach across; equal pieces of a batch are
-    found by their hashes (64 bits and the length), and those seen before come from a cache of bounded size. Texts that hold a special
+    A text falls into pieces at places where no token can reach across; equal pieces are found by their names (hashes of 64
+    bits over bytes and length), and those seen before come from a cache of bounded size, which holds names and ids but no text. Texts that hold a special
     token's beginning, or rare characters that act on their neighbours, are encoded whole.
     """
 
@@ -105,11 +105,19 @@ class Encoder:
         self._clear()
 
     def _clear(self):
-        self.index: dict[bytes, int] = {}
+        self.names = np.zeros(0, dtype=np.uint64)  # ascending, with the slot of each beside it
+        self.slots = np.zeros(0, dtype=np.int64)
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.uint32)
 
+    def _slots(self, named: np.ndarray, short: np.ndarray) -> np.ndarray:
+        """The slot of each named piece in the cache, -1 for those that it does not hold."""
+        if not len(self.names):
+            return np.full(len(named), -1, dtype=np.int64)
+        place = np.minimum(np.searchsorted(self.names, named), len(self.names) - 1)
+        return np.where(short & (self.names[place] == named), self.slots[place], -1)
+
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lists = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
@@ -155,25 +163,31 @@ class Encoder:
         width = stop - start
         name = _names(codes, start, width)
         at, slot = _distinct(name)
-        found = [raw[a:z] for a, z in zip(start[at].tolist(), stop[at].tolist())]
-        of = np.fromiter(map(self.index.get, found, repeat(-1)), dtype=np.int64, count=len(found))
-        if (of < 0).any() and len(self.index) + int((of < 0).sum()) > self.cached:
+        named, begin, end = name[at], start[at], stop[at]
+        short = end - begin <= CACHED_BYTES
+        of = self._slots(named, short)
+        if (of < 0).any() and len(self.names) + int(((of < 0) & short).sum()) > self.cached:
             self._clear()
             of[:] = -1
-        fresh = np.flatnonzero(of < 0)
-        small = fresh[[len(found[i]) <= CACHED_BYTES for i in fresh.tolist()]] if len(fresh) else fresh
-        kept = [found[i] for i in small.tolist()]
-        if kept:
-            starts, lengths, ids = self._joined([p.decode("utf-8") for p in kept])
-            of[small] = len(self.index) + np.arange(len(kept))
-            self.index.update(zip(kept, range(len(self.index), len(self.index) + len(kept))))
+
+        def texts(which: np.ndarray) -> list[str]:
+            return [raw[a:z].decode("utf-8") for a, z in zip(begin[which].tolist(), end[which].tolist())]
+
+        fresh = np.flatnonzero((of < 0) & short)
+        if len(fresh):
+            starts, lengths, ids = self._joined(texts(fresh))
+            of[fresh] = len(self.names) + np.arange(len(fresh))
+            order = fresh[np.argsort(named[fresh])]
+            places = np.searchsorted(self.names, named[order])
+            self.names = np.insert(self.names, places, named[order])
+            self.slots = np.insert(self.slots, places, of[order])
             self.starts = np.concatenate([self.starts, starts + len(self.ids)])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.ids = np.concatenate([self.ids, ids])
         table = (self.starts, self.lengths, self.ids)
         rest = np.flatnonzero(of < 0)
         if len(rest):
-            starts, lengths, ids = self._whole([found[i].decode("utf-8") for i in rest.tolist()])
+            starts, lengths, ids = self._whole(texts(rest))
             of[rest] = len(self.starts) + np.arange(len(rest))
             table = (np.append(self.starts, starts + len(self.ids)), np.append(self.lengths, lengths), np.append(self.ids, ids))
         return of[slot], table, np.searchsorted(start, edges)
