@@ -175,11 +175,21 @@ def _dealt(bucket: np.ndarray, number: np.ndarray, ids, marks, blobs):
         at += size
 
 
+def _first_rows(ids, marks) -> np.ndarray:
+    """For each row the number of the first row with its id and mark."""
+    order = np.lexsort((marks, ids))
+    head = _starts(ids[order]) | _starts(marks[order])
+    first = np.empty(len(ids), dtype=np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(head, np.arange(len(ids)), 0))]
+    return first
+
+
 def _first_ranks(length: int, first: int, buckets: int):
     """Batches of documents to sampled ranks per bucket.
 
     A rank that a batch holds in three documents or more is known to be shared; only its first two documents
     are sent to the rank's bucket, the others pass in one of their own, so a string that a third of all rows hold costs two entries for each batch.
+    Rows with one id and mark are one document here as in the bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,6 +200,7 @@ def _first_ranks(length: int, first: int, buckets: int):
                 continue
             ids, marks = (batch.column(c).to_numpy() for c in ("id", "mark"))
             _, number, name, _, _ = _samples(codes, offsets, length, first)
+            number = _first_rows(ids, marks)[number]
             # 48 bits of rank and 16 of document: the sort of plain numbers is far faster than that of places
             both = np.sort((name << np.uint64(16)) | (number % 65536).astype(np.uint64))
             both = both[_starts(both)]

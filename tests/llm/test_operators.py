@@ -76,6 +76,13 @@ def test_suffixes(docs, positions):
     assert sum(w[2] for w in wanted) > 0
 
 
+def test_suffixes_of_a_repeated_row_in_one_batch(spark):
+    text = "".join(random.Random(8).choice("abcdefgh ") for _ in range(120))
+    rows = spark.createDataFrame([(1, text), (1, text), (2, text), (3, "other " * 20)], "doc_id bigint, text string").coalesce(1)
+    found = sorted((r["doc_id"], r["n_removed"]) for r in suffixes.remove_repeats(rows).collect())
+    assert found == [(1, 0), (1, 0), (2, 120), (3, 0)]
+
+
 def test_suffixes_keep_columns(docs, nothing):
     out = suffixes.without_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
