@@ -20,6 +20,10 @@ LENGTH = 50
 FIRST = 16
 #: Positions that one task groups at a time.
 GROUP_POSITIONS = 500_000
+#: A batch sends the number of a rank's places from this many on; of fewer the bucket assumes the most there may be.
+COUNTED_PLACES = 8
+#: Marks a place in a document's list that stands for all equal windows of the document.
+EVERYWHERE = 1 << 31
 #: Bytes that are ranked at a time, so that the arrays stay in a core's cache.
 SLICE = 1 << 17
 
@@ -142,8 +146,8 @@ def _starts(values: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, dtype=bool)
 
 
-FIRST_SCHEMA = "bucket long, known boolean, ids binary, marks binary, counts binary, names binary"
-ALIVE_SCHEMA = "id long, mark long, names binary"
+FIRST_SCHEMA = "bucket long, known boolean, ids binary, marks binary, counts binary, names binary, many binary, times binary"
+ALIVE_SCHEMA = "id long, mark long, names binary, hot binary"
 SECOND_SCHEMA = "bucket long, known boolean, ids binary, marks binary, counts binary, places binary, bits binary, froms binary, tos binary, contexts binary"
 FOUND_SCHEMA = "id long, mark long, places binary, bits binary"
 
@@ -184,12 +188,27 @@ def _first_rows(ids, marks) -> np.ndarray:
     return first
 
 
+NO_COUNTS = (b"", b"")
+
+
+def _many(name: np.ndarray, buckets: int) -> dict[int, tuple[bytes, bytes]]:
+    """For each bucket its ranks with many places, and how many; ``name`` must ascend."""
+    names, sizes = _runs(name)
+    often = sizes >= COUNTED_PLACES
+    names, sizes = names[often], sizes[often]
+    bucket = (names % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    names, sizes, (values, widths) = names[order], sizes[order], _runs(bucket[order])
+    ends = np.cumsum(widths).tolist()
+    return {b: (_six(names[z - w : z]), _i64(sizes[z - w : z])) for b, w, z in zip(values.tolist(), widths.tolist(), ends)}
+
+
 def _first_ranks(length: int, first: int, buckets: int):
     """Batches of documents to sampled ranks per bucket.
 
     A rank that a batch holds in three documents or more is known to be shared; only its first two documents
     are sent to the rank's bucket, the others pass in one of their own, so a string that a third of all rows hold costs two entries for each batch.
-    Rows with one id and mark are one document here as in the bucket.
+    Rows with one id and mark are one document here as in the bucket. Ranks with many places go with their number of places.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,6 +222,7 @@ def _first_ranks(length: int, first: int, buckets: int):
             number = _first_rows(ids, marks)[number]
             # 48 bits of rank and 16 of document: the sort of plain numbers is far faster than that of places
             both = np.sort((name << np.uint64(16)) | (number % 65536).astype(np.uint64))
+            many = _many(both >> np.uint64(16), buckets)
             both = both[_starts(both)]
             number, name = (both & np.uint64(65535)).astype(np.int64), both >> np.uint64(16)
             known = _place_in_run(_starts(name)) >= 2
@@ -211,7 +231,7 @@ def _first_ranks(length: int, first: int, buckets: int):
                 mine, names = number[known == flag], name[known == flag]
                 bucket = ids[mine] % buckets if flag else (names % np.uint64(buckets)).astype(np.int64)
                 for b, i, m, c, (n,) in _dealt(bucket, mine, ids, marks, [lambda at, names=names: _six(names[at])]):
-                    rows.append((b, flag, i, m, c, n))
+                    rows.append((b, flag, i, m, c, n, *(many.get(b, NO_COUNTS) if not flag else NO_COUNTS)))
             yield _rows(FIRST_SCHEMA, rows)
 
     return run
@@ -232,27 +252,47 @@ def _by_document(ids, marks, blobs):
         yield int(ids[mine[0]]), int(marks[mine[0]]), *[blob(mine) for blob in blobs]
 
 
-def _shared_ranks(table: pa.Table) -> pa.Table:
-    """The entries of a bucket whose rank two documents hold; the others are unique and end here."""
-    rows = table.to_pylist()
-    sent, out = [r for r in rows if not r["known"]], []
-    if sent:
-        ids, marks = (np.concatenate(x) for x in zip(*map(_unpacked, sent)))
-        names = np.concatenate([_from_six(r["names"]) for r in sent])
-        order = np.lexsort((marks, ids, names))
-        ids, marks, names = ids[order], marks[order], names[order]
-        fresh = _starts(names)
-        other = _starts(ids) | _starts(marks)
-        group = np.cumsum(fresh) - 1
-        several = np.bincount(group, weights=other & ~fresh) > 0
-        keep = several[group]
-        ids, marks, names = ids[keep], marks[keep], names[keep]
-        out += _by_document(ids, marks, [lambda at: _six(names[at])])
-    for r in (r for r in rows if r["known"]):
-        i, m = _unpacked(r)
-        n = _from_six(r["names"])
-        out += _by_document(i, m, [lambda at, n=n: _six(n[at])])
-    return pa.Table.from_batches([_rows(ALIVE_SCHEMA, out)])
+def _hot_ranks(names: np.ndarray, sent: list[dict], most: int) -> np.ndarray:
+    """Ranks that may have more than ``most`` places, from those of the bucket's documents (``names`` ascends) and the counts sent."""
+    values, entries = _runs(names)
+    places = entries * (COUNTED_PLACES - 1)
+    many = np.concatenate([_from_six(r["many"]) for r in sent])
+    at = np.searchsorted(values, many)
+    there = np.append(values, np.uint64(0))[at] == many
+    np.add.at(places, at[there], np.frombuffer(b"".join(r["times"] for r in sent), dtype="<i8")[there])
+    return values[places > most]
+
+
+def _shared_ranks(most: int):
+    """The entries of a bucket whose rank two documents hold; the others are unique and end here.
+
+    A row without a document has the ranks that may have more than ``most`` places in all.
+    """
+
+    def shared(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        sent, out = [r for r in rows if not r["known"]], []
+        if sent:
+            ids, marks = (np.concatenate(x) for x in zip(*map(_unpacked, sent)))
+            names = np.concatenate([_from_six(r["names"]) for r in sent])
+            order = np.lexsort((marks, ids, names))
+            ids, marks, names = ids[order], marks[order], names[order]
+            fresh = _starts(names)
+            other = _starts(ids) | _starts(marks)
+            group = np.cumsum(fresh) - 1
+            several = np.bincount(group, weights=other & ~fresh) > 0
+            keep = several[group]
+            ids, marks, names = ids[keep], marks[keep], names[keep]
+            out += [(*r, None) for r in _by_document(ids, marks, [lambda at: _six(names[at])])]
+            if len(hot := _hot_ranks(names, sent, most)):
+                out.append((None, None, None, _six(hot)))
+        for r in (r for r in rows if r["known"]):
+            i, m = _unpacked(r)
+            n = _from_six(r["names"])
+            out += [(*r, None) for r in _by_document(i, m, [lambda at, n=n: _six(n[at])])]
+        return pa.Table.from_batches([_rows(ALIVE_SCHEMA, out)])
+
+    return shared
 
 
 def _contexts(codes, place, lo, hi, length, first):
@@ -279,11 +319,54 @@ def _all_bits(first_bit, last_bit):
     return ((one << (last_bit - first_bit + 1).astype(np.uint64)) - one) << first_bit.astype(np.uint64)
 
 
-def _second_ranks(length: int, first: int, buckets: int):
+def _hot_windows(codes, place, lo, hi, local, ids, marks, length: int, first: int, buckets: int) -> Iterator[list[tuple]]:
+    """The rows to send, some at a time, for places of hot ranks, which are dealt by the names of their windows in place of the rank.
+
+    Of equal windows one is sent, of the smallest id; it stands for all of its document. The others with a larger id are known
+    to be repeats. ``ids, marks`` are those of the places.
+    """
+    reach = length - first
+    for a in range(0, len(place), 10_000):
+        rows = []
+        mine = a + np.lexsort((marks[a : a + 10_000], ids[a : a + 10_000]))
+        context = _contexts(codes, place[mine], lo[mine], hi[mine], length, first)
+        low, high, at, owner, mark = lo[mine] - place[mine] + reach, hi[mine] - place[mine] + reach, local[mine], ids[mine], marks[mine]
+        row, column, name, order, leader = _equal_windows(context, low, high, length, reach + 1)
+        again = owner[row[leader]] < owner[row[order]]
+        bits = _as_bits(row[order[again]], column[order[again]], len(mine))
+        hit = np.flatnonzero(bits)
+        for b, i, m, c, (p, w) in _dealt(
+            owner[hit] % buckets, np.arange(len(hit)), owner[hit], mark[hit], [lambda x: _u32(at[hit[x]]), lambda x: bits[hit[x]].astype("<u8").tobytes()]
+        ):
+            rows.append((b, True, i, m, c, p, w, b"", b"", b""))
+        order, leader = order[~again], leader[~again]
+        one = np.flatnonzero(_starts(leader) | _starts(mark[row[order]]))
+        alone = np.diff(np.append(one, len(order))) == 1
+        order, name = order[one], name[leader[one]]
+        row, column = row[order], column[order]
+        places = np.where(alone, at[row], at[row] | EVERYWHERE)
+        blobs = [
+            lambda x: _u32(places[x]),
+            lambda x: column[x].astype(np.uint8).tobytes(),
+            lambda x: _one_window(context[row[x]], column[x], length).tobytes(),
+        ]
+        bucket = (name % np.uint64(buckets)).astype(np.int64)
+        for b, i, m, c, (p, w, shown) in _dealt(bucket, np.arange(len(row)), owner[row], mark[row], blobs):
+            rows.append((b, False, i, m, c, p, b"", w, w, shown))
+        yield rows
+
+
+def _one_window(context: np.ndarray, column: np.ndarray, length: int) -> np.ndarray:
+    """The contexts with zeros outside of the window at each one's column."""
+    at = np.arange(context.shape[1])
+    return np.where((at >= column[:, None]) & (at < column[:, None] + length), context, 0).astype(np.uint8)
+
+
+def _second_ranks(length: int, first: int, buckets: int, hot: np.ndarray):
     """Batches of documents with their shared ranks to the surroundings of the shared places, per bucket.
 
     Of places with equal surroundings in a batch only those of the smallest doc_id are sent on: all windows
-    of the others are known to be repeats.
+    of the others are known to be repeats. Places of the ranks ``hot`` (ascending) are sent by their windows.
     """
     reach = length - first
 
@@ -305,6 +388,13 @@ def _second_ranks(length: int, first: int, buckets: int):
             keep = alive[at] == key
             place, number, name, lo, hi = place[keep], number[keep], name[keep], lo[keep], hi[keep]
             rows, sent, bits, shown = [], [], [], []
+            if len(hot):
+                much = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
+                by_name = np.flatnonzero(much)[np.argsort(name[much], kind="stable")]
+                p, n = place[by_name], number[by_name]
+                for part in _hot_windows(codes, p, lo[by_name], hi[by_name], p - offsets[n], ids[n], marks[n], length, first, buckets):
+                    yield _rows(SECOND_SCHEMA, part)
+                place, number, name, lo, hi = place[~much], number[~much], name[~much], lo[~much], hi[~much]
             for a in range(0, len(place), 20_000):
                 part = slice(a, a + 20_000)
                 context = _contexts(codes, place[part], lo[part], hi[part], length, first)
@@ -372,7 +462,8 @@ def _repeats(length: int, first: int):
                 to = max(at + 1, int(np.searchsorted(head, head[at] + 50_000, side="right")) - 1)
                 mine = np.sort(order[head[at] : head[to]])
                 mine = mine[np.argsort(ids[mine], kind="stable")]
-                bits[mine] = _repeated_windows(context[mine], lo[mine], hi[mine], ids[mine], length, width)
+                repeated = _repeated_windows if len(mine) <= 50_000 else _repeated_by_column
+                bits[mine] = repeated(context[mine], lo[mine], hi[mine], ids[mine], length, width)
                 at = to
             hit = bits != 0
             p, b = places[hit], bits[hit]
@@ -386,30 +477,51 @@ def _repeats(length: int, first: int):
     return repeats
 
 
-def _repeated_windows(context, lo, hi, ids, length, width):
-    """Bit j of a row: its window at j is also a window of a row with a smaller id; ``ids`` must ascend."""
+def _equal_windows(context, lo, hi, length, width):
+    """The windows ``lo``..``hi`` of each row: their row, column and name, their order by content, and the first of the same content for each so ordered."""
     name = ranks(context, length)
     columns = np.arange(width)
     row, column = np.nonzero((columns >= lo[:, None]) & (columns <= hi[:, None]))
-    name, owner = name[row, column], ids[row]
+    name = name[row, column]
     n = len(name)
     low = np.uint64((1 << max(1, n.bit_length())) - 1)
-    # rows ascend by id, so the first place of a rank is that of its smallest id
     packed = np.sort((name & ~low) | np.arange(n, dtype=np.uint64))
     order = (packed & low).astype(np.int64)
     head = np.concatenate([[True], (packed[1:] ^ packed[:-1]) > low]) if n else np.zeros(0, dtype=bool)
     leader = order[np.maximum.accumulate(np.where(head, np.arange(n), 0))]
     if not _same_bytes(context, row, column, leader, order, length):  # two strings with one shortened rank
         strings = np.lib.stride_tricks.sliding_window_view(context, length, axis=1)[row, column]
-        _, name = np.unique(strings, axis=0, return_inverse=True)
-        order = np.argsort(name.reshape(-1), kind="stable")
-        leader = order[np.maximum.accumulate(np.where(_starts(name.reshape(-1)[order]), np.arange(n), 0))]
-    hit = order[owner[leader] < owner[order]]
-    on = np.zeros((len(context), 64), dtype=bool)
-    on[row[hit], column[hit]] = True
+        _, number = np.unique(strings, axis=0, return_inverse=True)
+        order = np.argsort(number.reshape(-1), kind="stable")
+        leader = order[np.maximum.accumulate(np.where(_starts(number.reshape(-1)[order]), np.arange(n), 0))]
+    return row, column, name, order, leader
+
+
+def _as_bits(row, column, n: int) -> np.ndarray:
+    on = np.zeros((n, 64), dtype=bool)
+    on[row, column] = True
     return np.packbits(on, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
+def _repeated_windows(context, lo, hi, ids, length, width):
+    """Bit j of a row: its window at j is also a window of a row with a smaller id; ``ids`` must ascend."""
+    row, column, _, order, leader = _equal_windows(context, lo, hi, length, width)
+    # rows ascend by id, so the first place of a string is that of its smallest id
+    hit = order[ids[row[leader]] < ids[row[order]]]
+    return _as_bits(row[hit], column[hit], len(context))
+
+
+def _repeated_by_column(context, lo, hi, ids, length, width):
+    """As ``_repeated_windows`` for places of one rank, in less memory: equal windows choose alike, so theirs are in one column."""
+    bits = np.zeros(len(context), dtype=np.uint64)
+    for j in range(width):
+        rows = np.flatnonzero((lo <= j) & (hi >= j))
+        at = np.zeros(len(rows), dtype=np.uint8)
+        if len(rows):
+            bits[rows] |= _repeated_windows(context[rows, j : j + length], at, at, ids[rows], length, 1) << np.uint64(j)
+    return bits
+
+
 def _same_bytes(context, row, column, leader, order, length):
     """Whether every window has the bytes of its leader, compared as 64-bit words at any byte."""
     other = np.flatnonzero(leader != order)
@@ -421,13 +533,35 @@ def _same_bytes(context, row, column, leader, order, length):
     return all((words[x + k] == words[y + k]).all() for k in steps)
 
 
-def _spans(places: list[bytes], bits: list[bytes], length: int, first: int) -> np.ndarray:
+def _everywhere(text: bytes, starts: np.ndarray, length: int) -> np.ndarray:
+    """The starts of all windows of a document that equal one of those at ``starts``."""
+    codes = np.frombuffer(text, dtype=np.uint8)
+    windows = np.lib.stride_tricks.sliding_window_view(codes, length)
+    names, at = np.unique(ranks(windows[starts], length)[:, 0], return_index=True)
+    asked, found = starts[at], [starts]
+    if not (windows[asked[np.searchsorted(names, ranks(windows[starts], length)[:, 0])]] == windows[starts]).all():
+        strings = {text[s : s + length] for s in starts.tolist()}  # two strings with one rank
+        return np.array([s for s in range(len(windows)) if text[s : s + length] in strings])
+    for a in range(0, len(windows), SLICE):
+        rank = ranks(codes[a : a + SLICE + length - 1], length)
+        number = np.minimum(np.searchsorted(names, rank), len(names) - 1)
+        hit = np.flatnonzero(names[number] == rank)
+        same = (windows[a + hit] == windows[asked[number[hit]]]).all(axis=1)
+        found.append(a + hit[same])
+    return np.concatenate(found)
+
+
+def _spans(text: bytes, places: list[bytes], bits: list[bytes], length: int, first: int) -> np.ndarray:
     """Maximal removed runs (from, to) of a document."""
-    place = np.frombuffer(b"".join(places), dtype="<u4").astype(np.int64) - (length - first)
+    place = np.frombuffer(b"".join(places), dtype="<u4").astype(np.int64)
+    all_equal, place = place >= EVERYWHERE, place % EVERYWHERE - (length - first)
     bit = np.frombuffer(b"".join(bits), dtype="<u8")
     on = np.unpackbits(bit.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     row, column = np.nonzero(on)
-    start = np.unique(place[row] + column)
+    start = place[row] + column
+    if all_equal.any():
+        start = np.concatenate([start, _everywhere(text, np.unique(start[all_equal[row]]), length)])
+    start = np.unique(start)
     head = np.flatnonzero(np.concatenate([[True], start[1:] > start[:-1] + length]))
     return np.stack([start[head], start[np.append(head[1:], len(start)) - 1] + length], axis=1)
 
@@ -446,7 +580,7 @@ def _removal(length: int, first: int):
             texts, places, bits = (batch.column(c).to_pylist() for c in ("text", "places", "bits"))
             rows = []
             for text, p, b in zip(texts, places, bits):
-                spans = _spans(p, b, length, first).tolist() if p else []
+                spans = _spans(text, p, b, length, first).tolist() if p else []
                 cuts = [0, *[x for s in spans for x in s], len(text)]
                 kept = b"".join(text[a:z] for a, z in zip(cuts[::2], cuts[1::2]))
                 found = [{"start": a, "end": z} for a, z in spans]
@@ -479,7 +613,9 @@ def remove_repeats(
     Prefix doubling, with a sample of the positions in place of all: every window of ``length`` bytes chooses the smallest
     rank of its strings of ``first`` bytes, about one position in eighteen, and equal windows choose alike. Ranks of 1, 2,
     4, ... bytes are paired to the first rank; the positions are shuffled and sorted by it, and those whose rank is unique
-    to a document end there. The rest are sorted by it again with their surroundings, and their windows ranked by pairs
+    to a document end there. Ranks that may have more than half of ``group_positions`` places are hot, at most one for some 31,000 sampled
+    places; their names are known to all tasks, and their places go on by the names of their windows, one for each string and part of a batch, so no
+    group has all places of one rank. The rest are sorted by it again with their surroundings, and their windows ranked by pairs
     at growing offsets up to the threshold. Ranks are 64-bit names; the last ones are compared byte by byte, the first only
     decide what is looked at.
     """
@@ -496,11 +632,13 @@ def remove_repeats(
     named = rows.where(f"id is not null and octet_length(text) >= {length}").select("id", "mark", "text")
 
     ranked = named.mapInArrow(_first_ranks(length, first, buckets), FIRST_SCHEMA)
-    shared = ranked.groupBy("bucket").applyInArrow(_shared_ranks, ALIVE_SCHEMA)
+    shared = ranked.groupBy("bucket").applyInArrow(_shared_ranks(group_positions // 2), ALIVE_SCHEMA)
     alive = settled(shared, "ranks")
-    lists = alive.groupBy("id", "mark").agg(F.collect_list("names").alias("names"))
+    hot = [r["hot"] for r in alive.where("hot is not null").select("hot").collect()]
+    hot = np.sort(_from_six(b"".join(hot)))
+    lists = alive.where("id is not null").groupBy("id", "mark").agg(F.collect_list("names").alias("names"))
     placed = named.join(lists.hint("shuffle_hash"), ["id", "mark"]).select("id", "mark", "text", "names")
-    around = placed.mapInArrow(_second_ranks(length, first, buckets), SECOND_SCHEMA)
+    around = placed.mapInArrow(_second_ranks(length, first, buckets, hot), SECOND_SCHEMA)
     windows = settled(around.groupBy("bucket").applyInArrow(_repeats(length, first), FOUND_SCHEMA), "windows")
     found = windows.groupBy("id", "mark").agg(F.collect_list("places").alias("places"), F.collect_list("bits").alias("bits"))
     both = rows.join(found.hint("shuffle_hash"), ["id", "mark"], "left")

@@ -7,6 +7,8 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,42 @@ def test_suffixes_of_a_repeated_row_in_one_batch(spark):
     assert found == [(1, 0), (1, 0), (2, 120), (3, 0)]
 
 
+def test_suffixes_deal_out_hot_ranks():
+    rng = random.Random(4)
+    prose = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    texts = [prose(40) + "  0123456789  0123456789  0123456789  " + prose(40) for _ in range(600)] + ["-" * 5000] * 2
+    ids = np.arange(len(texts))
+    batch = pa.RecordBatch.from_pydict({"id": ids, "mark": ids, "text": [t.encode() for t in texts]})
+    sent = pa.concat_tables(pa.Table.from_batches([b]) for b in suffixes._first_ranks(50, 16, 64)(iter([batch])))
+    alive = pa.concat_tables(suffixes._shared_ranks(100)(sent.filter(pc.equal(sent["bucket"], b))) for b in range(64)).to_pylist()
+    hot = np.sort(suffixes._from_six(b"".join(r["hot"] for r in alive if r["hot"])))
+    names = [[r["names"] for r in alive if r["id"] == i] or [b""] for i in ids.tolist()]
+    batch = pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in ("id", "mark", "text")}, "names": names})
+    sizes, runs = {}, 0
+    for b in suffixes._second_ranks(50, 16, 64, hot)(iter([batch])):
+        for r in b.to_pylist():
+            if not r["known"]:
+                sizes[r["bucket"]] = sizes.get(r["bucket"], 0) + len(r["places"]) // 4
+                runs += int((suffixes._unpacked(r)[0] >= 600).sum())
+    assert len(hot) >= 2 and 0 < runs <= 4
+    assert max(sizes.values()) < 0.1 * sum(sizes.values()) and len(sizes) == 64
+    codes, offsets = suffixes._buffer(batch.column("text"))
+    place, number, name, lo, hi = suffixes._samples(codes, offsets, 50, 16)
+    one = np.flatnonzero(np.isin(name, hot))
+    context = suffixes._contexts(codes, place[one], lo[one], hi[one], 50, 16)
+    rest = ((lo - place + 34)[one], (hi - place + 34)[one], number[one], 50, 35)
+    wanted = suffixes._repeated_windows(context, *rest)
+    assert wanted.any() and (suffixes._repeated_by_column(context, *rest) == wanted).all()
+
+
+def test_suffixes_of_runs(spark):
+    rows = [(5, "x" + "-" * 3000 + "y"), (5, "-" * 70), (6, "-" * 60 + "z" * 60 + "-" * 2000), (7, "z" * 55 + "-" * 50), (8, "z" * 59)]
+    rows = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    for split in (rows, rows.repartition(5)):
+        found = suffixes.remove_repeats(split, group_positions=40).collect()
+        assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in found) == [(5, 70, 0), (5, 3002, 0), (6, 2120, 2060), (7, 105, 105), (8, 59, 59)]
+
+
 def test_suffixes_keep_columns(docs, nothing):
     out = suffixes.without_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
