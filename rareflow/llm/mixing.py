@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,10 @@ from rareflow.session import cut_lineage, small_table
 TEMPERATURE = 0.9
 #: Rounds of fitting; a round adjusts every margin once.
 ROUNDS = 6
+#: Share of all tokens that ``resampled`` keeps.
+KEEP = 0.6
+#: A value whose share is off its target by more than this part of the target is reported.
+OFF = 0.05
 #: Most cells whose table is broadcast; with more of them the documents are joined by shuffling.
 BROADCAST_CELLS = 200_000
 NONE = "(none)"
@@ -96,17 +101,71 @@ def probabilities(raked: DataFrame, dims: Sequence[str]) -> DataFrame:
     return rows.join(F.broadcast(top)).select(*dims, F.round(F.col("ratio") / F.col("top"), 9).alias("probability"))
 
 
+def rake_within(
+    cells: DataFrame,
+    dims: Sequence[str],
+    keep: float,
+    targets: Mapping[str, Mapping[str, float]] | None = None,
+    temperature: float = TEMPERATURE,
+    rounds: int = ROUNDS,
+) -> tuple[DataFrame, DataFrame]:
+    """As ``rake``, with weights (and ``most``) that a share ``keep`` of all tokens can have, and the margins reached.
+
+    Weights are shares of the tokens kept; a cell whose weight asks for more tokens than it has gets all of them, and the others of its
+    values make up for it. So a rare cell takes nothing from the rest. The second table is ``dimension, value, target, reached``.
+    """
+    if not 0 < keep <= 1:
+        raise ValueError("keep must be above 0 and at most 1")
+    targets = targets or {}
+    filled = cells.where("tokens > 0")
+    shares = {d: _margin(filled, d, targets.get(d), temperature) for d in dims}
+    share = F.col("tokens") / F.col("whole")
+    whole = filled.agg(F.sum("tokens").alias("whole"))
+    rows = filled.join(F.broadcast(whole)).select(*dims, "tokens", (share / F.lit(keep)).alias("most"), share.alias("weight"))
+    rows = cut_lineage(rows)
+    full = F.col("weight") >= F.col("most")
+    for _ in range(rounds):
+        for dim in dims:
+            held = F.sum(F.when(full, F.col("weight")).otherwise(0.0)).alias("held")
+            now = rows.groupBy(dim).agg(F.sum("weight").alias("now"), held).join(shares[dim], dim)
+            less = F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(0.0)
+            more = F.when(F.col("now") > F.col("held"), (F.col("target") - F.col("held")) / (F.col("now") - F.col("held"))).otherwise(1.0)
+            rises = F.col("target") > F.col("now")
+            scale = now.select(dim, rises.alias("rises"), F.when(rises, more).otherwise(less).alias("scale"))
+            weight = F.when(full & F.col("rises"), F.col("weight")).otherwise(F.least(F.col("weight") * F.col("scale"), F.col("most")))
+            rows = cut_lineage(rows.join(scale, dim).select(*dims, "tokens", "most", weight.alias("weight")))
+    reached = None
+    for dim in dims:
+        found = rows.groupBy(dim).agg(F.sum("weight").alias("reached")).join(shares[dim], dim)
+        found = found.select(F.lit(dim).alias("dimension"), F.col(dim).alias("value"), "target", "reached")
+        reached = found if reached is None else reached.unionByName(found)
+    return rows, reached
+
+
+def _chances_within(cells, dims, keep, targets, temperature, rounds):
+    rows, reached = rake_within(cells, dims, keep, targets, temperature, rounds)
+    off = F.abs(F.col("reached") - F.col("target"))
+    missed = reached.where(off > OFF * F.col("target")).agg(F.count("*").alias("n"), F.max(off).alias("off")).first()
+    if missed["n"]:
+        logging.getLogger(__name__).warning("%d values miss their target share, by %.6f at most", missed["n"], missed["off"])
+    return rows.select(*dims, F.round(F.least(F.col("weight") / F.col("most"), F.lit(1.0)), 9).alias("probability"))
+
+
 def mixed(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     temperature: float = TEMPERATURE,
     rounds: int = ROUNDS,
+    keep: float | None = None,
 ) -> DataFrame:
     """All rows of ``docs`` with ``mix_topic, mix_tokens, mix_probability, mix_kept`` added.
 
     Dimensions are ``source``, ``lang`` and ``topic`` (from the text); a null counts as the value ``(none)``. A row is kept if
     the hash of its doc_id, or of its text without one, falls below its cell's probability; so repeated rows share their lot and no
     run differs. Documents without a token weigh nothing and are kept. An empty table stays empty.
+
+    ``keep``: the share of all tokens to keep, see ``rake_within``; values that miss their targets are logged. Without it the
+    scale is that of ``probabilities``, where the rarest cell decides.
     """
     dims = ["source", "lang", "topic"]
     names = {n: free_name(docs, f"mix_{n}") for n in ("topic", "tokens", "probability", "kept")}
@@ -115,7 +174,10 @@ def mixed(
     plain = [F.coalesce(F.col(d).cast("string"), F.lit(NONE)).alias(d) for d in ("source", "lang")]
     counted = docs.select(*plain, topic_of(text).alias("topic"), tokens_of(text).alias("tokens"))
     cells = settled(counted.groupBy(*dims).agg(F.sum("tokens").alias("tokens")), "cells")
-    raked = cut_lineage(probabilities(rake(cells, dims, targets, temperature, rounds), dims))
+    if keep is None:
+        raked = cut_lineage(probabilities(rake(cells, dims, targets, temperature, rounds), dims))
+    else:
+        raked = cut_lineage(_chances_within(cells, dims, keep, targets, temperature, rounds))
     of = {d: free_name(docs, f"mix_of_{d}") for d in dims}
     chance_of = free_name(docs, "mix_chance")
     known = raked.select(*[F.col(d).alias(of[d]) for d in dims], F.col("probability").alias(chance_of))
@@ -130,7 +192,7 @@ def mixed(
     return joined.withColumn(names["kept"], hash_fraction(md5_hash(key)) < F.col(names["probability"]))
 
 
-def resampled(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
-    """The kept rows of ``docs`` with their own columns."""
-    rows = mixed(docs, targets)
+def resampled(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, keep: float = KEEP) -> DataFrame:
+    """The kept rows of ``docs`` with their own columns; they hold about the share ``keep`` of all tokens."""
+    rows = mixed(docs, targets, keep=keep)
     return rows.where(F.col(rows.columns[-1])).select(*[F.col(f"`{c}`") for c in docs.columns])

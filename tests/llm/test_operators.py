@@ -333,6 +333,25 @@ def test_mixing(spark, docs, nothing):
     assert mixing.resampled(nothing).count() == 0
 
 
+def test_a_rare_cell_does_not_thin_the_others(spark):
+    rows = [(i, "word " * 100, ["en", "de"][i % 2], ["s0", "s1", "s2"][i % 3], None, 1, "p") for i in range(2000)]
+    rows.append((5000, "word " * 100, "xx", "s9", None, 1, "p"))
+    kept = mixing.resampled(spark.createDataFrame(rows, SCHEMA).coalesce(1)).count() / len(rows)
+    assert abs(kept - mixing.KEEP) < 0.05
+
+
+def test_mixing_within_the_tokens(spark):
+    cells = [("a", "x", 900), ("a", "y", 300), ("b", "x", 150), ("b", "y", 100), ("c", "y", 2)]
+    cells = spark.createDataFrame(cells, "source string, lang string, tokens bigint")
+    targets = {"source": {"a": 0.7, "b": 0.2, "c": 0.1}, "lang": {"x": 0.6, "y": 0.4}}
+    rows, reached = mixing.rake_within(cells, ["source", "lang"], 0.5, targets, rounds=8)
+    kept = {(r["source"], r["lang"]): r["weight"] / r["most"] for r in rows.collect()}
+    assert kept["c", "y"] == 1 and all(0 < k <= 1 for k in kept.values())
+    found = {(r["dimension"], r["value"]): (r["target"], r["reached"]) for r in reached.collect()}
+    assert all(abs(found["lang", k][1] - share) < 0.01 for k, share in targets["lang"].items())
+    assert found["source", "c"][0] == pytest.approx(0.1) and found["source", "c"][1] == pytest.approx(2 / 726)
+
+
 def test_toxicity(spark, nothing):
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(200)]
