@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from rareflow.llm import forest, mixing, sharding
+from rareflow.llm import divergence, forest, mixing, sharding, vptrees
 
 OP5 = r"""
 with cut as (
@@ -66,6 +66,65 @@ from v join least_ on n = vec_id left join links on a = vec_id
 """
 
 
+OP11 = f"""
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: cast(x as double) + 0.0) as e from embeddings
+  where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n as (
+  select *, list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b) as ee from v
+), q as (
+  select vec_id, min(e) as e from v where vec_id % 50 = 0 group by vec_id
+), p as (
+  select q.vec_id as query_id, n.vec_id,
+    max(list_reduce(list_transform(list_zip(q.e, n.e), lambda z: z[1] * z[2]), lambda a, b: a + b) / sqrt(m.ee * n.ee)) as score
+  from q join n m on m.vec_id = q.vec_id and m.e = q.e join n on n.vec_id <> q.vec_id and len(n.e) = len(q.e) group by all
+), r as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from p
+)
+select query_id, rank, vec_id, score from r where rank <= {vptrees.NEAREST}
+"""
+
+OP12 = rf"""
+with d as (
+  select row_number() over () as row, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents
+), w as (
+  select row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from d
+), kept as (
+  select lang, term from w group by all having count(distinct row) >= {divergence.MIN_DOCS}
+), c as (
+  select lang, source, term, count(*) as n from w join kept using (lang, term) group by all
+), g as (
+  select lang, source, coalesce((select sum(n) from c where c.lang = s.lang and c.source = s.source), 0) as total,
+    (select count(*) from kept where kept.lang = s.lang) as v
+  from (select distinct lang, source from d) s
+), l as (
+  select lang, sum(total) as total, any_value(v) as v from g group by lang
+), p as (
+  select g.lang, g.source, term, coalesce(n, 0) as n, 1 + (1000000000::hugeint * (coalesce(n, 0) + 2)) // (total + 2 * v)::hugeint as p
+  from g join kept using (lang) left join c using (lang, source, term)
+), q as (
+  select lang, term, 1 + (1000000000::hugeint * (n + 2)) // (total + 2 * v)::hugeint as q
+  from (select lang, term, sum(n) as n from c group by all) join l using (lang)
+), apart as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join apart on apart.lang = a.lang and apart.source = a.source and apart.item = b.source
+), terms as (
+  select lang, source, 'term' as part, term as item, cast((p - q) * (p - q) // (p + q) as bigint) as value
+  from p join q using (lang, term) where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+  from (select * from pairs union all select * from terms)
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= {divergence.TOP_TERMS}
+"""
+
+
 def _op2() -> str:
     held = [(t, " or ".join(f"contains(lower(coalesce(text, '')), '{m}')" for m in marks)) for t, marks in mixing.TOPICS]
     topic = " ".join(f"when {h} then '{t}'" for t, h in held)
@@ -106,7 +165,7 @@ select doc_id, source, lang, topic, tokens, probability, u < probability as kept
 
 
 def oracles() -> dict[str, str]:
-    found = {"op2_mixing": _op2(), "op5_url_filters": OP5, "op8_sharding": OP8, "op10_embedding_dedup": OP10}
+    found = {"op2_mixing": _op2(), "op5_url_filters": OP5, "op8_sharding": OP8, "op10_embedding_dedup": OP10, "op11_nearest_vectors": OP11, "op12_source_divergence": OP12}
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found

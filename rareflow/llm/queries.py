@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rareflow.llm import forest, idfiles, mixing, packing, sharding, simhash, sketches, suffixes, toxicity, urls
+from rareflow.llm import divergence, forest, idfiles, mixing, packing, runs, sharding, simhash, sketches, suffixes, toxicity, urls, vptrees
 from rareflow.llm.common import table
 from rareflow.session import scratch_path
 
@@ -85,6 +85,30 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptrees.nearest_vectors(table(spark, sf_dir, "embeddings"), every=50)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_audit(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.with_runs(runs.periodic_texts(table(spark, sf_dir, "documents")), "found")
+    best = F.col("found.strongest")
+    line = lambda run: F.format_string("%d,%d,%d\n", run["start"], run["length"], run["period"])
+    return found.select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.call_function("div", best["length"] * 1000, best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("found.runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -100,6 +124,9 @@ QUERIES = [
     op8_sharding,
     op9_token_files,
     op10_embedding_dedup,
+    op11_nearest_vectors,
+    op12_source_divergence,
+    op13_periodic_runs,
     pipeline,
 ]
 
