@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.llm.common import settled
+from rareflow.llm.common import settled, smallest_in_set
 from rareflow.llm.components import components
 
 MIN_COSINE = 0.98
@@ -90,10 +90,43 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def near_pairs(classes: DataFrame, min_cosine: float = MIN_COSINE, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """Distinct pairs ``(a, b, copies_a, copies_b)``, a < b, of classes of one label whose cosine reaches ``min_cosine``.
+def _linked_in(table: pd.DataFrame, leaf: int, across: bool, min_cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of a leaf (or of two blocks of one) the copies that it links with first here, and the smallest row linked by steps.
 
-    Each label is the root of ``trees`` trees. A node with more than ``leaf_rows`` vectors is split at medians along random directions,
+    Two vectors may meet in several leaves; a pair is counted in the first that both are in, which their lists of leaves tell.
+    """
+    vectors = _matrix(table["vector"])
+    norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    doc, copies, block = (table[c].to_numpy() for c in ("doc", "copies", "mine"))
+    lists = [np.asarray(x, dtype=np.int64) for x in table["leaves"]]
+    flat, owner = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    before = flat < leaf
+    names, column = np.unique(flat[before], return_inverse=True)
+    held = np.zeros((len(doc), len(names)), dtype=np.float32)
+    held[owner[before], column] = 1
+    held = held[:, held.sum(axis=0) > 1]
+    counts, root = np.zeros(len(doc), dtype=np.int64), np.arange(len(doc))
+    for a in range(0, len(doc), 1_000):
+        near = (vectors[a : a + 1_000] @ vectors.T) / (norms[a : a + 1_000, None] * norms) >= min_cosine
+        near &= doc[a : a + 1_000, None] != doc
+        if across:
+            near &= block[a : a + 1_000, None] != block
+        i, j = np.nonzero(near)
+        # links found so far are folded into the roots, so no list of all pairs is kept
+        root = smallest_in_set(len(doc), np.concatenate([np.arange(len(doc)), a + i]), np.concatenate([root, j]))
+        if held.shape[1]:
+            near &= held[a : a + 1_000] @ held.T == 0
+        counts[a : a + 1_000] += near @ copies
+    return counts, root
+
+
+def near_links(classes: DataFrame, min_cosine: float = MIN_COSINE, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """``(doc, n, root)`` rows over classes of one label and vector length whose cosine reaches ``min_cosine``.
+
+    The sum of ``n`` is how many rows of other classes the class ``doc`` links with, and all ``(doc, root)`` together hold the classes
+    that hang together. A leaf writes one row for each class that links there, however many pairs that makes.
+
+    Each label and length is the root of ``trees`` trees. A node with more than ``leaf_rows`` vectors is split at medians along random directions,
     taken from a sample of it, a few levels at a time; vectors near a split go to both sides, so a close pair is
     rarely parted and hardly ever in all trees. Every vector is put into every tree. Nodes that no split makes smaller, as of
     thousands of vectors that all link, are compared whole: their rows are dealt to blocks, and every two blocks meet in
@@ -102,7 +135,8 @@ def near_pairs(classes: DataFrame, min_cosine: float = MIN_COSINE, trees: int =
     width = np.sqrt(max(0.0, 2 - 2 * min_cosine))
     reach = SPILL * width
     node = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    rows = classes.select("label", node, F.lit(1).cast("long").alias("node"), F.xxhash64("doc").alias("place"), "doc", "copies", "vector")
+    label = F.concat_ws(":", F.size("vector"), F.col("label").cast("string")).alias("label")
+    rows = classes.select(label, node, F.lit(1).cast("long").alias("node"), F.xxhash64("doc", "vector").alias("place"), "doc", "copies", "vector")
     keys = ["label", "tree", "node"]
 
     def plan(key, table: pd.DataFrame) -> pd.DataFrame:
@@ -115,18 +149,18 @@ def near_pairs(classes: DataFrame, min_cosine: float = MIN_COSINE, trees: int =
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            vectors = _unit(_matrix(batch["vector"]))
             for (tree, at), part in batch.groupby(["tree", "node"], sort=False).indices.items():
-                # all rows of a node have its splits; labels have nodes of their own through them
+                # all rows of a label's node have its splits, and vectors of one length
                 for label, mine in batch.iloc[part].groupby("label", sort=False).indices.items():
                     mine = part[mine]
                     first = batch.iloc[mine[0]]
                     cuts = dict(zip(list(first["heads"]), list(first["cuts"])))
-                    for leaf, which in _leaves(int(tree), int(at), vectors[mine], cuts, reach):
+                    vectors = _unit(_matrix(batch["vector"].iloc[mine]))
+                    for leaf, which in _leaves(int(tree), int(at), vectors, cuts, reach):
                         out = batch.iloc[mine[which]][["label", "tree", "place", "doc", "copies", "vector"]]
                         yield out.assign(node=leaf, stuck=not cuts)
 
-    leaves, schema = None, "label int, tree int, node long, place long, doc long, copies long, vector array<double>"
+    leaves, schema = None, "label string, tree int, node long, place long, doc long, copies long, vector array<double>"
     rows = rows.withColumn("stuck", F.lit(False))
     for turn in range(ROUNDS):
         sizes = rows.groupBy(*keys).agg(F.count("*").alias("rows"))
@@ -139,54 +173,43 @@ def near_pairs(classes: DataFrame, min_cosine: float = MIN_COSINE, trees: int =
             break
         share = F.lit(float(SAMPLE_ROWS)) / F.col("rows")
         chosen = rows.where(F.pmod(F.xxhash64("place", F.lit(turn)), F.lit(1 << 20)) < share * (1 << 20))
-        splits = chosen.select(*keys, "rows", "vector").groupBy(*keys).applyInPandas(plan, "label int, tree int, node long, heads array<long>, cuts array<double>")
+        splits = chosen.select(*keys, "rows", "vector").groupBy(*keys).applyInPandas(plan, "label string, tree int, node long, heads array<long>, cuts array<double>")
         splits = settled(splits, "splits")
         joined = rows.drop("rows", "stuck").join(splits, keys)
         rows = joined.mapInPandas(route, f"{schema}, stuck boolean")
 
+    leaves = settled(leaves.withColumn("leaf", F.xxhash64(*keys)), "leaves")
+    lists = leaves.groupBy("label", "place").agg(F.collect_list("leaf").alias("leaves"))  # a few for each vector
     # a block is a share of a node's rows by their hash; two blocks meet in the group (low, high)
     blocks = F.ceil(F.col("rows") / F.lit(leaf_rows)).cast("long")
     mine = F.pmod(F.xxhash64("place", F.lit(-1)), blocks)
-    dealt = leaves.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = leaves.join(lists, ["label", "place"])
+    dealt = dealt.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
 
     def compare(key, table: pd.DataFrame) -> pd.DataFrame:
-        vectors = _matrix(table["vector"])
-        norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-        doc, copies, block = (table[c].to_numpy() for c in ("doc", "copies", "mine"))
-        across = key[3] != key[4]
-        out = []
-        for a in range(0, len(doc), 1_000):
-            near = (vectors[a : a + 1_000] @ vectors.T) / (norms[a : a + 1_000, None] * norms) >= min_cosine
-            i, j = np.nonzero(near)
-            i = i + a
-            keep = doc[i] < doc[j]
-            if across:
-                keep &= block[i] != block[j]
-            i, j = i[keep], j[keep]
-            out.append(pd.DataFrame({"a": doc[i], "b": doc[j], "copies_a": copies[i], "copies_b": copies[j]}))
-        return pd.concat(out)
-
-    grouped = dealt.select(*keys, "low", "high", "mine", "doc", "copies", "vector").groupBy(*keys, "low", "high")
-    return grouped.applyInPandas(compare, "a long, b long, copies_a long, copies_b long").distinct()
+        table = table.sort_values(["doc", "place"], kind="stable", ignore_index=True)
+        counts, root = _linked_in(table, int(key[0]), key[1] != key[2], min_cosine)
+        linked = (counts > 0) | (root != np.arange(len(root)))
+        doc = table["doc"].to_numpy()
+        return pd.DataFrame({"doc": doc[linked], "n": counts[linked], "root": doc[root[linked]]})
+
+    grouped = dealt.select("leaf", "low", "high", "mine", "place", "doc", "copies", "vector", "leaves").groupBy("leaf", "low", "high")
+    return grouped.applyInPandas(compare, "doc long, n long, root long")
 
 
 def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``vectors(vec_id, embedding, label)``.
 
     ``n_links`` counts the other rows linked directly, copies included; ``component_id`` is the smallest vec_id reachable. Equal vectors
-    of a label are compared once. Rows without a label or a usable vector (null, zero, null or non-finite components), and of other
-    lengths than most of their label, link with none of the others; so do rows without a vec_id, whose component is null.
+    of a label are compared once; labels may be of any type that can be cast to a string, and vectors of different lengths never link. Rows
+    without a label or a usable vector (null, zero, null or non-finite components) link with none of the others; so do rows
+    without a vec_id, whose component is null.
     """
     classes = settled(vector_classes(vectors), "classes")
-    length = F.size("vector")
-    longest = classes.groupBy("label", length.alias("size")).agg(F.count("*").alias("n"))
-    longest = longest.groupBy("label").agg(F.max_by("size", F.struct("n", "size")).alias("size"))
-    usual = classes.join(longest.withColumnRenamed("label", "of"), (F.col("label") == F.col("of")) & (length == F.col("size"))).drop("of", "size")
-    pairs = settled(near_pairs(usual, min_cosine, trees, leaf_rows), "pairs")
-    linked = components(pairs.select("a", "b"))
-    both = pairs.select("a", F.col("copies_b").alias("n")).unionAll(pairs.select(F.col("b").alias("a"), F.col("copies_a").alias("n")))
-    counted = both.groupBy("a").agg(F.sum("n").alias("n"))
+    found = settled(near_links(classes, min_cosine, trees, leaf_rows), "links")
+    linked = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")))
+    counted = found.groupBy(F.col("doc").alias("a")).agg(F.sum("n").alias("n"))
     named = classes.join(counted, classes["doc"] == counted["a"], "left").join(linked, classes["doc"] == linked["node"], "left")
     named = named.select(
         F.col("label").alias("of"),
