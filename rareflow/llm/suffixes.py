@@ -203,6 +203,17 @@ def _many(name: np.ndarray, buckets: int) -> dict[int, tuple[bytes, bytes]]:
     return {b: (_six(names[z - w : z]), _i64(sizes[z - w : z])) for b, w, z in zip(values.tolist(), widths.tolist(), ends)}
 
 
+#: Rows whose numbers fit into the 16 bits beside a rank.
+BATCH_ROWS = 1 << 16
+
+
+def _of_few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts whose rows can be numbered, whatever size the session's Arrow batches have."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _first_ranks(length: int, first: int, buckets: int):
     """Batches of documents to sampled ranks per bucket.
 
@@ -213,7 +224,7 @@ def _first_ranks(length: int, first: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
+        for batch in _of_few_rows(batches):
             codes, offsets = _buffer(batch.column("text"))
             if not len(codes):
                 continue
@@ -372,7 +383,7 @@ def _second_ranks(length: int, first: int, buckets: int, hot: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for batch in batches:
+        for batch in _of_few_rows(batches):
             codes, offsets = _buffer(batch.column("text"))
             if not len(codes):
                 continue
