@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,6 +129,16 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, doc_id: str = "doc
     return rows.mapInPandas(codes, "doc_id long, code long")
 
 
+def with_codes(docs: DataFrame, name: str, words: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with the SimHash of each whole text as one more column."""
+
+    @F.arrow_udf("long")
+    def codes(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([simhash(t, words) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64))
+
+    return docs.withColumn(name, codes(text_of()))
+
+
 def _parts(bits: list[int], count: int) -> list[int]:
     """The bits dealt into ``count`` masks of consecutive bits."""
     cuts = [len(bits) * i // count for i in range(count + 1)]
@@ -207,12 +218,22 @@ def simhash_components(
 
 
 def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` but for all near copies: of each component the row with the smallest doc_id stays.
+    """The rows of ``docs`` but for all near copies: of each component one row stays, with all its columns.
 
-    All columns stay. Rows without a doc_id stay; of repeated rows with one doc_id all stay if that
-    doc_id names its component.
+    That is the row with the smallest doc_id (one without comes last), of several with it the one with the smallest hash
+    over all columns; of wholly equal rows one stays. So repeated rows and rows without a doc_id go like any other copy. Rows
+    without a word have the code zero and are copies of each other, and an empty table stays empty. Columns that hold a map cannot tell
+    rows apart.
     """
-    mark = free_name(docs, "component_id")
-    found = simhash_components(docs, words, max_bits).where("doc_id <> component_id")
-    gone = found.select(F.col("doc_id").alias(mark)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[mark], "left_anti")
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    key = {"no_id": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "hash": hashed}
+    rows = docs.select(*[c.alias(n) for n, c in key.items()], text_of().alias("text"))
+    rows = settled(with_codes(rows, "code", words).select(*key, "code"), "codes")
+    nodes = settled(rows.groupBy("code").agg(F.min(F.struct(*key)).alias("best")), "nodes")
+    linked = components(near_links(nodes.select("code", F.col("code").alias("doc")), max_bits))
+    named = nodes.join(linked, nodes["code"] == linked["node"], "left").select(F.coalesce("component", "code").alias("component"), "best")
+    chosen = named.groupBy("component").agg(F.min("best").alias("best"))
+    names = {n: free_name(docs, f"one_{n}") for n in key}
+    chosen = chosen.select(*[F.col(f"best.{n}").alias(names[n]) for n in key])
+    kept = docs.withColumns({names[n]: c for n, c in key.items()}).join(chosen, list(names.values()), "left_semi")
+    return kept.dropDuplicates(list(names.values())).select(*[F.col(f"`{c}`") for c in docs.columns])

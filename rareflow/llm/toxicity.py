@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -80,11 +81,12 @@ def _features(raws, first):
 
 @dataclass
 class Model:
-    """Weights that are not zero, by ascending bucket, and the intercept."""
+    """Weights that are not zero, by ascending bucket, the intercept, and how many of the two labels were learnt from."""
 
     buckets: np.ndarray
     weights: np.ndarray
     intercept: float
+    labels: int = 0
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Probability of label 1 for each text; a feature counts once however often it stands in a text."""
@@ -120,7 +122,7 @@ def fit_ftrl(rows: list[tuple[np.ndarray, int]], passes: int = PASSES) -> Model:
             n[at] = ni + g * g
     w = np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
     found = np.flatnonzero(w[:-1])
-    return Model(found, w[found], float(w[-1]))
+    return Model(found, w[found], float(w[-1]), len({label for _, label in rows}))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -161,18 +163,21 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS) -> Model:
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         learnt = [(np.frombuffer(b, dtype="<i4").astype(np.int64), int(y)) for batch in batches for b, y in zip(batch["buckets"], batch["label"])]
         model = fit_ftrl(learnt)
-        yield pd.DataFrame({"buckets": [model.buckets.astype("<i8").tobytes()], "weights": [model.weights.tobytes()], "intercept": [model.intercept]})
+        yield pd.DataFrame({"buckets": [model.buckets.astype("<i8").tobytes()], "weights": [model.weights.tobytes()], "intercept": [model.intercept], "labels": [model.labels]})
 
     found = texts.select("place", "id", "label", "text").mapInPandas(buckets, "place long, id long, label int, buckets binary")
     one = found.repartition(1).sortWithinPartitions("place", "id", "buckets")
-    row = one.mapInPandas(fit, "buckets binary, weights binary, intercept double").first()
+    row = one.mapInPandas(fit, "buckets binary, weights binary, intercept double, labels int").first()
     if row is None:
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0), 0.0)
-    return Model(np.frombuffer(row["buckets"], dtype="<i8"), np.frombuffer(row["weights"]), row["intercept"])
+    return Model(np.frombuffer(row["buckets"], dtype="<i8"), np.frombuffer(row["weights"]), row["intercept"], row["labels"])
 
 
 def with_scores(docs: DataFrame, model: Model, score: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text as one more column; null and empty texts have the intercept's."""
+    """``docs`` with the score of each whole text as one more column; null and empty texts have the intercept's.
+
+    A column of that name in ``docs`` is an error.
+    """
     if score.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"there is a column {score} already")
 
@@ -184,6 +189,14 @@ def with_scores(docs: DataFrame, model: Model, score: str = "score") -> DataFram
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that the model scores at ``threshold`` or above; all columns stay."""
+    """``docs`` without the rows that the model scores at ``threshold`` or above; all columns stay.
+
+    A model that has not learnt from texts of both labels, because the labels are missing or fit no text, tells nothing apart: then
+    all rows stay, with a warning.
+    """
+    model = learn(docs, labels)
+    if model.labels < 2:
+        logging.getLogger(__name__).warning("no texts of both labels to learn from: no document is rejected")
+        return docs
     score = free_name(docs, "toxicity")
-    return with_scores(docs, learn(docs, labels), score).where(F.col(score) < threshold).drop(score)
+    return with_scores(docs, model, score).where(F.col(score) < threshold).drop(score)
