@@ -85,6 +85,22 @@ def test_suffixes_of_a_repeated_row_in_one_batch(spark):
     assert found == [(1, 0), (1, 0), (2, 120), (3, 0)]
 
 
+def test_suffixes_in_batches_of_any_size(spark):
+    rng = random.Random(3)
+    text = ["".join(rng.choice("abcdefgh ") for _ in range(70)) for _ in range(2)]
+    rows = spark.range(70_000, numPartitions=1).selectExpr("id as doc_id", "repeat('x', 3) as text")
+    for i, t in ((10, text[0]), (69_990, text[0]), (20, text[1]), (65_556, text[1])):
+        rows = rows.withColumn("text", F.when(F.col("doc_id") == i, t).otherwise(F.col("text")))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("0", "7000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            found = suffixes.remove_repeats(rows).where("n_removed > 0").collect()
+            assert sorted((r["doc_id"], r["n_removed"]) for r in found) == [(65_556, 70), (69_990, 70)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_suffixes_deal_out_hot_ranks():
     rng = random.Random(4)
     prose = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
@@ -179,6 +195,32 @@ def test_one_of_each(docs, nothing):
     assert simhash.one_of_each(nothing).count() == 0
 
 
+def test_one_of_each_of_repeated_rows_and_missing_ids(spark):
+    text = "one two three four five six seven"
+    rows = [(None, text, 1), (9, text, 2), (3, text, 3), (3, text, 3), (3, text, 4), (None, text, 1), (12, text, 5)]
+    rows += [(None, "quite other words stand here and now", 1)] * 3 + [(5, "", 1), (4, None, 1), (6, " ", 1)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string, one_id int").repartition(4))
+    found = sorted(tuple(str(x) for x in r) for r in kept.collect())
+    assert kept.columns == ["doc_id", "text", "one_id"] and len(found) == 3
+    assert [f[:2] for f in found] == [("3", text), ("4", "None"), ("None", "quite other words stand here and now")]
+
+
+def test_one_of_each_against_all_pairs(docs):
+    codes = [(r["doc_id"], simhash.simhash(r["text"] or ""), tuple(r)) for r in docs.collect()]
+    group = list(range(len(codes)))
+    for _ in codes:
+        for i, a in enumerate(codes):
+            for j, b in enumerate(codes):
+                if (a[1] ^ b[1]).bit_count() <= 3:
+                    group[i] = group[j] = min(group[i], group[j])
+    best = {}
+    for g, (i, _, row) in zip(group, codes):
+        key = (i is None, i or 0)
+        if g not in best or key < best[g][0]:
+            best[g] = (key, row)
+    assert sorted(str(tuple(r)[:2]) for r in simhash.one_of_each(docs).collect()) == sorted(str(row[:2]) for _, row in best.values())
+
+
 @pytest.mark.parametrize("name", [packing.TOKENIZER, idfiles.TOKENIZER])
 def test_encoder(name):
     path = tokens.vocabulary(name)
@@ -369,6 +411,8 @@ def test_toxicity(spark, nothing):
     assert held.count() > 300 and wrong <= 0.02 * held.count() and len(model.buckets) < 200
     kept = toxicity.without_toxic(docs, labels)
     assert kept.columns == docs.columns and 1000 < kept.count() < 1250
+    for few in (labels.limit(0), labels.where("toxic = 1"), labels.withColumn("doc_id", F.col("doc_id") + 10_000)):
+        assert toxicity.without_toxic(docs, few).count() == docs.count()
     blank = toxicity.learn(docs, labels.limit(0))
     assert blank.scores(["x", ""]).tolist() == [0.5, 0.5]
     assert toxicity.without_toxic(nothing, labels.limit(0)).count() == 0
@@ -399,6 +443,69 @@ def test_forest(spark, leaf_rows):
     assert forest.near_vectors(vectors.limit(0)).count() == 0
 
 
+def _brute_links(rows):
+    """(links, smallest reachable) by id, over all pairs of one label and length."""
+    near = {i: [] for i, _, _ in rows}
+    by_kind = {}
+    for i, v, label in rows:
+        by_kind.setdefault((label, len(v)), []).append((i, v))
+    for mine in by_kind.values():
+        ids, unit = [i for i, _ in mine], np.array([v for _, v in mine])
+        unit = unit / np.linalg.norm(unit, axis=1)[:, None]
+        for a, b in zip(*np.nonzero(unit @ unit.T >= 0.98)):
+            if a != b:
+                near[ids[a]].append(ids[b])
+    root = {i: i for i in near}
+    changed = True
+    while changed:
+        changed = False
+        for i, others in near.items():
+            low = min([root[i], *[root[j] for j in others]])
+            changed |= low < root[i]
+            root[i] = low
+    return {i: (len(others), root[i]) for i, others in near.items()}
+
+
+@pytest.mark.parametrize("kind, leaf_rows", [("string", 2_000), ("string", 15), ("bigint", 15), ("double", 15)])
+def test_forest_of_any_label_and_length(spark, kind, leaf_rows):
+    rng = np.random.default_rng(2)
+    names = {"string": ["a", "b:4", ""], "bigint": [2**40, -1, 7], "double": [0.5, -2.0, 1e300]}[kind]
+    rows = []
+    for size in (4, 6):
+        base = rng.normal(size=(60, size))
+        for v in [*base, *(base[:30] + 0.05 * rng.normal(size=(30, size))), *(base[0] + 0.03 * rng.normal(size=(40, size)))]:
+            rows.append((len(rows), [float(x) for x in v], names[int(rng.integers(0, 3))]))
+    rows += [(1_000, [1.0, 2.0], names[0]), (1_001, [1.0, 2.01], names[0])]
+    vectors = spark.createDataFrame(rows, f"vec_id bigint, embedding array<double>, label {kind}").repartition(3)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in forest.near_vectors(vectors, leaf_rows=leaf_rows, trees=6).collect()}
+    wanted = _brute_links(rows)
+    assert found[1_000] == (1, 1_000) and found[1_001] == (1, 1_000)
+    assert sum(n for n, _ in found.values()) >= 0.97 * sum(n for n, _ in wanted.values())
+    assert all(found[i][0] <= wanted[i][0] for i in found)
+    if leaf_rows == 2_000:
+        assert found == wanted
+
+
+def test_forest_recall_at_production_parameters(spark):
+    """20,000 vectors of one label, far above a leaf: planted pairs at cosine 0.98 to 0.99, a dense group, and all others apart."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(14_000, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    aside = rng.normal(size=(4_000, 64))
+    aside -= (aside * base[:4_000]).sum(axis=1)[:, None] * base[:4_000]
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    cosine = rng.uniform(0.98001, 0.99, 4_000)[:, None]
+    pairs = cosine * base[:4_000] + np.sqrt(1 - cosine**2) * aside
+    dense = base[5_000] + 0.005 * rng.normal(size=(2_000, 64))
+    every = np.concatenate([base, pairs, dense])
+    vectors = spark.createDataFrame([(i, v.tolist(), 3) for i, v in enumerate(every)], "vec_id bigint, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in forest.near_vectors(vectors.repartition(8)).collect()}
+    unit = every / np.linalg.norm(every, axis=1)[:, None]
+    wanted = np.concatenate([(unit[a : a + 2_000] @ unit.T >= 0.98).sum(axis=1) - 1 for a in range(0, len(unit), 2_000)])
+    got = np.array([got[i] for i in range(len(every))])
+    assert (got <= wanted).all() and got.sum() >= 0.99 * wanted.sum() and (got > 0).sum() >= 0.99 * (wanted > 0).sum()
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
