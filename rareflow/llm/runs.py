@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -227,17 +227,24 @@ RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.in
 FOUND = pa.struct([("n_words", pa.int64()), ("runs", pa.list_(RUN)), ("strongest", RUN), ("collapsed", pa.string())])
 
 
-def _found(texts: list[list[bytes]], min_exponent: int, min_words: int) -> Iterator[dict]:
+def _blocks(texts: Iterable[list[bytes]]) -> Iterator[list[list[bytes]]]:
+    """Texts of ``BLOCK_WORDS`` words together, or one longer text."""
+    block, held = [], 0
+    for words in texts:
+        if block and held + len(words) > BLOCK_WORDS:
+            yield block
+            block, held = [], 0
+        block.append(words)
+        held += len(words)
+    if block:
+        yield block
+
+
+def _found(texts: Iterable[list[bytes]], min_exponent: int, min_words: int) -> Iterator[dict]:
     """For each text of words its runs and what is left of it, in blocks of texts."""
-    at = 0
-    while at < len(texts):
-        to, held = at, 0
-        while to < len(texts) and (to == at or held + len(texts[to]) <= BLOCK_WORDS):
-            held += len(texts[to])
-            to += 1
-        block, at = texts[at:to], to
+    for block in _blocks(texts):
         lengths = np.array([len(w) for w in block], dtype=np.int64)
-        flat = np.empty(held, dtype=object)
+        flat = np.empty(int(lengths.sum()), dtype=object)
         flat[:] = [w for words in block for w in words]
         numbers = pd.factorize(flat)[0].astype(np.int64)
         text, start, length, period = runs_of(numbers, lengths, min_exponent, min_words)
@@ -284,7 +291,8 @@ def with_runs(
 
     @F.arrow_udf(f"struct<n_words: bigint, runs: array<{run}>, strongest: {run}, collapsed: string>")
     def search(texts: pa.Array) -> pa.Array:
-        found = list(_found([t.split() for t in texts.cast(pa.binary()).to_pylist()], min_exponent, min_words))
+        # the texts are cut into words a block at a time
+        found = list(_found((t.as_py().split() for t in texts.cast(pa.binary())), min_exponent, min_words))
         offsets = np.concatenate([[0], np.cumsum([len(f["runs"]) for f in found])]).astype(np.int32)
         arrays = [
             pa.array([f["n_words"] for f in found], pa.int64()),
