@@ -130,7 +130,7 @@ def _with_fences(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
         by, [col(c) for c in columns], "column", "value"
     )
     same = F.col(by).eqNullSafe(F.col("g")) & (F.col("column") == F.col("c"))
-    return values.where(F.col("value").isNotNull()).join(F.broadcast(fences), same).drop("g", "c")
+    return values.where(F.col("value").isNotNull()).join(fences, same).drop("g", "c")
 
 
 def boxplot_rows(df: DataFrame, columns: Sequence[str], by: str = LABEL) -> DataFrame:

@@ -1,29 +1,29 @@
 """Exact order statistics and quantiles of large columns.
 
-``percentile`` keeps every distinct value of a group in one task. Here a sketch first brackets the
-wanted rank, then only the values inside the bracket are counted and ranked, and the counts prove
-that the rank was inside. Nothing but bracket rows is shuffled.
+``percentile`` keeps every distinct value of a group in one task. Here values are selected by the digits of an
+order-preserving 64-bit key: one scan counts the values per group, column and leading digit, a second one keeps the
+values whose leading digit holds a wanted rank. What is left is narrowed digit by digit without the input.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from rareflow.functions.columns import col
-from rareflow.operators.running import running_totals
-from rareflow.session import small_table
+from rareflow.session import small_table, staged
 
 ACCURACY = 10_000
-SKETCH_SIZE = 4_000
-STEPS = 1_000
-# about three times the sketch's rank error at 99 % confidence, as a share of the values
-SLACK = 0.002
+#: Bits of the key below the leading digit, which has the sign, the exponent and 8 bits of the fraction.
+LEADING = 44
+#: Rows that one task puts in order at most; more are counted by a further digit first.
 RANK_TASK_ROWS = 1_000_000
+#: Groups times columns whose figures are looked up together; each is a row on the driver.
+MOST_CELLS = 100_000
 
 
 @dataclass(frozen=True)
@@ -36,163 +36,158 @@ class OrderStatistic:
     n: int
 
 
-@dataclass(frozen=True)
-class _Bracket:
-    group: object
-    position: int
-    name: str
-    ranks: tuple[int, ...]
-    n: int
-    lo: float | None = None
-    hi: float | None = None
-    inside: float = math.inf
-    settled: bool = False
+def ordered_key(value: Column) -> Column:
+    """A long that orders doubles as Spark does: the bits of the number, negated below zero; both zeros are 0, NaN is the largest.
 
+    Spark has no function for the bits, so they are put together: the exponent is estimated by a logarithm and mended by one, and
+    scaling by a power of two is exact.
+    """
+    size = F.abs(value)
+    guess = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
+    scaled = size / F.pow(F.lit(2.0), guess)
+    lower = (scaled < 1) & (guess > -1022)
+    exponent = F.when(scaled >= 2, guess + 1).when(lower, guess - 1).otherwise(guess)
+    fraction = F.when(scaled >= 2, scaled / 2).when(lower, scaled * 2).otherwise(scaled)
+    # below the smallest normal number the fraction is under 1, and the exponent's bits are borrowed from it
+    bits = (exponent + 1022) * F.lit(1 << 52) + (fraction * float(1 << 52)).try_cast("long")
+    bits = F.when(size == 0, F.lit(0)).when(size == float("inf"), F.lit(0x7FF << 52)).otherwise(bits)
+    return F.when(F.isnan(value), F.lit((0x7FF << 52) + (1 << 51))).when(value < 0, -bits).otherwise(bits)
 
-def order_statistics(
-    df: DataFrame,
-    columns: Sequence[str],
-    ranks: Callable[[int], dict[str, tuple[int, ...]]],
-    by: str | None = None,
-    rank_task_rows: int = RANK_TASK_ROWS,
-) -> dict[tuple, tuple[OrderStatistic, ...]]:
-    """``{(group, column, name): statistics}`` for ``ranks(n) -> {name: neighbouring ranks}``.
 
-    Values are taken as doubles, NULLs are left out and NaN counts as the largest. The groups of
-    ``by`` must be few, such as class labels: one driver row is kept for each.
+def digit(key: Column | str, shift: int) -> Column:
+    return F.shiftright(key, shift)
+
+
+def leading_counts(values: DataFrame) -> DataFrame:
+    """``(g, position, bucket, n, lo, one)`` of ``values(g, position, value, key)``, stored: the first of the two scans.
+
+    Buckets are the leading digits of the key, some thousands a group and column; ``one`` says whether a bucket has a single value.
     """
-    base = df.select(
-        (col(by) if by else F.lit(0)).alias("g"), *[col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)]
-    )
-    first = base.groupBy("g").agg(
-        *[
-            F.struct(
-                F.count(f"_{i}").alias("n"),
-                F.count(F.nanvl(f"_{i}", F.lit(None).cast("double"))).alias("numbers"),
-                _sketch(f"_{i}").alias("grid"),
-            ).alias(c)
-            for i, c in enumerate(columns)
-        ]
-    )
-    pending, found = [], {}
-    for row in first.collect():
-        for i, c in enumerate(columns):
-            n, numbers, grid = row[c]
-            for name, wanted in ranks(n).items() if n else ():
-                bracket = _Bracket(row["g"], i, name, tuple(min(max(r, 1), n) for r in wanted), n)
-                pending.append(_narrow(bracket, grid, bracket.ranks, numbers) if numbers else _give_up(bracket))
+    counted = values.groupBy("g", "position", digit("key", LEADING).alias("bucket")).agg(*_figures(F.count("*")))
+    return staged(counted, "digits")
+
+
+def _figures(n: Column) -> list[Column]:
+    lo, hi = F.min("value"), F.max("value")
+    return [n.alias("n"), lo.alias("lo"), lo.eqNullSafe(hi).alias("one")]
 
-    values = base.select("g", F.posexplode(F.array(*[f"_{i}" for i in range(len(columns))])).alias("position", "value"))
-    values = values.where("value is not null")
-    while pending:
-        ready = [b for b in pending if b.inside <= rank_task_rows]
-        spread = [b for b in pending if b.inside > rank_task_rows and b.settled]
-        wide = [b for b in pending if b.inside > rank_task_rows and not b.settled]
-        pending = _refine(values, wide) if wide else []
-        if ready:
-            ranked = _rank_inside(values, ready)
-            found.update(ranked)
-            pending += [_give_up(b) for b in ready if b not in ranked]
-        if spread:
-            found.update(_rank_everywhere(values, spread, rank_task_rows))
-    return {(b.group, columns[b.position], b.name): statistics for b, statistics in found.items()}
-
-
-def _sketch(value: str) -> Column:
-    """Approximate values at STEPS + 1 evenly spaced ranks, NULL without numbers. SQL text, as that is one call."""
-    shares = ", ".join(f"{i / STEPS}D" for i in range(STEPS + 1))
-    sketch = f"kll_sketch_agg_double({value}, {SKETCH_SIZE})"
-    return F.expr(
-        f"case when kll_sketch_get_n_double({sketch}) > 0 then kll_sketch_get_quantile_double({sketch}, array({shares})) end"
-    )
 
+def cells_of(counts: DataFrame) -> list[Row]:
+    """Group, position and number of values of every column in every group, one row for each; too many groups are an error."""
+    cells = counts.groupBy("g", "position").agg(F.sum("n").alias("n")).limit(MOST_CELLS + 1).collect()
+    if len(cells) > MOST_CELLS:
+        raise ValueError(f"more than {MOST_CELLS} groups and columns: quantiles are for few groups, such as class labels")
+    return cells
 
-def _narrow(bracket: _Bracket, grid: list[float], ranks: Sequence[int], n: int) -> _Bracket:
-    """Cut the bracket to the sketch's values around the ``ranks`` of the ``n`` numbers inside it."""
-    low = math.floor((min(ranks) / n - SLACK) * STEPS) - 1
-    high = math.ceil((max(ranks) / n + SLACK) * STEPS) + 1
-    lo = grid[min(low, STEPS)] if low > 0 else bracket.lo
-    hi = grid[high] if high < STEPS else bracket.hi
-    if lo is not None and lo == hi:
-        return replace(bracket, lo=lo, hi=hi, inside=0)
-    unchanged = (lo, hi) == (bracket.lo, bracket.hi)
-    share = min(1.0, (high - low) / STEPS + 2 * SLACK)
-    return replace(bracket, lo=lo, hi=hi, inside=n if unchanged else n * share, settled=unchanged)
 
+def owned(df: DataFrame, cells: Sequence[tuple], extra: str = "") -> DataFrame:
+    """``df`` with the ``owner`` (the number) of each row's cell; ``cells`` are (group, position) and what ``extra`` names.
 
-def _give_up(bracket: _Bracket) -> _Bracket:
-    """Drop a bracket that cannot be used; the ranks are then looked up among all values, in ranges."""
-    return replace(bracket, lo=None, hi=None, inside=math.inf, settled=True)
+    The table of cells has a known size, by which Spark chooses between broadcasting it and a join by shuffle.
+    """
+    kind = df.schema["g"].dataType.simpleString()
+    names = [part.split()[0] for part in extra.split(", ") if part]
+    table = small_table(df.sparkSession, [(i, *c) for i, c in enumerate(cells)], ", ".join(x for x in (f"owner int, _g {kind}, _position int", extra) if x))
+    same = F.col("g").eqNullSafe(F.col("_g")) & (F.col("position") == F.col("_position"))
+    for name in names:
+        same = same & (F.col(name[1:]) == F.col(name))
+    return df.join(table, same).drop("_g", "_position", *names)
+
+
+def locate(counted: DataFrame, asked: Sequence[tuple[int, int]]) -> dict[tuple[int, int], Row]:
+    """For each (owner, rank) the row of ``counted(owner, bucket, n, lo, one)`` that has the rank, with the number ``below`` it."""
+    wanted = small_table(counted.sparkSession, sorted(set(asked)), "owner int, rank bigint")
+    upto = Window.partitionBy("owner").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("below", F.sum("n").over(upto) - F.col("n"))
+    met = (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("n"))
+    return {(r["owner"], r["rank"]): r for r in ranked.join(wanted, "owner").where(met).collect()}
 
 
-def _bracketed(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
-    """Every value once per bracket of its group and column: ``id`` and the side, -1 below, 0 inside, 1 above.
+def select_inside(
+    inside: DataFrame, asked: dict[tuple[int, int], int], rank_task_rows: int = RANK_TASK_ROWS
+) -> dict[tuple[int, int], tuple[float, int]]:
+    """(value, number below it) for each (owner, rank) among ``inside(owner, key, value, n)``, whose owners agree in the leading digit.
 
-    The broadcast table has one row per group, column and wanted quantile.
+    ``asked`` has the number of values of each (owner, rank). A digit has as many bits as a task may rank rows, so a few
+    rounds over ever fewer rows end at single keys; owners with few rows end in the first.
     """
-    group_type = values.schema["g"].dataType.simpleString()
-    table = small_table(
-        values.sparkSession,
-        [(i, b.group, b.position, b.lo, b.hi) for i, b in enumerate(brackets)],
-        f"id int, b_g {group_type}, b_position int, lo double, hi double",
-    )
-    same = F.col("g").eqNullSafe(F.col("b_g")) & (F.col("position") == F.col("b_position"))
-    side = F.when(F.col("value") < F.col("lo"), -1).when(F.col("value") > F.col("hi"), 1).otherwise(0)
-    return values.join(F.broadcast(table), same).select("id", "value", side.alias("side"))
-
-
-def _refine(values: DataFrame, brackets: list[_Bracket]) -> list[_Bracket]:
-    inside = F.col("side") == 0
-    sketched = (
-        _bracketed(values, brackets)
-        .groupBy("id")
-        .agg(
-            F.count_if(F.col("side") < 0).alias("below"),
-            F.count_if(inside).alias("inside"),
-            F.count_if(inside & ~F.isnan("value")).alias("numbers"),
-            _sketch("case when side = 0 then value end").alias("grid"),
-        )
+    found: dict[tuple[int, int], tuple[float, int]] = {}
+    # what was asked for, as it is asked now: (owner, rank) -> owner and rank among the rows left, and how many are below those
+    now = {a: (*a, 0) for a in asked}
+    shift, most = LEADING, max(asked.values(), default=0)
+    while now:
+        shift = 0 if most <= rank_task_rows else max(0, shift - max(1, int(math.log2(rank_task_rows))))
+        counted = inside.groupBy("owner", digit("key", shift).alias("bucket")).agg(*_figures(F.sum("n")))
+        hits = locate(counted, [(owner, rank) for owner, rank, _ in now.values()])
+        ahead, targets, most = {}, {}, 0
+        for a, (owner, rank, below) in now.items():
+            hit = hits[owner, rank]
+            if hit["one"] or rank == hit["below"] + 1:
+                found[a] = (hit["lo"], below + hit["below"])
+                continue
+            target = targets.setdefault((owner, hit["bucket"]), len(targets))
+            ahead[a] = (target, rank - hit["below"], below + hit["below"])
+            most = max(most, hit["n"])
+        if ahead:
+            rows = [(target, *t) for t, target in targets.items()]
+            narrowed = small_table(inside.sparkSession, rows, "target int, _owner int, _bucket bigint")
+            same = (F.col("owner") == F.col("_owner")) & (digit("key", shift) == F.col("_bucket"))
+            inside = inside.join(narrowed, same).select(F.col("target").alias("owner"), "key", "value", "n")
+        now = ahead
+    return found
+
+
+def long_values(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
+    """``(g, position, value, key)``: the columns as doubles in long form, without NULLs."""
+    base = df.select(
+        (col(by) if by else F.lit(0)).alias("g"), *[col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)]
     )
-    narrowed = []
-    for row in sketched.collect():
-        b = brackets[row["id"]]
-        ranks = [r - row["below"] for r in b.ranks]
-        usable = 0 < min(ranks) and max(ranks) <= row["inside"] and row["numbers"]
-        narrowed.append(_narrow(b, row["grid"], ranks, row["numbers"]) if usable else _give_up(b))
-    return narrowed
-
-
-def _rank_inside(values: DataFrame, brackets: list[_Bracket]) -> dict[_Bracket, tuple[OrderStatistic, ...]]:
-    """Count the values below each bracket in one row and those inside per value, then rank the latter."""
-    inside = F.when(F.col("side") == 0, F.col("value")).alias("value")
-    counted = _bracketed(values, brackets).where("side <= 0").groupBy("id", inside).agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("id").orderBy(F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0)
-    below = F.sum("n").over(upto) - F.col("n")
-    return _look_up(counted.select("id", "value", "n", below.alias("below")).where("value is not null"), brackets)
-
-
-def _rank_everywhere(
-    values: DataFrame, brackets: list[_Bracket], rank_task_rows: int
-) -> dict[_Bracket, tuple[OrderStatistic, ...]]:
-    counted = _bracketed(values, [_give_up(b) for b in brackets]).groupBy("id", "value").agg(F.count("*").alias("n"))
-    ranked = running_totals(counted, "value", ["n"], ["id"], rank_task_rows)
-    below = F.col("all_n") - F.col("cum_n")
-    return _look_up(ranked.select("id", "value", "n", below.alias("below")), brackets)
-
-
-def _look_up(ranked: DataFrame, brackets: list[_Bracket]) -> dict[_Bracket, tuple[OrderStatistic, ...]]:
-    """The statistics of every bracket whose ranks were all met; a few rows per bracket come to the driver."""
-    rows = [(i, r) for i, b in enumerate(brackets) for r in sorted(set(b.ranks))]
-    wanted = small_table(ranked.sparkSession, rows, "id int, rank bigint")
-    met = (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("n"))
-    hits = {
-        (r["id"], r["rank"]): (r["value"], r["below"])
-        for r in ranked.join(F.broadcast(wanted), "id").where(met).collect()
-    }
+    values = base.select("g", F.posexplode(F.array(*[f"_{i}" for i in range(len(columns))])).alias("position", "value"))
+    return values.where("value is not null").withColumn("key", ordered_key(F.col("value")))
+
+
+def order_statistics(
+    df: DataFrame,
+    columns: Sequence[str],
+    ranks: Callable[[int], dict[str, tuple[int, ...]]],
+    by: str | None = None,
+    rank_task_rows: int = RANK_TASK_ROWS,
+) -> dict[tuple, tuple[OrderStatistic, ...]]:
+    """``{(group, column, name): statistics}`` for ``ranks(n) -> {name: neighbouring ranks}``.
+
+    Values are taken as doubles, NULLs are left out and NaN counts as the largest. The groups of
+    ``by`` must be few, such as class labels: one driver row is kept for each. Two scans of ``df`` at most, at any size.
+    """
+    values = long_values(df, columns, by)
+    counts = leading_counts(values)
+    cells = cells_of(counts)
+    wanted = {}
+    for owner, cell in enumerate(cells):
+        for name, some in ranks(cell["n"]).items():
+            wanted[owner, name] = tuple(min(max(r, 1), cell["n"]) for r in some)
+    if not wanted:
+        return {}
+    by_digit = owned(counts, [(c["g"], c["position"]) for c in cells])
+    hits = locate(by_digit, [(owner, r) for (owner, _), some in wanted.items() for r in some])
+    found, targets, ahead = {}, {}, {}
+    for (owner, rank), hit in hits.items():
+        if hit["one"] or rank == hit["below"] + 1:
+            found[owner, rank] = (hit["lo"], hit["below"])
+            continue
+        target = targets.setdefault((owner, hit["bucket"]), len(targets))
+        ahead[target, rank - hit["below"]] = (owner, rank, hit["below"], hit["n"])
+    if ahead:
+        of_digit = [(cells[owner]["g"], cells[owner]["position"], bucket) for owner, bucket in targets]
+        kept = owned(values.withColumn("bucket", digit("key", LEADING)), of_digit, "_bucket bigint")
+        inside = staged(kept.groupBy("owner", "key").agg(F.min("value").alias("value"), F.count("*").alias("n")), "inside")
+        for a, (value, below) in select_inside(inside, {a: x[3] for a, x in ahead.items()}, rank_task_rows).items():
+            owner, rank, before, _ = ahead[a]
+            found[owner, rank] = (value, before + below)
     return {
-        b: tuple(OrderStatistic(*hits[(i, r)], r, b.n) for r in b.ranks)
-        for i, b in enumerate(brackets)
-        if all((i, r) in hits for r in b.ranks)
+        (cells[owner]["g"], columns[cells[owner]["position"]], name): tuple(
+            OrderStatistic(*found[owner, r], r, cells[owner]["n"]) for r in some
+        )
+        for (owner, name), some in wanted.items()
     }
 
 

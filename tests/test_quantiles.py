@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rareflow.operators import quantiles
 from rareflow.operators.running import running_totals
@@ -30,7 +31,7 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 150, 3])
-def test_brackets_and_refinement(skewed, limit):
+def test_digit_by_digit(skewed, limit):
     v, df = skewed
     found = quantiles.exact_quantiles(df, ["v", "w"], (0.01, 0.25, 0.5, 0.999), by="g", rank_task_rows=limit)
     for g in (0, 1):
@@ -38,12 +39,45 @@ def test_brackets_and_refinement(skewed, limit):
         assert found[(g, "w")] == pytest.approx(np.quantile(-v[g::2], (0.01, 0.25, 0.5, 0.999)).tolist(), rel=1e-12)
 
 
-def test_bad_sketch_is_noticed(skewed, monkeypatch):
-    """With brackets in the wrong place the counts show it and the ranks are looked up without them."""
+def test_two_scans_however_many_digits(spark, skewed, tmp_path):
+    """The input is read once per scan; with room for two rows a task, every further digit is taken from the stored rest."""
     v, df = skewed
-    monkeypatch.setattr(quantiles, "SLACK", -0.2)
-    found = quantiles.exact_quantiles(df, ["v"], (0.25, 0.6), rank_task_rows=2_000)
-    assert found[(0, "v")] == pytest.approx(np.quantile(v, (0.25, 0.6)).tolist(), rel=1e-12)
+    path = f"{tmp_path}/skewed"
+    df.write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(x):
+        read.add(1)
+        return x
+
+    counted = spark.read.parquet(path).select("g", seen.asNondeterministic()("v").alias("v"))
+    found = quantiles.exact_quantiles(counted, ["v"], (0.01, 0.25, 0.5, 0.9, 0.999), by="g", rank_task_rows=2)
+    assert found[(0, "v")] == pytest.approx(np.quantile(v[0::2], (0.01, 0.25, 0.5, 0.9, 0.999)).tolist(), rel=1e-12)
+    assert read.value == 2 * len(v)
+    read.value = 0
+    assert quantiles.exact_quantiles(counted.withColumn("v", F.floor("v") % 3 * 1e9), ["v"], (0.5,))
+    assert read.value == len(v)  # each leading digit has a single value, so one scan tells all
+
+
+def test_keys_order_doubles(spark):
+    rng = np.random.default_rng(8)
+    values = rng.integers(-(2**63), 2**63 - 1, 4_000).view(np.float64)
+    edges = [0.0, -0.0, 1.0, 2.0, 0.5, 3.0, 1e308, 1.7976931348623157e308, 2.2250738585072014e-308, 2.225073858507201e-308, 5e-324, 1e-310, math.inf]
+    values = np.concatenate([values[~np.isnan(values)], edges, -np.array(edges), np.nextafter(2.0 ** np.arange(-40, 40), 0), 2.0 ** np.arange(-1074, 1024)])
+    df = spark.createDataFrame([(float(x),) for x in values] + [(math.nan,)], "v double").select("v", quantiles.ordered_key(F.col("v")).alias("k"))
+    found = {r["v"]: r["k"] for r in df.collect()}
+    ordered = [found[x] for x in sorted({float(x) for x in values})]
+    assert all(a < b for a, b in zip(ordered, ordered[1:])) and max(ordered) < df.where("isnan(v)").first()["k"]
+    for x in values:
+        bits = int(np.array([abs(x)]).view(np.int64)[0])
+        assert found[float(x)] == (-bits if x < 0 else bits)
+
+
+def test_too_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MOST_CELLS", 50)
+    with pytest.raises(ValueError, match="few groups"):
+        quantiles.exact_quantiles(spark.range(60).selectExpr("id as g", "double(id) as v"), ["v"], (0.5,), by="g")
 
 
 def test_order_statistics_count_below(spark):

@@ -48,6 +48,20 @@ def test_stratified_split_breaks_hash_ties_by_key(labelled):
     assert ids(train) == sorted(expected)
 
 
+def test_stratified_split_reads_its_input_twice(spark, labelled, tmp_path):
+    labelled.write.parquet(f"{tmp_path}/rows")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def seen(x):
+        read.add(1)
+        return x
+
+    rows = spark.read.parquet(f"{tmp_path}/rows").withColumn("id", seen.asNondeterministic()("id"))
+    split.mark_stratified_split(rows, h(), key())
+    assert read.value == 2 * 2000
+
+
 def test_copies_stay_together(spark):
     rows = [(1, 0)] * 300 + [(i, 0) for i in range(2, 602)]
     df = spark.createDataFrame(rows, "id bigint, Class int")
