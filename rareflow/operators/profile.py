@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rareflow.functions.columns import col
+from rareflow.operators.comoments import co_moments
 from rareflow.operators.quantiles import exact_quantiles
 from rareflow.schema import LABEL
 from rareflow.session import small_table
@@ -65,36 +63,14 @@ def describe_text(df: DataFrame) -> DataFrame:
 def correlation_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every ordered pair as rows ``(a, b, r)``; NULL for a constant column.
 
-    Complete columns go through MLlib's Gram matrix (one centred pass, d*d numbers per task). With
-    missing values each pair uses the rows where both are present.
+    One scan, whatever is missing: each pair uses the rows where both columns have a value, and NaN counts as missing.
     """
     names = list(columns or numeric_columns(df))
-    numbers = df.select([F.nanvl(col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in names])
-    checks = [F.struct(F.count_if(col(c).isNull()), F.min(col(c)), F.max(col(c))).alias(c) for c in names]
-    found = numbers.agg(*checks).first()
-    varying = [c for c in names if found[c][1] != found[c][2]]
-    r = {}
-    if any(found[c][0] for c in varying):
-        r = _pairwise(numbers, varying)
-    elif varying:
-        vectors = numbers.select(array_to_vector(F.array(*[col(c) for c in varying])).alias("v"))
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        r = {(a, b): float(matrix[i, j]) for i, a in enumerate(varying) for j, b in enumerate(varying)}
-    known = {pair: v for pair, v in r.items() if v == v}
-    rows = [(a, b, known.get((a, b))) for a in names for b in names]
+    matrix = co_moments(df, names).correlation()
+    rows = [(a, b, None if r != r else float(r)) for a, line in zip(names, matrix) for b, r in zip(names, line)]
     return small_table(df.sparkSession, rows, "a string, b string, r double")
 
 
-def _pairwise(numbers: DataFrame, names: list[str]) -> dict[tuple, float | None]:
-    pairs = [*combinations(names, 2), *((a, a) for a in names)]
-
-    def r(a: Column, b: Column) -> Column:
-        return F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b)))
-
-    row = numbers.agg(*[r(col(a), col(b)).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]).first()
-    return {key: row[i] for i, (a, b) in enumerate(pairs) for key in ((a, b), (b, a))}
-
-
 def colour_range(*matrices: DataFrame) -> DataFrame:
     """Smallest and largest correlation over several matrices, for one shared scale."""
     every = matrices[0]

@@ -1,8 +1,8 @@
 """Exact order statistics and quantiles of large columns.
 
 ``percentile`` keeps every distinct value of a group in one task. Here values are selected by the digits of an
-order-preserving 64-bit key: one scan counts the values per group, column and leading digit, a second one keeps the
-values whose leading digit holds a wanted rank. What is left is narrowed digit by digit without the input.
+order-preserving key: one scan counts the values per group, column and leading digit, a second one keeps the
+values whose leading digit holds a wanted rank. What is left is narrowed by the digits of its 64-bit keys without the input.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from rareflow.functions.columns import col
 from rareflow.session import small_table, staged
 
 ACCURACY = 10_000
-#: Bits of the key below the leading digit, which has the sign, the exponent and 8 bits of the fraction.
-LEADING = 44
+#: Leading digits a power of two has; values with one leading digit agree in the key's bits above the lowest ``KEY_BITS``, but for a carry.
+DIGITS = 256
+KEY_BITS = 44
 #: Rows that one task puts in order at most; more are counted by a further digit first.
 RANK_TASK_ROWS = 1_000_000
 #: Groups times columns whose figures are looked up together; each is a row on the driver.
@@ -36,22 +37,33 @@ class OrderStatistic:
     n: int
 
 
-def ordered_key(value: Column) -> Column:
-    """A long that orders doubles as Spark does: the bits of the number, negated below zero; both zeros are 0, NaN is the largest.
+def leading_digit(value: Column | str) -> Column:
+    """A whole number that never falls as the value grows: the binary logarithm in steps of 1/256, with the sign; both zeros are 0."""
+    value = F.col(value) if isinstance(value, str) else value
+    # logarithms run from -1074 to 1024, and never fall either
+    size = F.floor(F.least(F.log2(F.abs(value)), F.lit(1025.0)) * DIGITS) + 1100 * DIGITS
+    return F.when(F.isnan(value), F.lit(1 << 40)).when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("long") * size)
 
-    Spark has no function for the bits, so they are put together: the exponent is estimated by a logarithm and mended by one, and
-    scaling by a power of two is exact.
+
+def with_key(df: DataFrame) -> DataFrame:
+    """``df`` with ``key``, a long that orders the doubles in ``value`` as Spark does: the bits of the number, negated below zero.
+
+    Both zeros are 0, NaN is the largest. Spark has no function for the bits, so they are put together: the exponent is
+    estimated by a logarithm and mended by one, and scaling by a power of two is exact. Each step is a column, so none is computed twice.
     """
-    size = F.abs(value)
-    guess = F.least(F.greatest(F.floor(F.log2(size)), F.lit(-1022)), F.lit(1023))
-    scaled = size / F.pow(F.lit(2.0), guess)
+    size, guess, scaled, value = (F.col(c) for c in ("_size", "_guess", "_scaled", "value"))
+    steps = df.select("*", F.abs("value").alias("_size"))
+    steps = steps.select("*", F.least(F.greatest(F.floor(F.least(F.log2(size), F.lit(1025.0))), F.lit(-1022)), F.lit(1023)).alias("_guess"))
+    steps = steps.select("*", (size / F.pow(F.lit(2.0), guess)).alias("_scaled"))
     lower = (scaled < 1) & (guess > -1022)
     exponent = F.when(scaled >= 2, guess + 1).when(lower, guess - 1).otherwise(guess)
     fraction = F.when(scaled >= 2, scaled / 2).when(lower, scaled * 2).otherwise(scaled)
     # below the smallest normal number the fraction is under 1, and the exponent's bits are borrowed from it
     bits = (exponent + 1022) * F.lit(1 << 52) + (fraction * float(1 << 52)).try_cast("long")
     bits = F.when(size == 0, F.lit(0)).when(size == float("inf"), F.lit(0x7FF << 52)).otherwise(bits)
-    return F.when(F.isnan(value), F.lit((0x7FF << 52) + (1 << 51))).when(value < 0, -bits).otherwise(bits)
+    steps = steps.select("*", bits.alias("_bits"))
+    key = F.when(F.isnan(value), F.lit((0x7FF << 52) + (1 << 51))).when(value < 0, -F.col("_bits")).otherwise(F.col("_bits"))
+    return steps.select(*[col(c) for c in df.columns], key.alias("key"))
 
 
 def digit(key: Column | str, shift: int) -> Column:
@@ -59,11 +71,11 @@ def digit(key: Column | str, shift: int) -> Column:
 
 
 def leading_counts(values: DataFrame) -> DataFrame:
-    """``(g, position, bucket, n, lo, one)`` of ``values(g, position, value, key)``, stored: the first of the two scans.
+    """``(g, position, bucket, n, lo, one)`` of ``values(g, position, value)``, stored: the first of the two scans.
 
-    Buckets are the leading digits of the key, some thousands a group and column; ``one`` says whether a bucket has a single value.
+    Buckets are the leading digits, some thousands a group and column; ``one`` says whether a bucket has a single value.
     """
-    counted = values.groupBy("g", "position", digit("key", LEADING).alias("bucket")).agg(*_figures(F.count("*")))
+    counted = values.groupBy("g", "position", leading_digit("value").alias("bucket")).agg(*_figures(F.count("*")))
     return staged(counted, "digits")
 
 
@@ -106,7 +118,7 @@ def locate(counted: DataFrame, asked: Sequence[tuple[int, int]]) -> dict[tuple[i
 def select_inside(
     inside: DataFrame, asked: dict[tuple[int, int], int], rank_task_rows: int = RANK_TASK_ROWS
 ) -> dict[tuple[int, int], tuple[float, int]]:
-    """(value, number below it) for each (owner, rank) among ``inside(owner, key, value, n)``, whose owners agree in the leading digit.
+    """(value, number below it) for each (owner, rank) among ``inside(owner, key, value, n)``, an owner's values having one leading digit.
 
     ``asked`` has the number of values of each (owner, rank). A digit has as many bits as a task may rank rows, so a few
     rounds over ever fewer rows end at single keys; owners with few rows end in the first.
@@ -114,7 +126,7 @@ def select_inside(
     found: dict[tuple[int, int], tuple[float, int]] = {}
     # what was asked for, as it is asked now: (owner, rank) -> owner and rank among the rows left, and how many are below those
     now = {a: (*a, 0) for a in asked}
-    shift, most = LEADING, max(asked.values(), default=0)
+    shift, most = KEY_BITS, max(asked.values(), default=0)
     while now:
         shift = 0 if most <= rank_task_rows else max(0, shift - max(1, int(math.log2(rank_task_rows))))
         counted = inside.groupBy("owner", digit("key", shift).alias("bucket")).agg(*_figures(F.sum("n")))
@@ -138,12 +150,12 @@ def select_inside(
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
-    """``(g, position, value, key)``: the columns as doubles in long form, without NULLs."""
+    """``(g, position, value)``: the columns as doubles in long form, without NULLs."""
     base = df.select(
         (col(by) if by else F.lit(0)).alias("g"), *[col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)]
     )
     values = base.select("g", F.posexplode(F.array(*[f"_{i}" for i in range(len(columns))])).alias("position", "value"))
-    return values.where("value is not null").withColumn("key", ordered_key(F.col("value")))
+    return values.where("value is not null")
 
 
 def order_statistics(
@@ -178,7 +190,7 @@ def order_statistics(
         ahead[target, rank - hit["below"]] = (owner, rank, hit["below"], hit["n"])
     if ahead:
         of_digit = [(cells[owner]["g"], cells[owner]["position"], bucket) for owner, bucket in targets]
-        kept = owned(values.withColumn("bucket", digit("key", LEADING)), of_digit, "_bucket bigint")
+        kept = with_key(owned(values.withColumn("bucket", leading_digit("value")), of_digit, "_bucket bigint"))
         inside = staged(kept.groupBy("owner", "key").agg(F.min("value").alias("value"), F.count("*").alias("n")), "inside")
         for a, (value, below) in select_inside(inside, {a: x[3] for a, x in ahead.items()}, rank_task_rows).items():
             owner, rank, before, _ = ahead[a]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rareflow.functions.columns import col
 from rareflow.functions.hashing import hash_fraction
-from rareflow.operators.quantiles import LEADING, cells_of, digit, leading_counts, locate, ordered_key, owned, select_inside
+from rareflow.operators.quantiles import cells_of, leading_counts, leading_digit, locate, owned, select_inside, with_key
 from rareflow.schema import LABEL
 from rareflow.session import small_table, staged
 
@@ -63,7 +63,6 @@ def mark_stratified_split(
     keyed = df.select(col(label).alias("g"), F.lit(0).alias("position"), h.cast("double").alias("value"), tie.alias("t"))
     if stage_keys:
         keyed = staged(keyed, "split-keys")
-    keyed = keyed.withColumn("key", ordered_key(F.col("value")))
     cuts = _last_of_train(keyed, ratio)
     if not cuts:
         return df.withColumn(part, F.lit("test"))
@@ -92,7 +91,7 @@ def _last_of_train(keyed: DataFrame, ratio: float) -> dict[object, tuple[int, ob
     ranks = [min(max(math.floor(c["n"] * ratio), 1), c["n"]) for c in cells]
     hits = locate(owned(counts, [(c["g"], 0) for c in cells]), list(enumerate(ranks)))
     buckets = [(c["g"], 0, hits[i, ranks[i]]["bucket"]) for i, c in enumerate(cells)]
-    near = owned(keyed.withColumn("bucket", digit("key", LEADING)), buckets, "_bucket bigint")
+    near = with_key(owned(keyed.withColumn("bucket", leading_digit("value")), buckets, "_bucket bigint"))
     near = staged(near.groupBy("owner", "key", "value", "t").agg(F.count("*").alias("n")), "cut")
     asked = {(i, ranks[i] - hits[i, ranks[i]]["below"]): hits[i, ranks[i]]["n"] for i in range(len(cells))}
     found = {owner: at for (owner, _), at in select_inside(near.select("owner", "key", "value", "n"), asked).items()}

@@ -65,8 +65,11 @@ def test_keys_order_doubles(spark):
     values = rng.integers(-(2**63), 2**63 - 1, 4_000).view(np.float64)
     edges = [0.0, -0.0, 1.0, 2.0, 0.5, 3.0, 1e308, 1.7976931348623157e308, 2.2250738585072014e-308, 2.225073858507201e-308, 5e-324, 1e-310, math.inf]
     values = np.concatenate([values[~np.isnan(values)], edges, -np.array(edges), np.nextafter(2.0 ** np.arange(-40, 40), 0), 2.0 ** np.arange(-1074, 1024)])
-    df = spark.createDataFrame([(float(x),) for x in values] + [(math.nan,)], "v double").select("v", quantiles.ordered_key(F.col("v")).alias("k"))
+    df = spark.createDataFrame([(float(x),) for x in values] + [(math.nan,)], "value double")
+    df = quantiles.with_key(df).select(F.col("value").alias("v"), F.col("key").alias("k"), quantiles.leading_digit("value").alias("digit"))
     found = {r["v"]: r["k"] for r in df.collect()}
+    digits = [r["digit"] for r in df.orderBy("k").collect()]
+    assert digits == sorted(digits)
     ordered = [found[x] for x in sorted({float(x) for x in values})]
     assert all(a < b for a, b in zip(ordered, ordered[1:])) and max(ordered) < df.where("isnan(v)").first()["k"]
     for x in values:

@@ -79,11 +79,14 @@ def corr_rows(source: str, columns: list[str]) -> str:
 
 
 def corr_matrix(source: str, columns: list[str]) -> str:
-    """All pairs from one scan: a wide row of correlations, then one row each."""
-    pairs = [(a, b) for a in columns for b in columns]
-    wide = ", ".join(f'corr("{a}","{b}") as c{i}' for i, (a, b) in enumerate(pairs))
-    names = ", ".join(f"('{a}','{b}',c{i})" for i, (a, b) in enumerate(pairs))
-    return f"w as (select {wide} from {source}), cm as (select v.a, v.b, v.r from w, lateral (values {names}) v(a, b, r))"
+    """One triangle of the pairs over the rows in long form, and its mirror image."""
+    names = ", ".join(f"'{c}'" for c in columns)
+    values = ", ".join(f'cast("{c}" as double)' for c in columns)
+    return f"""lc as (select row, unnest(range({len(columns)})) as i, unnest([{names}]) as col, unnest([{values}]) as v
+      from (select row_number() over () as row, * from {source})),
+    half as (select x.i, y.i as j, x.col as a, y.col as b, corr(x.v, y.v) as r
+      from lc x join lc y on x.row = y.row and x.i <= y.i group by all),
+    cm as (select a, b, r from half union all select b, a, r from half where i < j)"""
 
 
 def long_form(source: str, columns: list[str], carry: str = '"Class"') -> str:
