@@ -18,6 +18,14 @@ def col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that ``df`` does not hold yet."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def join_groups(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
     """A join on group keys in which NULL is a group like any other; the keys stand once, as in ``left``."""
     keys = list(keys)

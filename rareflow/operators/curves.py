@@ -29,18 +29,49 @@ def score_counts(scored: DataFrame, label: str = LABEL, score: str = "score", by
     )
 
 
+def score_totals(
+    scored: DataFrame,
+    label: str = LABEL,
+    score: str = "score",
+    by: Sequence[str] = (),
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Positives, negatives and distinct scores (``one``) of every score, with their running totals from the highest score down."""
+    counts = score_counts(scored, label, score, by).withColumn("one", F.lit(1).cast("bigint"))
+    return running_totals(counts, "score", ["pos", "neg", "one"], by, rows_per_task)
+
+
+def thinned(totals: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
+    """The totals with about ``bins`` scores a group: runs of equally many neighbouring scores are put together.
+
+    As MLlib's evaluator does with the curve of one partition: from the highest score down, floor(scores / bins) scores make one
+    with the smallest of them, and curves of fewer than twice as many scores as bins stay whole.
+    """
+    width = F.greatest(F.floor(F.col("all_one") / F.lit(bins)), F.lit(1))
+    run = F.floor((F.col("cum_one") - 1) / width).alias("_run")
+    summed = [F.sum(s).alias(s) for s in ("pos", "neg", "one")]
+    last = [F.max(f"{kind}_{s}").alias(f"{kind}_{s}") for kind in ("cum", "all") for s in ("pos", "neg", "one")]
+    return totals.groupBy(*by, run).agg(F.min("score").alias("score"), *summed, *last).drop("_run")
+
+
 def curve_points(
     scored: DataFrame,
     label: str = LABEL,
     score: str = "score",
     by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
+    bins: int = 0,
 ) -> DataFrame:
     """One row per distinct score taken as threshold: tp, fp, fn, tn, precision, recall, fpr and F1.
 
-    ``pos`` and ``neg`` stay: the point before a row is (tp - pos, fp - neg), so areas need no window.
+    ``pos`` and ``neg`` stay: the point before a row is (tp - pos, fp - neg), so areas need no window. With ``bins`` the curve is thinned.
     """
-    totals = running_totals(score_counts(scored, label, score, by), "score", ["pos", "neg"], by, rows_per_task)
+    totals = score_totals(scored, label, score, by, rows_per_task)
+    return points_of(thinned(totals, bins, by) if bins else totals, by)
+
+
+def points_of(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The points of the curves from running totals."""
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     positives = _needed(F.col("all_pos"), "positive")
     negatives = _needed(F.col("all_neg"), "negative")

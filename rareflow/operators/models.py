@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -12,17 +14,18 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rareflow.functions.columns import col, vector_item
+from rareflow.functions.columns import col, free_name, vector_item
 from rareflow.functions.hashing import row_hash
-from rareflow.operators.curves import curve_areas, curve_points
+from rareflow.operators.curves import curve_areas, curve_points, points_of, score_totals, thinned
 from rareflow.operators.split import mark_hash_split, parts
 from rareflow.schema import LABEL
-from rareflow.session import staged
+from rareflow.session import scratch_path, staged
 
 ESTIMATORS = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
 
@@ -39,6 +42,7 @@ GRIDS = {
     "rf": {"maxDepth": [8, 12], "numTrees": [100, 200]},
     "gbt": {"maxIter": [30, 60], "maxDepth": [4, 6]},
 }
+DEFAULT_BINS = 1_000
 VECTORS = ("features_raw", "features", "rawPrediction", "probability")
 
 
@@ -79,16 +83,36 @@ def make_evaluator(metric: str = "areaUnderPR", label: str = LABEL, raw: str = "
 
 @dataclass
 class Search:
-    """What a search over candidates found, under the names of MLlib's own search models."""
+    """What a search over candidates found, under the names of MLlib's own search models.
+
+    ``foldMetrics`` has the areas of a cross-validation by fold, each in the candidates' order; ``validationMetrics`` are their means.
+    """
 
     bestModel: PipelineModel
     validationMetrics: list[float]
     candidates: list[dict]
+    foldMetrics: list[list[float]]
+
+    @property
+    def avgMetrics(self) -> list[float]:
+        return self.validationMetrics
 
     def getEstimatorParamMaps(self) -> list[dict]:
         return self.candidates
 
 
+def _fit_each(spark: SparkSession, works: Sequence[Callable[[], Any]], parallelism: int) -> list:
+    """The results of several fits, some of which run at a time."""
+    with ThreadPool(max(1, min(parallelism, len(works)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda work: work()), works)
+
+
+def areas_by_model(scored: DataFrame, label: str = LABEL, bins: int = 0) -> dict[str, float]:
+    """AUPRC of every model of ``scored(label, model, margin)``: the points of all from one shuffle by model and margin."""
+    points = curve_points(scored, label, "margin", ["model"], bins=bins)
+    return {r["model"]: r["auprc_spark"] for r in curve_areas(points, ["model"]).collect()}
+
+
 def tune_by_split(
     train: DataFrame,
     features: Sequence[str],
@@ -104,20 +128,38 @@ def tune_by_split(
     """Every candidate pipeline is fitted on one part and judged by AUPRC on the other; the best is refitted on all.
 
     A row's part follows from its hash ``h``, by default over all its columns, so the same rows are judged on any
-    partitioning. Both parts are written once, as each candidate reads them. Among equals the first candidate wins.
+    partitioning. Both parts are written once, as each candidate reads them. The judged part is scored by all candidates in
+    one scan, and one shuffle has the curves of all. Among equals the first candidate wins.
     """
     marked = mark_hash_split(train, ratio, row_hash(train.columns, seed) if h is None else h, "_part")
     fitting, judged = (staged(part, "search") for part in parts(marked, "_part"))
     pipeline, candidates = make_pipeline(features, estimator), make_grid(estimator, grid)
-    evaluator = make_evaluator(label=label, bins=bins)
+    fitted = _fit_each(train.sparkSession, [partial(pipeline.fit, fitting, c) for c in candidates], parallelism)
+    found = areas_by_model(score_by_models({str(i): m for i, m in enumerate(fitted)}, judged, [label]), label, bins)
+    areas = [found[str(i)] for i in range(len(candidates))]
+    best = candidates[areas.index(max(areas))]
+    return Search(pipeline.fit(train, best), areas, candidates, [areas])
 
-    def judge(candidate: dict) -> float:
-        return evaluator.evaluate(pipeline.fit(fitting, candidate).transform(judged))
 
-    with ThreadPool(min(parallelism, len(candidates))) as pool:
-        areas = pool.map(inheritable_thread_target(train.sparkSession)(judge), candidates)
-    best = candidates[areas.index(max(areas))]
-    return Search(pipeline.fit(train, best), areas, candidates)
+def fold_scales(rows: DataFrame, features: Sequence[str], fold: str, folds: int) -> list[list[float]]:
+    """For each fold the factors that divide the features by their sample deviations over all other folds, from one scan.
+
+    Numbers, means and squared deviations are summed up by fold; those of the others are put together for each fold left out.
+    """
+    figures = [F.struct(F.count(col(c)).alias("n"), F.avg(col(c)).alias("mean"), F.var_pop(col(c)).alias("var")).alias(f"_{i}") for i, c in enumerate(features)]
+    by_fold = {r[fold]: r for r in rows.groupBy(fold).agg(*figures).collect()}
+    scales = []
+    for left_out in range(folds):
+        factors = []
+        for i in range(len(features)):
+            parts_ = [r[f"_{i}"] for k, r in by_fold.items() if k != left_out and r[f"_{i}"]["n"]]
+            n = sum(p["n"] for p in parts_)
+            mean = sum(p["n"] * p["mean"] for p in parts_) / n if n else 0.0
+            squares = sum(p["n"] * (p["var"] + (p["mean"] - mean) ** 2) for p in parts_)
+            deviation = math.sqrt(squares / (n - 1)) if n > 1 else 0.0
+            factors.append(1 / deviation if deviation else 0.0)
+        scales.append(factors)
+    return scales
 
 
 def tune_by_folds(
@@ -131,24 +173,38 @@ def tune_by_folds(
     h: Column | None = None,
     seed: int = 42,
     bins: int = 0,
-):
-    """Cross-validation with the scaler inside the folds.
+) -> Search:
+    """Cross-validation by AUPRC, with the features scaled as the training folds are; the best candidate is refitted on all.
 
-    With a row hash ``h`` a row's fold is the hash modulo ``folds``, the same on any partitioning;
-    otherwise MLlib draws the folds.
+    A row's fold is its hash ``h``, by default over all its columns, modulo ``folds``, the same on any partitioning. The rows are
+    written once, by fold, so a fit reads its folds only; the deviations of all folds come from one scan. Every candidate of every fold
+    is judged in one job, over one scan and one shuffle by fold, candidate and margin. Among equals the first candidate wins.
     """
-    search = CrossValidator(
-        estimator=make_pipeline(features, estimator),
-        estimatorParamMaps=make_grid(estimator, grid),
-        evaluator=make_evaluator(label=label, bins=bins),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    if h is not None:
-        train = train.withColumn("_fold", F.pmod(h, F.lit(folds)).cast("int"))
-        search = search.setFoldCol("_fold")
-    return search.fit(train)
+    fold = free_name(train, "fold")
+    number = F.pmod(row_hash(train.columns, seed) if h is None else h, F.lit(folds)).cast("int")
+    path = scratch_path(train.sparkSession, "folds")
+    train.withColumn(fold, number).write.partitionBy(fold).parquet(path)
+    rows = train.sparkSession.read.parquet(path)
+    candidates = make_grid(estimator, grid)
+    assembler, scaler = scaling_stages(features)
+
+    works = []
+    for left_out, factors in enumerate(fold_scales(rows, features, fold, folds)):
+        scaled = ElementwiseProduct(scalingVec=Vectors.dense(factors), inputCol=scaler.getInputCol(), outputCol=scaler.getOutputCol())
+        pipeline = Pipeline(stages=[assembler, scaled, estimator])
+        works += [partial(pipeline.fit, rows.where(col(fold) != left_out), c) for c in candidates]
+    fitted = _fit_each(train.sparkSession, works, parallelism)
+    scored = None
+    for left_out in range(folds):
+        mine = fitted[left_out * len(candidates) : (left_out + 1) * len(candidates)]
+        named = {f"{left_out}:{i}": m for i, m in enumerate(mine)}
+        scores = score_by_models(named, rows.where(col(fold) == left_out), [label])
+        scored = scores if scored is None else scored.unionByName(scores)
+    found = areas_by_model(scored, label, bins)
+    by_fold = [[found[f"{k}:{i}"] for i in range(len(candidates))] for k in range(folds)]
+    areas = [sum(a) / folds for a in zip(*by_fold)]
+    best = candidates[areas.index(max(areas))]
+    return Search(make_pipeline(features, estimator).fit(train, best), areas, candidates, by_fold)
 
 
 def add_score(predicted: DataFrame, keep_vectors: bool = False) -> DataFrame:
@@ -176,9 +232,12 @@ def score_by_models(models: Mapping[str, PipelineModel], df: DataFrame, carry: S
 
 
 def areas_of(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Exact areas of the model's margins, all from one pass over the table."""
+    """Exact areas of the model's margins, and those at the evaluator's default number of bins, from one pass over the table."""
     margins = model.transform(df).select(label, vector_item("rawPrediction").alias("margin"))
-    return curve_areas(curve_points(margins, label, "margin"))
+    totals = score_totals(margins, label, "margin")
+    binned = curve_areas(points_of(thinned(totals, DEFAULT_BINS))).first()
+    extra = {"auprc_binned": F.lit(binned["auprc_spark"]), "auroc_binned": F.lit(binned["auroc"])}
+    return curve_areas(points_of(totals)).withColumns(extra)
 
 
 def timed(work: Callable[[], Any]) -> tuple[Any, float]:

@@ -77,6 +77,58 @@ def test_scores_in_one_scan_equal_single_scores(fitted, parts):
         assert {r["id"]: r["score"] for r in together.where(F.col("model") == kind).collect()} == alone
 
 
+def test_binned_areas_equal_the_default_evaluator(spark, fitted, parts):
+    for kind, model in fitted.items():
+        areas = models.areas_of(model, parts[1]).first()
+        predicted = model.transform(parts[1].coalesce(1))
+        for name, metric in (("auprc_binned", "areaUnderPR"), ("auroc_binned", "areaUnderROC")):
+            assert areas[name] == pytest.approx(models.make_evaluator(metric, bins=1000).evaluate(predicted), rel=1e-9)
+    # more scores than bins, ties among them, and groups of unlike size
+    scored = spark.range(9_000).selectExpr("double(if(id % 7 < 5, id, id - id % 7)) / 2 - 2000 as margin", "int(id % 11 = 0 or id > 8000) as Class", "if(id < 500, 'few', 'many') as model")
+    from rareflow.operators.curves import curve_areas, curve_points
+
+    for bins in (10, 100, 1000):
+        found = {r["model"]: r for r in curve_areas(curve_points(scored, score="margin", by=["model"], bins=bins), ["model"]).collect()}
+        for name, r in found.items():
+            mine = scored.where(F.col("model") == name).coalesce(1)
+            for column, metric in (("auprc_spark", "areaUnderPR"), ("auroc", "areaUnderROC")):
+                assert r[column] == pytest.approx(models.make_evaluator(metric, raw="margin", bins=bins).evaluate(mine), rel=1e-9)
+
+
+def test_folds_equal_the_libraries_cross_validation(labelled):
+    from pyspark.ml.tuning import CrossValidator
+
+    rows = labelled.withColumn("_fold", F.pmod(row_hash(["id"]), F.lit(3)).cast("int")).withColumn("fold", F.lit(1))
+    lr = models.make_estimator("lr")
+    grid = models.make_grid(lr, {"regParam": [0.0, 0.3], "elasticNetParam": [0.0, 0.5]})
+    theirs = CrossValidator(
+        estimator=models.make_pipeline(FEATURES, lr), estimatorParamMaps=grid, evaluator=models.make_evaluator(), numFolds=3, foldCol="_fold"
+    ).fit(rows)
+    mine = models.tune_by_folds(rows.drop("_fold"), FEATURES, lr, {"regParam": [0.0, 0.3], "elasticNetParam": [0.0, 0.5]}, h=row_hash(["id"]))
+    assert mine.avgMetrics == pytest.approx(theirs.avgMetrics, rel=1e-6) and len(mine.foldMetrics) == 3
+    a, b = (m.bestModel.stages[-1] for m in (mine, theirs))
+    assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), rel=1e-6)
+
+
+def test_a_search_judges_all_candidates_together(spark, labelled, tmp_path):
+    """The judged rows are read once for all candidates, and each candidate's area is that of the evaluator."""
+    read = spark.sparkContext.accumulator(0)
+    rows = labelled.select(*FEATURES, "Class")
+    lr = models.make_estimator("lr", {"maxIter": 3})
+    fitted = {str(i): models.make_pipeline(FEATURES, lr).fit(rows, {lr.regParam: r}) for i, r in enumerate((0.0, 0.1, 1.0))}
+
+    @F.udf("double")
+    def seen(x):
+        read.add(1)
+        return x
+
+    counted = rows.withColumn("a", seen.asNondeterministic()("a"))
+    areas = models.areas_by_model(models.score_by_models(fitted, counted))
+    assert read.value == 2000
+    for name, model in fitted.items():
+        assert areas[name] == pytest.approx(models.make_evaluator().evaluate(model.transform(rows)), rel=1e-9)
+
+
 def test_areas_equal_the_exact_evaluator(fitted, parts):
     for model in fitted.values():
         areas = models.areas_of(model, parts[1]).first()

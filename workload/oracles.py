@@ -30,9 +30,13 @@ SCORES = """x as (select 'rule' as model, score, "Class" as y from txn
                union all select 'amount', "Amount"/1e5, "Class" from txn)"""
 
 
-def curve_ctes(source: str, score: str = "score", model: str = "'rule'", label: str = '"Class"') -> str:
-    return f"""g as (select {model} as model, {score} as score, sum({label}) as pos, count(*) - sum({label}) as neg
-                    from {source} group by 1, 2),
+def curve_ctes(source: str, score: str = "score", model: str = "'rule'", label: str = '"Class"', bins: int = 0) -> str:
+    every = f"select {model} as model, {score} as score, sum({label}) as pos, count(*) - sum({label}) as neg from {source} group by 1, 2"
+    if bins:  # neighbouring scores put together, with the smallest of them
+        width = f"greatest(count(*) over (partition by model) // {bins}, 1)"
+        place = f"(row_number() over (partition by model order by score desc) - 1) // {width}"
+        every = f"select model, min(score) as score, sum(pos) as pos, sum(neg) as neg from (select *, {place} as bin from ({every})) group by model, bin"
+    return f"""g as ({every}),
     c as (select *, sum(pos) over (partition by model order by score desc) as tp,
                  sum(neg) over (partition by model order by score desc) as fp,
                  sum(pos) over (partition by model) as p, sum(neg) over (partition by model) as n from g),
@@ -158,6 +162,70 @@ def stump(weighted: bool) -> str:
                                 then left_rate else right_rate end as rate from txn cross join cut)"""
 
 
+# class weights over all rows
+WEIGHTS = """wt as (select (n-p)*1e0/n as w1, p*1e0/n as w0 from (select count(*) as n, sum("Class") as p from txn) q)"""
+
+
+def stump_scores(fitting: str, judged: str, least: int) -> str:
+    """Rows (score, y) of ``judged``: the weighted share of positives in a row's leaf of the best Gini split of V1, V2, V3 over ``fitting``
+    that leaves ``least`` rows on both sides, or the share over all of them where no split does."""
+    long = " union all ".join(f"select '{c}' as col, {c} as v, \"Class\" as y from ({fitting})" for c in ("V1", "V2", "V3"))
+    return f"""(with lf as ({long}),
+        per as (select col, v, sum(y)*max(w1) as p, sum(1-y)*max(w0) as q, count(*) as n from lf cross join wt group by 1, 2),
+        cum as (select *, sum(p) over o as pl, sum(q) over o as ql, sum(n) over o as nl, sum(p) over (partition by col) as pt,
+                       sum(q) over (partition by col) as qt, sum(n) over (partition by col) as nt from per window o as (partition by col order by v)),
+        gains as (select col, v, pl/(pl+ql) as left_rate, (pt-pl)/(pt-pl+qt-ql) as right_rate,
+                         - pl*ql/(pl+ql) - (pt-pl)*(qt-ql)/(pt-pl+qt-ql) as gain from cum where nl >= {least} and nt-nl >= {least}),
+        cut as (select * from (select *, row_number() over (order by gain desc) as place from gains) where place = 1)
+        select coalesce(case when (case col when 'V1' then V1 when 'V2' then V2 else V3 end) <= v then left_rate else right_rate end,
+                        ({lone_share(fitting)})) as score, "Class" as y
+        from ({judged}) left join cut on true)"""
+
+
+def lone_share(fitting: str) -> str:
+    return f'select sum("Class"*w1)/sum("Class"*w1+(1-"Class")*w0) from ({fitting}) cross join wt'
+
+
+# candidates in the order of the search
+STUMPS = [(depth, least) for depth in (0, 1) for least in (1, 3000)]
+
+
+def stump_candidates(fitting: str, judged: str, lead: str = "") -> str:
+    """(model, score, y) of every candidate; a lone node gives all rows one score."""
+    return " union all ".join(
+        f"select '{lead}maxDepth={d}, minInstancesPerNode={m}' as model, score, y from "
+        + (stump_scores(fitting, judged, m) if d else f'(select 0e0 as score, "Class" as y from ({judged}))')
+        for d, m in STUMPS
+    )
+
+
+def tuned_stumps() -> str:
+    fitting, judged = ("select * from txn where h/4294967296e0<0.8e0", "select * from txn where h/4294967296e0>=0.8e0")
+    order = " ".join(f"when 'maxDepth={d}, minInstancesPerNode={m}' then {i}" for i, (d, m) in enumerate(STUMPS))
+    refitted = " union all ".join(
+        f"select '{d}-{m}' as c, max(score) as highest, count(distinct score) as leaves from "
+        + (stump_scores("select * from txn", "select * from txn", m) if d else f"(select ({lone_share('select * from txn')}) as score)")
+        for d, m in STUMPS
+    )
+    return with_ctes(TXN, WEIGHTS, f"x as ({stump_candidates(fitting, judged)})", curve_ctes("x", "score", "model", "y"),
+        f"ranked as (select model, auprc_spark, row_number() over (order by auprc_spark desc, case model {order} end) = 1 as chosen from areas)",
+        f"refitted as ({refitted})") + """select model as candidate, round(auprc_spark,6) as auprc, chosen,
+            case when chosen then round(highest,6) end as highest, case when chosen then leaves end as leaves
+            from ranked join refitted on c = replace(replace(model, 'maxDepth=', ''), ', minInstancesPerNode=', '-')"""
+
+
+def cross_validated_stumps() -> str:
+    folds = " union all ".join(
+        stump_candidates(f"select * from txn where h%3<>{k}", f"select * from txn where h%3={k}", f"{k}:") for k in range(3)
+    )
+    order = " ".join(f"when 'maxDepth={d}, minInstancesPerNode={m}' then {i}" for i, (d, m) in enumerate(STUMPS))
+    return with_ctes(TXN, WEIGHTS, f"x as ({folds})", curve_ctes("x", "score", "model", "y"),
+        "f as (select cast(model[1] as int) as fold, model[3:] as candidate, auprc_spark from areas)",
+        f"""m as (select candidate, avg(auprc_spark) as mean,
+              row_number() over (order by round(avg(auprc_spark),12) desc, case candidate {order} end) = 1 as chosen from f group by 1)"""
+    ) + "select fold, candidate, round(auprc_spark,6) as auprc, round(mean,6) as mean, chosen from f join m using (candidate)"
+
+
 SPLIT = """k as (select *, row_number() over (partition by "Class" order by h, txn_id) as rn,
                  count(*) over (partition by "Class") as nc from txn),
     parts as (select txn_id, "Class", case when rn<=floor(nc*0.8e0) then 'train' else 'test' end as part from k)"""
@@ -309,6 +377,13 @@ def oracles() -> dict[str, str]:
         + " union all ".join(f"select '{m}' as model, {TRAINED}, {HELD if m == 'gbt' else NOT_SCORED}" for m in ("gbt", "lr", "rf")),
         "study": with_ctes(TXN, CLASS_PARTS.format("txn"))
         + " union all ".join(f"select '{m}' as model, {HELD}, true as auroc_plausible, true as f1_is_best, true as timed" for m in ("gbt", "lr", "rf")),
+        "tune_stumps": tuned_stumps(),
+        "tune_cv_stumps": cross_validated_stumps(),
+        "evaluator_bins": " union all ".join(
+            f"select {bins} as bins, model, round(auroc,6) as auroc, round(auprc_spark,6) as auprc_spark, n_thresholds from ("
+            + with_ctes(TXN, SCORES, curve_ctes("x", "score", "model", "y", bins)) + "select * from areas)"
+            for bins in (20, 1000)
+        ),
         "best_model": with_ctes(TXN, SCORES, curve_ctes("x", "score", "model", "y"))
         + "select model, round(auprc_spark,6) as auprc_spark from areas order by areas.auprc_spark desc, model limit 1",
         "save_load_score": with_ctes(TXN, stump(True), 'predicted as (select "Class", case when rate>=0.5e0 then 1 else 0 end as pred from leaf)', CELLS)

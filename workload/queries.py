@@ -380,6 +380,52 @@ def tune_cv(spark, sf):
     return _tuned_rows(spark, tuned, list(tuned.avgMetrics))
 
 
+#: A lone node and a stump, with and without a least number of rows in a leaf.
+STUMP_GRID = {"maxDepth": [0, 1], "minInstancesPerNode": [1, 3000]}
+
+
+def _named(params) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda x: x[0].name))
+
+
+def tune_stumps(spark, sf):
+    """The area of every candidate, which is chosen, and what the refitted one gives the rows."""
+    rows = balance.with_class_weights(stored_txn(spark, sf, "h", *STUMP_FEATURES, "Class"))[0]
+    estimator = models.make_estimator("rf", STUMPS["rf"], weight="classWeightCol")
+    tuned = models.tune_by_split(rows, STUMP_FEATURES, estimator, STUMP_GRID, h=F.col("h"))
+    top = tuned.validationMetrics.index(max(tuned.validationMetrics))
+    leaves = models.score_table(tuned.bestModel, rows).agg(F.max("score").alias("highest"), F.countDistinct("score").alias("leaves")).first()
+    found = [
+        (_named(c), area, i == top, *(leaves if i == top else (None, None)))
+        for i, (c, area) in enumerate(zip(tuned.candidates, tuned.validationMetrics))
+    ]
+    return rounded(small_table(spark, found, "candidate string, auprc double, chosen boolean, highest double, leaves bigint"))
+
+
+def tune_cv_stumps(spark, sf):
+    """The area of every candidate in every fold, its mean, and which candidate is chosen."""
+    rows = balance.with_class_weights(stored_txn(spark, sf, "h", *STUMP_FEATURES, "Class"))[0]
+    estimator = models.make_estimator("rf", STUMPS["rf"], weight="classWeightCol")
+    tuned = models.tune_by_folds(rows, STUMP_FEATURES, estimator, STUMP_GRID, h=F.col("h"))
+    top = tuned.avgMetrics.index(max(tuned.avgMetrics))
+    found = [
+        (k, _named(c), area, tuned.avgMetrics[i], i == top)
+        for k, areas in enumerate(tuned.foldMetrics)
+        for i, (c, area) in enumerate(zip(tuned.candidates, areas))
+    ]
+    return rounded(small_table(spark, found, "fold int, candidate string, auprc double, mean double, chosen boolean"))
+
+
+def evaluator_bins(spark, sf):
+    """Areas of curves that are thinned to 20 and to 1,000 bins, for scores with few and with many distinct values."""
+    found = None
+    for bins in (20, 1000):
+        points = curves.curve_points(two_scores(spark, sf), by=["model"], bins=bins)
+        areas = curves.curve_areas(points, ["model"]).select(F.lit(bins).alias("bins"), "model", "auroc", "auprc_spark", "n_thresholds")
+        found = areas if found is None else found.unionByName(areas)
+    return rounded(found)
+
+
 def best_model(spark, sf):
     return rounded(models.best_model(curves.compare_scores(two_scores(spark, sf))))
 
