@@ -13,6 +13,8 @@ from rareflow.session import small_table
 
 # exp(-z*z/2) is zero in double precision beyond this distance
 KERNEL_REACH = 38.7
+#: Width of a cell of values, in bandwidths, and how many powers of the distances from its middle are kept.
+CELL, ORDER = 0.5, 12
 
 
 def _finite(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -48,7 +50,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50, by: Sequenc
     long = values.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "value").where("value is not null")
     bin_no = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")).cast("int"), F.lit(bins - 1))
     counted = (
-        join_groups(long, F.broadcast(table), ids).groupBy(*ids, bin_no.alias("bin")).agg(F.count("*").alias("n"))
+        join_groups(long, table, ids).groupBy(*ids, bin_no.alias("bin")).agg(F.count("*").alias("n"))
     )
     grid = table.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     n = F.coalesce("n", F.lit(0))
@@ -63,35 +65,60 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50, by: Sequenc
     )
 
 
+def _expansion() -> list[list[float]]:
+    """``[j][k]``: the factor of t^j in He_k(t) / k!, where exp(-(t - z)^2 / 2) = exp(-t^2 / 2) * sum over k of He_k(t) / k! * z^k."""
+    hermite = [[1.0], [0.0, 1.0]]
+    for k in range(1, ORDER - 1):
+        above = [0.0, *hermite[k]]
+        hermite.append([x - k * (hermite[k - 1][j] if j < k else 0.0) for j, x in enumerate(above)])
+    return [[h[j] / math.factorial(k) if j < len(h) else 0.0 for k, h in enumerate(hermite[:ORDER])] for j in range(ORDER)]
+
+
 def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int = 50) -> DataFrame:
     """Gaussian kernel density of a column on an even grid from its minimum to its maximum.
 
-    Bandwidth: sample deviation times n**(-1/5). Each value only meets the grid points where its
-    kernel is above zero in double precision, so nothing is lost; that is all points for small tables,
-    and with the bandwidth shrinking as n grows about twenty of 200 at 10**12 rows. The sums are
-    taken map-side, one row per grid point leaves a task; equal values are counted first and met once. ``expected`` is the density scaled to
-    a histogram of ``bins`` bins.
+    Bandwidth: sample deviation times n**(-1/5). A fast Gauss transform: the values are put into cells of half a bandwidth, and a
+    cell keeps the sums of the powers of its values' distances from its middle, taken map-side; a cell's kernels are then one
+    polynomial times one Gaussian at each grid point that any of them reaches. Powers from the 12th on are left out: as |He_k(t)| exp(-t^2/2)
+    is at most 1.1 sqrt(k!) and a distance at most 1/4 bandwidth, the error is below 1e-11 of one kernel's peak for each value, and so
+    of the highest density that is possible. ``expected`` is the density scaled to a histogram of ``bins`` bins.
     """
     values = _finite(df, [column], []).where(col(column).isNotNull()).select(col(column).alias("v"))
     n, sd, lo, hi = values.agg(F.count("v"), F.stddev_samp("v"), F.min("v"), F.max("v")).first()
     if n < 2 or not sd or not math.isfinite(sd):
         raise ValueError(f"{column}: a density needs two different finite values")
     bandwidth = sd * n**-0.2
+    width = CELL * bandwidth
     step = (hi - lo) / (points - 1)
-    reach = KERNEL_REACH * bandwidth
+    reach = KERNEL_REACH * bandwidth + width
 
     def at(i):
         return F.lit(lo) + F.lit(hi - lo) * i / F.lit(float(points - 1))
 
-    first = F.greatest(F.lit(0), F.ceil((F.col("v") - reach - lo) / step).cast("int"))
-    last = F.least(F.lit(points - 1), F.floor((F.col("v") + reach - lo) / step).cast("int"))
-    counted = values.groupBy("v").agg(F.count("*").alias("c"))
-    near = counted.select("v", "c", first.alias("i0"), last.alias("i1")).where("i0 <= i1")
-    met = near.select("v", "c", F.explode(F.sequence("i0", "i1")).alias("i"))
-    z = (at(F.col("i")) - F.col("v")) / bandwidth
-    sums = met.groupBy("i").agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("s"))
+    def middle(cell):
+        return F.lit(lo) + (cell + 0.5) * width
+
+    celled = values.select("v", F.floor((F.col("v") - lo) / width).alias("cell"))
+    celled = celled.select("cell", ((F.col("v") - middle(F.col("cell"))) / bandwidth).alias("z"))
+    powers = [F.lit(1.0)]
+    for _ in range(1, ORDER):
+        powers.append(powers[-1] * F.col("z"))
+    moments = celled.groupBy("cell").agg(*[F.sum(power).alias(f"m{k}") for k, power in enumerate(powers)])
+    combined = [
+        sum((F.col(f"m{k}") * factor for k, factor in enumerate(row) if factor), F.lit(0.0)).alias(f"a{j}") for j, row in enumerate(_expansion())
+    ]
+    c = middle(F.col("cell"))
+    first = F.greatest(F.lit(0), F.ceil((c - reach - lo) / step).cast("int"))
+    last = F.least(F.lit(points - 1), F.floor((c + reach - lo) / step).cast("int"))
+    near = moments.select(c.alias("c"), *combined, first.alias("i0"), last.alias("i1")).where("i0 <= i1")
+    met = near.select("c", *[f"a{j}" for j in range(ORDER)], F.explode(F.sequence("i0", "i1")).alias("i"))
+    met = met.withColumn("t", (at(F.col("i")) - F.col("c")) / bandwidth)
+    polynomial = F.col(f"a{ORDER - 1}")
+    for j in reversed(range(ORDER - 1)):
+        polynomial = polynomial * F.col("t") + F.col(f"a{j}")
+    sums = met.groupBy("i").agg(F.sum(polynomial * F.exp(-0.5 * F.col("t") * F.col("t"))).alias("s"))
     grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
-    density = F.coalesce("s", F.lit(0.0)) / (n * bandwidth * math.sqrt(2 * math.pi))
+    density = F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(0.0)) / (n * bandwidth * math.sqrt(2 * math.pi))
     return grid.join(F.broadcast(sums), "i", "left").select(
         "i",
         at(F.col("i")).alias("x"),

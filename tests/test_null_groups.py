@@ -59,3 +59,19 @@ def test_other_labels_are_an_error(spark):
     for use in (lambda: balance.positive_ratio(df), lambda: balance.with_class_weights(df)):
         with pytest.raises(ValueError, match="no others"):
             use()
+
+
+def test_a_density_of_skewed_values_is_within_its_bound(spark):
+    """Heavy tails and clusters, cells far apart, against the sum over all values."""
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.lognormal(0, 2, 3_000), np.repeat(5.0, 500), rng.normal(400, 0.01, 700), -rng.pareto(1.5, 800)])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (math.nan,)], "v double").repartition(5)
+    h = values.std(ddof=1) * len(values) ** -0.2
+    peak = 1 / (h * math.sqrt(2 * math.pi))
+    for r in density.kernel_density(df, "v", points=90).collect():
+        wanted = np.exp(-0.5 * ((r["x"] - values) / h) ** 2).mean() * peak
+        assert abs(r["density"] - wanted) < 1e-11 * peak

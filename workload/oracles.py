@@ -424,6 +424,14 @@ def oracles() -> dict[str, str]:
                      cast(n-fp as bigint) as tn from best where place=1)""")
         + """select model, 0 as "Class", 0 as pred, tn as n from b union all select model, 0, 1, fp from b
              union all select model, 1, 0, fn from b union all select model, 1, 1, tp from b""",
+        "prepare_copies": with_ctes(TXN, f"""c as (select {plain}, "Class" from txn, range(1 + case when h%5=0 then 1 else 0 end + case when h%50=0 then 1 else 0 end))""",
+            f'd as (select distinct {plain}, "Class" from txn)', """st as (
+              select 'rows_in' as stage, "Class", count(*) as n from c group by 2
+              union all select 'rows_dedup', "Class", count(*) from d group by 2
+              union all select 'train', "Class", cast(floor(count(*)*0.8e0) as bigint) from d group by 2
+              union all select 'test', "Class", count(*)-cast(floor(count(*)*0.8e0) as bigint) from d group by 2)""")
+        + "select stage, \"Class\", n, " + ", ".join(f'null::double as "sum_{c}"' for c in FEATURES) + " from st union all select 'parts', \"Class\", count(*), "
+        + ", ".join(f'round(sum("{c}"),2)' for c in FEATURES) + ' from d group by "Class"',
         "prepare_job": with_ctes(TXN, distinct, """st as (
               select 'rows_in' as stage, "Class", count(*) as n from txn group by 2
               union all select 'rows_dedup', "Class", count(*) from d group by 2

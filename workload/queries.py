@@ -535,6 +535,26 @@ def prepare_job(spark, sf):
     return prepare(spark, raw, scratch_path(spark, "prepared"))
 
 
+def _copied_rows(spark, sf):
+    """All columns of the raw table, every fifth hash twice and every fiftieth three times."""
+    rows = txn(spark, sf)
+    copies = F.lit(1) + F.when(F.col("h") % 5 == 0, 1).otherwise(0) + F.when(F.col("h") % 50 == 0, 1).otherwise(0)
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).select(*FEATURES, "Class")
+
+
+def prepare_copies(spark, sf):
+    """The job over all columns and real duplicates: the counts of every stage and what the parts hold."""
+    out, raw = scratch_path(spark, "prepared"), scratch_path(spark, "raw")
+    io.sink_csv(_copied_rows(spark, sf), raw)
+    stats = prepare(spark, raw, out)
+    parts = [io.scan_parquet(spark, f"{out}/{name}") for name in ("train", "test")]
+    held = parts[0].unionByName(parts[1]).groupBy("Class").agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in FEATURES]
+    )
+    figures = held.select(F.lit("parts").alias("stage"), "Class", "n", *[F.round(f"sum_{c}", 2).alias(f"sum_{c}") for c in FEATURES])
+    return stats.unionByName(figures, allowMissingColumns=True)
+
+
 def prepare_rows(spark, sf):
     """The train and test tables put together are the distinct input rows, each once."""
     out = scratch_path(spark, "prepared")
