@@ -14,6 +14,7 @@ FRACTION = 1 / 16
 #: Hashes that a sketch retains at least, where the text has as many: the smallest ones.
 LEAST = 64
 ALL_HASHES = 2**63 - 1
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def word_hashes(text: Column) -> Column:
@@ -31,13 +32,22 @@ def shingle_hashes(named: str, words: int = SHINGLE_WORDS) -> Column:
 
 
 def with_sketch(
-    df: DataFrame, text: str, name: str, words: int = SHINGLE_WORDS, fraction: float = FRACTION, least: int = LEAST
+    df: DataFrame,
+    text: str,
+    name: str,
+    words: int = SHINGLE_WORDS,
+    fraction: float = FRACTION,
+    least: int = LEAST,
+    probe: Column | None = None,
 ) -> DataFrame:
     """``df`` with ``name``, a ``struct<hashes, covered>``: ascending hashes, and the value up to which all of the text's are retained.
 
     Every hash below the fixed fraction of the range is retained; where those are fewer than ``least``, the ``least``
     smallest are, so that short texts have sketches too. Two sketches merge into that of the joined set: the
     union up to the smaller ``covered``. ``name`` is also the beginning of three names used on the way.
+
+    ``probe``: hashes that are looked up in the text's whole set before it is thinned; ``<name>_size`` and ``<name>_held`` are then
+    the sizes of the set and of what it has of them (null where the probe is null).
     """
     bound = -(2**63) + int(fraction * 2**64) - 1
     rest = [F.col(f"`{c}`") for c in df.columns]
@@ -45,6 +55,10 @@ def with_sketch(
     # a column for each step: within a lambda an expression would be computed for each element
     df = df.select(*rest, word_hashes(F.col(text)).alias(every))
     df = df.select(*rest, shingle_hashes(every, words).alias(every))
+    if probe is not None:
+        held = F.when(probe.isNotNull(), F.size(F.array_intersect(every, probe)))
+        df = df.select(*rest, every, F.size(every).alias(f"{name}_size"), held.alias(f"{name}_held"))
+        rest += [F.col(f"{name}_size"), F.col(f"{name}_held")]
     df = df.select(*rest, every, F.array_sort(F.filter(every, lambda h: h <= bound)).alias(below))
     df = df.select(*rest, F.size(every).alias(every), below, F.when(F.size(below) < least, F.slice(F.array_sort(every), 1, least)).alias(lowest))
     small = F.struct(
@@ -98,24 +112,39 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has the last third of the code points replaced by the beginning of the next document's text. Null texts are empty.
     A null doc_id has no next document, so its text is only shortened and near_next is 0. Of rows with one doc_id the
     text with the smallest hash is the next document of others; every row has a result of its own.
+
+    Both likenesses are the containment in the smaller set of shingles. ``near_next`` is exact where one of the two texts has so few shingles
+    that its sketch is its whole set, which is then looked up in the other's whole set; else it is estimated, as ``near_edited`` is, from
+    the hashes that both sketches cover, some 64 or more of the smaller set's for texts of like length.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.select("doc_id", "text", F.xxhash64("text").alias("mark"), F.floor(F.length("text") / 3).cast("int").alias("cut"))
     follow = next_ids(docs)
-    # who asks for how much of which text: narrow rows, before any text is moved
+    # who asks for how much of which text: narrow rows, before any text is moved; short texts send their whole set along
     given = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("mark").alias("mark"))
     given = given.select(F.col("doc_id").alias("next_id"), F.col("mark").alias("next_mark"))
-    asked = rows.select("doc_id", "cut").distinct().join(follow, "doc_id").join(given, "next_id")
-    asked = asked.select(F.col("doc_id").alias("by"), F.col("cut").alias("by_cut"), F.col("next_id").alias("id"), "next_mark")
-    sent = rows.join(asked, (rows["doc_id"] == asked["id"]) & (rows["mark"] == asked["next_mark"]))
-    sent = with_sketch(sent.select("by", "by_cut", "text"), "text", "sketch")
-    sent = sent.select("by", "by_cut", F.substring("text", F.lit(1), F.col("by_cut")).alias("head"), F.col("sketch").alias("next_sketch"))
-    sent = settled(sent, "heads").dropDuplicates(["by", "by_cut"])
-    both = rows.join(sent, (rows["doc_id"] == sent["by"]) & (rows["cut"] == sent["by_cut"]), "left")
+    few = F.regexp_count("text", F.lit(WORD)) < LEAST + SHINGLE_WORDS
+    asking = rows.select("doc_id", "mark", "cut", F.when(few, word_hashes(F.col("text"))).alias("few"))
+    asking = asking.select("doc_id", "mark", "cut", F.when(F.col("few").isNotNull(), shingle_hashes("few")).alias("few"))
+    asked = asking.dropDuplicates(["doc_id", "mark"]).join(follow, "doc_id").join(given, "next_id")
+    asked = asked.select(
+        F.col("doc_id").alias("by"), F.col("mark").alias("by_mark"), F.col("cut").alias("by_cut"), "few", F.col("next_id").alias("id"), "next_mark"
+    )
+    texts = rows.dropDuplicates(["doc_id", "mark"])
+    sent = texts.join(asked, (texts["doc_id"] == asked["id"]) & (texts["mark"] == asked["next_mark"]))
+    sent = with_sketch(sent.select("by", "by_mark", "by_cut", "few", "text"), "text", "next", probe=F.col("few"))
+    head = F.substring("text", F.lit(1), F.col("by_cut")).alias("head")
+    sent = settled(sent.select("by", "by_mark", head, F.size("few").alias("few"), "next", "next_size", "next_held"), "heads")
+    both = rows.join(sent, (rows["doc_id"] == sent["by"]) & (rows["mark"] == sent["by_mark"]), "left")
     kept = F.substring("text", F.lit(1), F.length("text") - F.col("cut"))
-    both = both.select("doc_id", "text", F.concat(kept, F.coalesce("head", F.lit(""))).alias("edited"), "next_sketch")
-    both = with_sketch(with_sketch(both, "text", "sketch"), "edited", "edited_sketch")
-    own, edited, other = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    both = both.select("doc_id", "text", F.concat(kept, F.coalesce("head", F.lit(""))).alias("edited"), "few", "next", "next_size", "next_held")
+    whole = F.when(F.col("next.covered") == ALL_HASHES, F.col("next.hashes"))
+    both = with_sketch(with_sketch(both, "text", "own", probe=whole), "edited", "other")
+    own, edited, other = F.col("own"), F.col("other"), F.col("next")
+    smaller = F.least("own_size", "next_size")
+    exact = F.when(smaller == 0, F.when(own == other, 1.0).otherwise(0.0))
+    exact = exact.when(F.col("next_held").isNotNull(), F.col("next_held") / smaller).when(F.col("own_held").isNotNull(), F.col("own_held") / smaller)
+    near_next = F.when(other.isNull(), 0.0).otherwise(exact.otherwise(containment(own, other)))
     return both.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
@@ -123,5 +152,5 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         as_text(own).alias("fingerprint"),
         as_text(edited).alias("edited_fingerprint"),
         containment(own, edited).alias("near_edited"),
-        F.coalesce(containment(own, other), F.lit(0.0)).alias("near_next"),
+        near_next.alias("near_next"),
     )

@@ -48,6 +48,44 @@ def _rows(df):
     return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
 
 
+def test_sketches_of_very_unequal_texts(spark):
+    """A short text inside a long one, before and after it in the order, is found whole; a stranger has nothing in common."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(4_000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows, wanted = [], {}
+    for k in range(40):
+        long, short = prose(3_000), None
+        cut = long.split()
+        short = " ".join(cut[100 + k : 120 + k]) if k % 4 else prose(20)
+        first, second = (short, long) if k % 2 else (long, short)
+        rows += [(1_000 - 2 * k, first), (999 - 2 * k, second)]
+        wanted[1_000 - 2 * k] = 1.0 if k % 4 else 0.0
+    half = " ".join(cut[:10]) + " " + prose(30)
+    rows += [(10, half), (9, cut and " ".join(cut)), (8, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {r["doc_id"]: r["near_next"] for r in sketches.edited_fingerprints(docs).collect()}
+    assert {i: found[i] for i in wanted} == wanted
+    assert found[10] == 6 / 36 and found[9] == 0.0 and found[8] == 1.0
+
+
+def test_sketches_merge_and_keep_to_the_fraction(spark):
+    rng = random.Random(2)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(n)) for n in (5, 60, 400, 3_000, 6_000)]
+    df = sketches.with_sketch(spark.createDataFrame([(t,) for t in texts], "text string"), "text", "s")
+    bound = -(2**63) + 2**60 - 1
+    hashed = sketches.shingle_hashes("h")
+    every = {r["text"]: sorted(r["e"]) for r in df.select("text", sketches.word_hashes(F.col("text")).alias("h")).select("text", hashed.alias("e")).collect()}
+    found = {r["text"]: r["s"] for r in df.collect()}
+    for t in texts:
+        below = [h for h in every[t] if h <= bound]
+        assert list(found[t]["hashes"]) == (below if len(below) >= 64 else every[t][:64])
+        assert found[t]["covered"] == (bound if len(below) >= 64 else 2**63 - 1 if len(every[t]) <= 64 else every[t][63])
+    a, b = found[texts[3]], found[texts[4]]
+    upto = min(a["covered"], b["covered"])
+    assert sorted({h for s in (a, b) for h in s["hashes"] if h <= upto}) == sorted({h for t in texts[3:] for h in every[t] if h <= upto})
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (7, 7), (None, 3), (1, 2), *[(100, k) for k in range(101, 180)], *[(k, k + 1) for k in range(200, 240)]]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
