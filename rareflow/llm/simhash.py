@@ -118,25 +118,21 @@ def _ranges(starts, widths):
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, code)``: the SimHash of every whole text as a signed long; null and empty texts have 0."""
+    return with_codes(docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text")), words)
 
-    def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forget()
-        for batch in batches:
-            found = np.array([simhash(t, words) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "code": found.view(np.int64)})
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return rows.mapInPandas(codes, "doc_id long, code long")
 
+def with_codes(rows: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """``rows``, which end in a ``text`` that is not null, with its SimHash ``code`` in the text's place."""
+    names = [*rows.columns[:-1], "code"]
 
-def with_codes(docs: DataFrame, name: str, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with the SimHash of each whole text as one more column."""
-
-    @F.arrow_udf("long")
-    def codes(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([simhash(t, words) for t in texts.to_pylist()], dtype=np.uint64).view(np.int64))
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for batch in batches:
+            found = np.array([simhash(t.as_py(), words) for t in batch.column("text")], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found.view(np.int64))], names=names)
 
-    return docs.withColumn(name, codes(text_of()))
+    kinds = dict(rows.dtypes) | {"code": "long"}
+    return rows.mapInArrow(codes, ", ".join(f"{n} {kinds[n]}" for n in names))
 
 
 def _parts(bits: list[int], count: int) -> list[int]:
@@ -228,7 +224,7 @@ def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX
     hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
     key = {"no_id": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "hash": hashed}
     rows = docs.select(*[c.alias(n) for n, c in key.items()], text_of().alias("text"))
-    rows = settled(with_codes(rows, "code", words).select(*key, "code"), "codes")
+    rows = settled(with_codes(rows, words), "codes")
     nodes = settled(rows.groupBy("code").agg(F.min(F.struct(*key)).alias("best")), "nodes")
     linked = components(near_links(nodes.select("code", F.col("code").alias("doc")), max_bits))
     named = nodes.join(linked, nodes["code"] == linked["node"], "left").select(F.coalesce("component", "code").alias("component"), "best")
