@@ -1,6 +1,6 @@
 """Counts, means, deviations and co-moments of all pairs of columns, from one scan.
 
-Spark's own two-column aggregates need a buffer and generated code for each pair, some thousands at the width of a card table, and a Gram
+Spark's own two-column aggregates need a buffer and generated code for each pair, hundreds at the width of a card table, and a Gram
 matrix needs complete rows and a pass for the means. Here a task folds its batches into one state of a few small matrices; states are
 mergeable, so they are merged in two shuffled steps.
 """
