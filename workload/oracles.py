@@ -226,6 +226,58 @@ def cross_validated_stumps() -> str:
     ) + "select fold, candidate, round(auprc_spark,6) as auprc, round(mean,6) as mean, chosen from f join m using (candidate)"
 
 
+def tree(name: str, source: str, depth: int, pruned: bool = False) -> list[str]:
+    """Steps ``{name}`` = the rows of ``source(V1, V2, V3, w, t, ...)`` with ``value``, the mean target of their leaf: a tree that is grown
+    level by level over counts of distinct values. A node takes the split that leaves the least squared deviation, which for targets 0 and 1 is also
+    the least Gini impurity. Rows of weight 0 pass through without a say. ``pruned``: a node below which all leaves predict the same class
+    is one leaf."""
+    steps = [f"{name}0 as (select *, 1 as node from {source})"]
+    for level in range(depth):
+        now, after = f"{name}{level}", f"{name}{level + 1}"
+        long = " union all ".join(f"select node, {i} as col, V{i} as v, w, t from {now}" for i in (1, 2, 3))
+        steps += [
+            f"{now}_per as (select node, col, v, sum(w) as n, sum(w*t) as s from ({long}) q group by 1, 2, 3)",
+            f"""{now}_cum as (select *, sum(n) over o as nl, sum(s) over o as sl, sum(n) over (partition by node, col) as nt,
+                sum(s) over (partition by node, col) as st from {now}_per window o as (partition by node, col order by v))""",
+            f"""{now}_gains as (select node, col, v, sl*sl/nl + (st-sl)*(st-sl)/(nt-nl) - st*st/nt as gain
+                from {now}_cum where nl > 0 and nl < nt)""",
+            f"""{now}_cut as (select node, col, v from (select *, row_number() over (partition by node order by gain desc) as place
+                from {now}_gains) q where place = 1)""",
+            f"""{after} as (select r.* replace (2*r.node + case when (case c.col when 1 then V1 when 2 then V2 else V3 end) > c.v then 1 else 0 end
+                as node) from {now} r left join {now}_cut c on r.node = c.node)""",
+        ]
+    leaves = f"select node, sum(w) as n, sum(w*t) as s, sum(w*t)/sum(w) > 0.5e0 as positive from {name}{depth} group by 1 having sum(w) > 0"
+    one_class, whole = "min(positive) over {0} = max(positive) over {0}", "sum(s) over {0} / sum(n) over {0}"
+    above = [f"(partition by node // {2 ** (depth - k)})" for k in range(depth)] if pruned else []
+    chosen = "".join(f" when {one_class.format(a)} then {whole.format(a)}" for a in above)
+    means = f"select node, case{chosen} else s/n end as value from ({leaves}) q" if pruned else f"select node, s/n as value from ({leaves}) q"
+    return [*steps, f"{name} as (select r.* exclude (node), m.value from {name}{depth} r join ({means}) m on r.node = m.node)"]
+
+
+def weighted_tree(source: str, depth: int, fits: str = "1e0") -> list[str]:
+    """Steps up to ``leaf``: all rows with ``score``, the weighted positive share of their leaf; those with ``fits`` = 0 take no part."""
+    return [
+        f"""given as (select s.*, {fits}*case when "Class"=1 then (n-p)*1e0/n else p*1e0/n end as w, "Class"*1e0 as t from {source} s
+            cross join (select count(*) as n, sum("Class") as p from {source} where {fits} > 0) q)""",
+        *tree("grown", "given", depth, pruned=True),
+        "leaf as (select *, value as score from grown)",
+    ]
+
+
+def boosted_trees(source: str, depth: int, rounds: int, fits: str = "1e0") -> list[str]:
+    """Steps up to ``leaf``: the first tree is fitted to labels of -1 and 1, each later one to four times the label over one plus exp(2 label f),
+    f the sum so far, and enters that sum with 0.1; the score is 1/(1+exp(-2f))."""
+    steps = [f"""given0 as (select *, {fits} as w, 2e0*"Class"-1 as t, 0e0 as f from {source})"""]
+    for k in range(rounds):
+        share = "0.1e0" if k else "1e0"
+        steps += [
+            *tree(f"round{k}_", f"given{k}", depth),
+            f"summed{k} as (select * exclude (value) replace (f + {share}*value as f) from round{k}_)",
+            f"""given{k + 1} as (select * replace (4e0*(2*"Class"-1)/(1+exp(2e0*(2*"Class"-1)*f)) as t) from summed{k})""",
+        ]
+    return [*steps, f"leaf as (select *, 1/(1+exp(-2e0*f)) as score from given{rounds})"]
+
+
 SPLIT = """k as (select *, row_number() over (partition by "Class" order by h, txn_id) as rn,
                  count(*) over (partition by "Class") as nc from txn),
     parts as (select txn_id, "Class", case when rn<=floor(nc*0.8e0) then 'train' else 'test' end as part from k)"""
@@ -251,6 +303,26 @@ def searched() -> str:
     )
 
 
+# positives in 4 to 11 of 16 rows, by cell
+GRADED = """rows_ as (select V1, V2, V3, case when h % 16 < 4 + case when V1>=25 then 4 else 0 end + case when V2>=0.05 then 2 else 0 end
+    + case when V3>=0.04 then 1 else 0 end then 1 else 0 end as "Class" from txn)"""
+
+
+def trained_trees() -> str:
+    """What the job writes of both tree families: every area of the test part, and the counts of the training part."""
+    parts = """rows_ as (select V1, V2, V3, "Class", case when rn<=floor(nc*0.8e0) then 1e0 else 0e0 end as fits
+        from (select *, row_number() over (partition by "Class" order by h, txn_id) as rn, count(*) over (partition by "Class") as nc from txn) k)"""
+    scored = "select '{}' as model, score, \"Class\" from ({} select * from leaf) q where fits = 0"
+    both = " union all ".join(
+        scored.format(kind, with_ctes(*steps))
+        for kind, steps in (("rf", weighted_tree("rows_", 2, "fits")), ("gbt", boosted_trees("rows_", 2, 2, "fits")))
+    )
+    kept = """sizes as (select count(*) filter (where "Class"=0) as train_negatives, count(*) filter (where "Class"=1) as train_positives
+        from rows_ where fits > 0)"""
+    return with_ctes(TXN, parts, f"x as ({both})", curve_ctes("x", "score", "model"), kept) + """select model, round(auprc_spark,6) as auprc,
+        round(auroc,6) as auroc, round(auprc_one,6) as auprc_one, train_negatives, train_positives from areas cross join sizes"""
+
+
 # rows of each class, and of its training part
 CLASS_PARTS = """cp as (select "Class", count(*) as n, cast(floor(count(*)*0.8e0) as bigint) as kept from {0} group by 1)"""
 TRAINED = """(select kept from cp where "Class"=0) as train_negatives, (select kept from cp where "Class"=1) as train_positives,
@@ -359,6 +431,10 @@ def oracles() -> dict[str, str]:
         "fit_rf_stump": with_ctes(TXN, stump(True)) + 'select "Class", round(rate,6) as score, count(*) as n from leaf group by 1, 2',
         "fit_gbt_stump": with_ctes(TXN, stump(False))
         + 'select "Class", round(1/(1+exp(-2*(2*rate-1))),6) as score, count(*) as n from leaf group by 1, 2',
+        "fit_rf_tree": with_ctes(TXN, GRADED, *weighted_tree("rows_", 3)) + 'select "Class", round(score,6) as score, count(*) as n from leaf group by 1, 2',
+        "fit_gbt_rounds": with_ctes(TXN, GRADED, *boosted_trees("rows_", 2, 3))
+        + 'select "Class", round(score,6) as score, count(*) as n from leaf group by 1, 2',
+        "train_job_trees": trained_trees(),
         "fit_lr_prior": with_ctes(TXN)
         + """select "Class", round((select sum("Class")*1e0/count(*) from txn),6) as score, count(*) as n from txn group by 1""",
         "fit_lr_cells": with_ctes(TXN, """c as (select *, case when h % 16 < cell+4 then 1 else 0 end as y from (select h,

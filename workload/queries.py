@@ -270,22 +270,47 @@ def _stump_fit(rows, kind, settings, weighted):
     return models.make_pipeline(STUMP_FEATURES, estimator).fit(fitting)
 
 
-def _leaf_counts(spark, sf, kind, settings, weighted=False):
-    rows = stored_txn(spark, sf, *STUMP_FEATURES, "Class")
+def _stump_rows(spark, sf):
+    return stored_txn(spark, sf, *STUMP_FEATURES, "Class")
+
+
+def _leaf_counts(rows, kind, settings, weighted=False):
     scored = models.score_table(_stump_fit(rows, kind, settings, weighted), rows)
     return scored.groupBy("Class", F.round("score", 6).alias("score")).agg(F.count("*").alias("n"))
 
 
 def fit_rf_stump(spark, sf):
-    return _leaf_counts(spark, sf, "rf", STUMPS["rf"], weighted=True)
+    return _leaf_counts(_stump_rows(spark, sf), "rf", STUMPS["rf"], weighted=True)
 
 
 def fit_gbt_stump(spark, sf):
-    return _leaf_counts(spark, sf, "gbt", STUMPS["gbt"])
+    return _leaf_counts(_stump_rows(spark, sf), "gbt", STUMPS["gbt"])
+
+
+def _cell():
+    """The number of a transaction's cell in a grid of two by two by two."""
+    bits = [(F.col("V1") >= 25, 4), (F.col("V2") >= 0.05, 2), (F.col("V3") >= 0.04, 1)]
+    return sum(F.when(hit, worth).otherwise(0) for hit, worth in bits)
+
+
+def _graded(spark, sf):
+    """The transactions with positives in every cell of a grid, in shares from 4 to 11 of 16, so that a deep tree has leaves of all kinds."""
+    rows = txn(spark, sf)
+    return staged(rows.select(*STUMP_FEATURES, F.when(F.col("h") % 16 < _cell() + 4, 1).otherwise(0).alias("Class")))
+
+
+def fit_rf_tree(spark, sf):
+    """One tree of three levels with class weights: every leaf's share."""
+    return _leaf_counts(_graded(spark, sf), "rf", {**STUMPS["rf"], "maxDepth": 3}, weighted=True)
+
+
+def fit_gbt_rounds(spark, sf):
+    """Three rounds of boosting with trees of two levels: every sum of leaves."""
+    return _leaf_counts(_graded(spark, sf), "gbt", {**STUMPS["gbt"], "maxDepth": 2, "maxIter": 3})
 
 
 def fit_lr_prior(spark, sf):
-    return _leaf_counts(spark, sf, "lr", {"regParam": 10.0, "elasticNetParam": 1.0})
+    return _leaf_counts(_stump_rows(spark, sf), "lr", {"regParam": 10.0, "elasticNetParam": 1.0})
 
 
 CELL_FEATURES = [f"cell{i}" for i in range(1, 8)]
@@ -295,8 +320,7 @@ def fit_lr_cells(spark, sf):
     """Unregularised, with one indicator for each cell of a grid but the first: a cell's probability is its positive share,
     with class weights its weighted share."""
     rows = txn(spark, sf)
-    bits = [(F.col("V1") >= 25, 4), (F.col("V2") >= 0.05, 2), (F.col("V3") >= 0.04, 1)]
-    cell = sum(F.when(hit, worth).otherwise(0) for hit, worth in bits)
+    cell = _cell()
     label = F.when(F.col("h") % 16 < cell + 4, 1).otherwise(0)
     rows = rows.select(cell.alias("cell"), label.alias("Class"))
     marks = [F.when(F.col("cell") == i, 1.0).otherwise(0.0).alias(name) for i, name in enumerate(CELL_FEATURES, 1)]
@@ -572,6 +596,26 @@ def train_job(spark, sf):
     return _job_facts(metrics)
 
 
+def train_job_trees(spark, sf):
+    """The job with small trees, for which every area that it writes can be told exactly; a lone node is the other candidate."""
+    rows = stored_txn(spark, sf, "txn_id", "h", *STUMP_FEATURES, "Class")
+    path = scratch_path(spark, "trained")
+    for name, part in zip(("train", "test"), split.split_stratified(rows, F.col("h"), F.col("txn_id"))):
+        io.sink_parquet(part.select(*STUMP_FEATURES, "Class"), f"{path}/{name}")
+    found = None
+    for kind in ("rf", "gbt"):
+        rounds = {"maxIter": [2]} if kind == "gbt" else {}
+        settings = {k: v for k, v in STUMPS[kind].items() if k not in ("maxDepth", "maxIter")}
+        metrics = train(
+            spark, f"{path}/train", f"{path}/test", f"{path}/{kind}", f"{path}/metrics_{kind}", kind,
+            grid={"maxDepth": [0, 2], **rounds}, settings=settings,
+        )
+        counts = [F.col(f"train_counts.`{c}`").alias(name) for c, name in ((0, "train_negatives"), (1, "train_positives"))]
+        metrics = metrics.select("model", "auprc", "auroc", "auprc_one", *counts)
+        found = metrics if found is None else found.unionByName(metrics)
+    return rounded(found)
+
+
 def _job_facts(metrics):
     """Class counts of the training part, that the areas are shares and beat chance, and that the fit took time."""
     counts = [F.col(f"train_counts.`{c}`").alias(name) for c, name in ((0, "train_negatives"), (1, "train_positives"))]
