@@ -7,6 +7,7 @@ mergeable, so they are merged in two shuffled steps.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -109,6 +110,12 @@ class CoMoments:
         """How many rows have no value, by column."""
         return self.rows - np.diag(self.n).astype(np.int64)
 
+    def figures(self, i: int) -> tuple[int, float, float, float, float]:
+        """Number of values, mean, sample deviation, minimum and maximum of a column; NaN where there are too few values."""
+        n = int(self.n[i, i])
+        deviation = float(np.sqrt(self.m2[i, i] / (n - 1))) if n > 1 else math.nan
+        return n, float(self.mean[i, i]) if n else math.nan, deviation, float(self.lowest[i]), float(self.highest[i])
+
     def correlation(self) -> np.ndarray:
         """Pearson correlations over the rows where both columns have values; NaN where one of them does not vary."""
         varies = (self.m2 > 0) & (self.lowest != self.highest)[:, None]

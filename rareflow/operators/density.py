@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rareflow.functions.columns import col, join_groups
-from rareflow.session import small_table
+from rareflow.session import small_table, staged
 
 # exp(-z*z/2) is zero in double precision beyond this distance
 KERNEL_REACH = 38.7
@@ -52,6 +52,11 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50, by: Sequenc
     counted = (
         join_groups(long, table, ids).groupBy(*ids, bin_no.alias("bin")).agg(F.count("*").alias("n"))
     )
+    return _filled(table, counted, ids, bins)
+
+
+def _filled(table: DataFrame, counted: DataFrame, ids: Sequence[str], bins: int) -> DataFrame:
+    """Every bin of the ranges in ``table(*ids, lo, width, total)`` with its number of values."""
     grid = table.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     n = F.coalesce("n", F.lit(0))
     left = F.col("lo") + F.col("bin") * F.col("width")
@@ -88,6 +93,22 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int = 50
     if n < 2 or not sd or not math.isfinite(sd):
         raise ValueError(f"{column}: a density needs two different finite values")
     bandwidth = sd * n**-0.2
+    celled = values.select("v", F.floor((F.col("v") - lo) / (CELL * bandwidth)).alias("cell"))
+    z = (F.col("v") - F.lit(lo) - (F.col("cell") + 0.5) * (CELL * bandwidth)) / bandwidth
+    moments = celled.select("cell", z.alias("z")).groupBy("cell").agg(*_power_sums())
+    return _density_rows(moments, n, bandwidth, lo, hi, points, bins)
+
+
+def _power_sums() -> list[Column]:
+    """Sums of the powers of ``z`` below ``ORDER`` as m0, m1, ..."""
+    powers = [F.lit(1.0)]
+    for _ in range(1, ORDER):
+        powers.append(powers[-1] * F.col("z"))
+    return [F.sum(power).alias(f"m{k}") for k, power in enumerate(powers)]
+
+
+def _density_rows(moments: DataFrame, n: int, bandwidth: float, lo: float, hi: float, points: int, bins: int) -> DataFrame:
+    """The density at every grid point from the moments of the cells."""
     width = CELL * bandwidth
     step = (hi - lo) / (points - 1)
     reach = KERNEL_REACH * bandwidth + width
@@ -98,12 +119,6 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int = 50
     def middle(cell):
         return F.lit(lo) + (cell + 0.5) * width
 
-    celled = values.select("v", F.floor((F.col("v") - lo) / width).alias("cell"))
-    celled = celled.select("cell", ((F.col("v") - middle(F.col("cell"))) / bandwidth).alias("z"))
-    powers = [F.lit(1.0)]
-    for _ in range(1, ORDER):
-        powers.append(powers[-1] * F.col("z"))
-    moments = celled.groupBy("cell").agg(*[F.sum(power).alias(f"m{k}") for k, power in enumerate(powers)])
     combined = [
         sum((F.col(f"m{k}") * factor for k, factor in enumerate(row) if factor), F.lit(0.0)).alias(f"a{j}") for j, row in enumerate(_expansion())
     ]
@@ -117,7 +132,7 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int = 50
     for j in reversed(range(ORDER - 1)):
         polynomial = polynomial * F.col("t") + F.col(f"a{j}")
     sums = met.groupBy("i").agg(F.sum(polynomial * F.exp(-0.5 * F.col("t") * F.col("t"))).alias("s"))
-    grid = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
+    grid = moments.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
     density = F.greatest(F.coalesce("s", F.lit(0.0)), F.lit(0.0)) / (n * bandwidth * math.sqrt(2 * math.pi))
     return grid.join(F.broadcast(sums), "i", "left").select(
         "i",
@@ -125,3 +140,38 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int = 50
         density.alias("density"),
         (density * n * ((hi - lo) / bins)).alias("expected"),
     )
+
+
+def distributions(
+    df: DataFrame, figures: Mapping[str, tuple[int, float, float, float]], points: int = 200, bins: int = 50
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The histogram of several columns and the kernel density of each, from one scan.
+
+    ``figures`` has the number of values, the sample deviation, minimum and maximum by column. Values are counted by histogram bin and
+    density cell together, map-side, with the powers of their distances from the cell's middle; both results add up those sums, which are stored.
+    """
+    rows = []
+    for c, (n, sd, lo, hi) in figures.items():
+        if n < 2 or not sd or not math.isfinite(sd):
+            raise ValueError(f"{c}: a density needs two different finite values")
+        rows.append((c, lo, hi, (hi - lo) / bins, n, sd * n**-0.2))
+    table = small_table(df.sparkSession, rows, "column string, lo double, hi double, width double, total bigint, bandwidth double")
+    names = [col(c) for c in figures]
+    long = _finite(df, list(figures), []).unpivot([], names, "column", "value").where("value is not null")
+    above = F.col("value") - F.col("lo")
+    placed = join_groups(long, table, ["column"]).select(
+        "column",
+        F.least(F.floor(above / F.col("width")).cast("int"), F.lit(bins - 1)).alias("bin"),
+        above.alias("above"),
+        F.floor(above / (CELL * F.col("bandwidth"))).alias("cell"),
+        "bandwidth",
+    )
+    z = (F.col("above") - (F.col("cell") + 0.5) * (CELL * F.col("bandwidth"))) / F.col("bandwidth")
+    sums = placed.select("column", "bin", "cell", z.alias("z")).groupBy("column", "bin", "cell").agg(F.count("*").alias("n"), *_power_sums())
+    sums = staged(sums, "cells")
+    binned = _filled(table, sums.groupBy("column", "bin").agg(F.sum("n").alias("n")), ["column"], bins)
+    densities = {}
+    for c, lo, hi, _, n, bandwidth in rows:
+        moments = sums.where(F.col("column") == c).groupBy("cell").agg(*[F.sum(f"m{k}").alias(f"m{k}") for k in range(ORDER)])
+        densities[c] = _density_rows(moments, n, bandwidth, lo, hi, points, bins)
+    return binned, densities

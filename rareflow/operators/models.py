@@ -25,7 +25,7 @@ from rareflow.functions.hashing import row_hash
 from rareflow.operators.curves import curve_areas, curve_points, points_of, score_totals, thinned
 from rareflow.operators.split import mark_hash_split, parts
 from rareflow.schema import LABEL
-from rareflow.session import scratch_path, staged
+from rareflow.session import staged
 
 ESTIMATORS = {"lr": LogisticRegression, "rf": RandomForestClassifier, "gbt": GBTClassifier}
 
@@ -182,9 +182,7 @@ def tune_by_folds(
     """
     fold = free_name(train, "fold")
     number = F.pmod(row_hash(train.columns, seed) if h is None else h, F.lit(folds)).cast("int")
-    path = scratch_path(train.sparkSession, "folds")
-    train.withColumn(fold, number).write.partitionBy(fold).parquet(path)
-    rows = train.sparkSession.read.parquet(path)
+    rows = staged(train.withColumn(fold, number), "folds", by=[fold])
     candidates = make_grid(estimator, grid)
     assembler, scaler = scaling_stages(features)
 

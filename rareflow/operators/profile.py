@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rareflow.functions.columns import col
-from rareflow.operators.comoments import co_moments
+from rareflow.operators.comoments import CoMoments, co_moments
 from rareflow.operators.quantiles import exact_quantiles
 from rareflow.schema import LABEL
 from rareflow.session import small_table
@@ -66,9 +66,20 @@ def correlation_rows(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     One scan, whatever is missing: each pair uses the rows where both columns have a value, and NaN counts as missing.
     """
     names = list(columns or numeric_columns(df))
-    matrix = co_moments(df, names).correlation()
+    return correlations_of(df.sparkSession, co_moments(df, names), names)
+
+
+def correlations_of(spark: SparkSession, moments: CoMoments, names: Sequence[str]) -> DataFrame:
+    """``correlation_rows`` of co-moments whose first columns are ``names``."""
+    matrix = moments.correlation()[: len(names), : len(names)]
     rows = [(a, b, None if r != r else float(r)) for a, line in zip(names, matrix) for b, r in zip(names, line)]
-    return small_table(df.sparkSession, rows, "a string, b string, r double")
+    return small_table(spark, rows, "a string, b string, r double")
+
+
+def summary_of(spark: SparkSession, moments: CoMoments, names: Sequence[str]) -> DataFrame:
+    """``describe_columns`` of co-moments whose first columns are ``names``; NaN counts as missing."""
+    rows = [(c, *(None if x != x else x for x in moments.figures(i))) for i, c in enumerate(names)]
+    return small_table(spark, rows, "column string, n bigint, mean double, stddev double, min double, max double")
 
 
 def colour_range(*matrices: DataFrame) -> DataFrame:

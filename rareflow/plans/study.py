@@ -10,11 +10,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rareflow.functions.columns import col, feature_columns, join_groups, log_positive
+from rareflow.functions.columns import col, feature_columns, free_name, join_groups, log_positive
 from rareflow.functions.hashing import row_hash
 from rareflow.operators.balance import drop_positive_outliers, undersample
+from rareflow.operators.comoments import co_moments
 from rareflow.operators.curves import compare_points, comparison_confusion, curve_points, pr_curve, roc_curve
-from rareflow.operators.density import histogram, kernel_density
+from rareflow.operators.density import distributions, histogram
 from rareflow.operators.models import (
     GRIDS,
     STUDY_SETTINGS,
@@ -30,13 +31,15 @@ from rareflow.operators.profile import (
     class_counts,
     colour_range,
     correlation_rows,
-    describe_columns,
+    correlations_of,
     label_correlations,
+    numeric_columns,
+    summary_of,
 )
 from rareflow.operators.split import split_stratified
 from rareflow.operators.thresholds import best_threshold, confusion_rows, prediction_metrics, threshold_sweep
 from rareflow.schema import LABEL
-from rareflow.session import scratch_path, small_table, staged
+from rareflow.session import job_stages, small_table, staged
 from rareflow.sources.models import save_model
 from rareflow.sources.tables import scan_parquet, sink_parquet
 
@@ -53,17 +56,43 @@ class Study:
 
 
 def profile(df: DataFrame, amounts: Sequence[str] = ("Amount", "Time"), label: str = LABEL) -> dict[str, DataFrame]:
-    """Class counts, summary, histograms and densities of the amounts and of their logarithms."""
-    tables = {"class_counts": class_counts(df, label), "summary": describe_columns(df)}
-    tables["histogram"] = histogram(df, amounts)
-    logs = df.select(log_positive(F.col(amounts[0])).alias("log_amount"))
-    tables["log_histogram"] = histogram(logs, ["log_amount"])
-    for name, rows, column in [*((f"density_{c}", df, c) for c in amounts), ("log_density", logs, "log_amount")]:
-        tables[name] = kernel_density(rows, column)
+    """Class counts, summary, correlations, and histograms and densities of the amounts and of the first one's logarithm.
+
+    Three scans of ``df``: one of the label, one for the co-moments of all numeric columns, from which the summary, the correlations and the
+    ranges and bandwidths of the distributions follow, and one of the amounts. NaN counts as missing.
+    """
+    spark = df.sparkSession
+    tables = {"class_counts": staged(class_counts(df, label), "classes")}
+    names, log = numeric_columns(df), free_name(df, "log_amount")
+    wider = df.withColumn(log, log_positive(col(amounts[0])))
+    moments = co_moments(wider, [*names, log])
+    tables["summary"], tables["corr_before"] = summary_of(spark, moments, names), correlations_of(spark, moments, names)
+    every = [*names, log]
+    known = {c: moments.figures(every.index(c)) for c in (*amounts, log)}
+    binned, densities = distributions(wider, {c: (n, sd, lo, hi) for c, (n, _, sd, lo, hi) in known.items()})
+    tables["histogram"] = binned.where(F.col("column") != log)
+    tables["log_histogram"] = binned.where(F.col("column") == log).withColumn("column", F.lit("log_amount"))
+    tables |= {f"density_{c}": densities[c] for c in amounts}
+    tables["log_density"] = densities[log]
     return tables
 
 
-def run_study(
+def run_study(df: DataFrame, model_dir: str, output: str | None = None, **options) -> Study:
+    """The study of ``df``; see ``_study`` for the options.
+
+    With ``output`` every table is written below it, the study returns them as written, and all stages are removed. Without it the
+    tables read the stages, which stay.
+    """
+    if output is None:
+        return _study(df, model_dir, **options)
+    with job_stages(df.sparkSession):
+        found = _study(df, model_dir, **options)
+        for name, rows in found.tables.items():
+            sink_parquet(rows, f"{output}/{name}")
+    return Study({name: scan_parquet(df.sparkSession, f"{output}/{name}") for name in found.tables}, found.models, found.best)
+
+
+def _study(
     df: DataFrame,
     model_dir: str,
     seed: int = 42,
@@ -93,7 +122,7 @@ def run_study(
     # written once: a small part of the rows, which ten of the steps below read
     balanced = staged(undersample(pool, sampling, label), "balanced")
     tables["balanced_counts"] = class_counts(balanced, label)
-    tables["corr_before"], tables["corr_after"] = correlation_rows(df), correlation_rows(balanced)
+    tables["corr_after"] = correlation_rows(balanced)
     tables["corr_range"] = colour_range(tables["corr_before"], tables["corr_after"])
     tables["label_correlations"] = label_correlations(tables["corr_after"], label)
     tables["boxplots"] = boxplot_rows(balanced, boxplots, label)
@@ -101,13 +130,10 @@ def run_study(
     tables["boxplots_trimmed"] = boxplot_rows(trimmed, trim, label)
 
     # written, not cached: three fits and a search read these rows, and they must not change when an executor is lost
-    work = scratch_path(spark, "study")
     train = trimmed
     if test is None:
         train, test = split_stratified(trimmed, h, tie, 0.8, label, stage_keys=True)
-    for name, part in (("train", train), ("test", test)):
-        sink_parquet(part, f"{work}/{name}")
-    train, test = (scan_parquet(spark, f"{work}/{name}") for name in ("train", "test"))
+    train, test = staged(train, "train"), staged(test, "test")
     sizes = [("balanced", balanced.count()), ("trimmed", trimmed.count()), ("train", train.count()), ("test", test.count())]
     tables["row_counts"] = small_table(spark, sizes, "stage string, n bigint")
 
@@ -125,8 +151,7 @@ def run_study(
     models = {kind: model for kind, (model, _) in fitted.items()}
     seconds = [(kind, took) for kind, (_, took) in fitted.items()]
 
-    sink_parquet(score_by_models(models, test, [label]), f"{work}/scores")
-    scores = scan_parquet(spark, f"{work}/scores")
+    scores = staged(score_by_models(models, test, [label]), "scores")
     tables["scores"] = scores
     tables["fit_seconds"] = small_table(spark, seconds, "model string, fit_seconds double")
     tables["sweep"] = threshold_sweep(scores, label, by=["model"])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,17 +50,53 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_job: ContextVar[str | None] = ContextVar("rareflow_job", default=None)
+
+
+@contextmanager
+def job_stages(spark: SparkSession) -> Iterator[None]:
+    """All that is staged inside belongs to one job and is removed at its end, however that ends.
+
+    The stages are managed tables of a database of the job, which lies in the shared folder; dropping it has Spark remove the files, on
+    any file system. A job inside another leaves its stages to the outer one. Nothing that still reads a stage may leave the job.
+    """
+    if _job.get() is not None:
+        yield
+        return
+    name = f"rareflow_{uuid.uuid4().hex}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/{name}".replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"create database {name} location '{folder}'")
+    token = _job.set(name)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        spark.sql(f"drop database if exists {name} cascade")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder once, so later passes neither recompute nor lose them."""
+    """Write the rows to the shared folder once, so later passes neither recompute nor lose them; in a job as one of its stages."""
+    if _job.get() is not None:
+        return staged(df, "cut")
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
-def staged(df: DataFrame, label: str = "stage") -> DataFrame:
-    """The rows as a Parquet table in the shared folder: for tables that several passes read a few columns of."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def staged(df: DataFrame, label: str = "stage", by: Sequence[str] = ()) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, in folders ``by`` columns: for tables that several passes read a few columns of.
+
+    Inside ``job_stages`` the table goes with the job; otherwise its files stay.
+    """
+    spark, job = df.sparkSession, _job.get()
+    writer = df.write.partitionBy(*by) if by else df.write
+    if job is not None:
+        name = re.sub(r"\W", "_", f"{label}_{uuid.uuid4().hex}")
+        name = f"{job}.{name}"
+        writer.saveAsTable(name, format="parquet")
+        return spark.table(name)
+    path = scratch_path(spark, label)
+    writer.parquet(path)
+    return spark.read.parquet(path)
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
