@@ -112,7 +112,8 @@ def _pieces(ids, counts, docs, ends_sentence, window, first_window):
     }
     frame = pd.DataFrame(made)
     frame["doc_id"] = frame["doc_id"].astype("Int64")
-    assert n == int(frame["length"].sum())
+    if n != int(frame["length"].sum()):
+        raise RuntimeError("the pieces do not hold all ids of a block")
     return frame, len(cuts)
 
 
