@@ -24,6 +24,10 @@ GROUP_POSITIONS = 500_000
 COUNTED_PLACES = 8
 #: Marks a place in a document's list that stands for all equal windows of the document.
 EVERYWHERE = 1 << 31
+#: Names of hot ranks that travel to every task, 24 MB; more are joined to the documents that hold them.
+HOT_NAMES = 4_000_000
+#: Parts that the documents' ranks are dealt into for that join, as a hot rank may be in a third of all documents.
+HOT_PARTS = 32
 #: Bytes that are ranked at a time, so that the arrays stay in a core's cache.
 SLICE = 1 << 17
 
@@ -373,11 +377,41 @@ def _one_window(context: np.ndarray, column: np.ndarray, length: int) -> np.ndar
     return np.where((at >= column[:, None]) & (at < column[:, None] + length), context, 0).astype(np.uint8)
 
 
-def _second_ranks(length: int, first: int, buckets: int, hot: np.ndarray):
+def _ranks_in_rows(schema: str, *columns: str):
+    """A row for each rank of a column of lists of ranks, with the other ``columns``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                names = [_from_six(x) for x in part.column("names").to_pylist()]
+                row = np.repeat(np.arange(len(names)), [len(n) for n in names])
+                made = [part.column(c).take(pa.array(row)) for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names).astype(np.int64)), *made], ["name", *columns])
+
+    return lambda df: df.mapInArrow(run, schema)
+
+
+def _hot_of_documents(alive: DataFrame) -> DataFrame:
+    """``id, mark, hot``: the hot ranks of every document that holds one, by a join dealt by rank and part.
+
+    The hot ranks go to every part, a document's ranks to one, so a rank that a third of all documents hold meets
+    them in HOT_PARTS tasks.
+    """
+    part = F.pmod(F.xxhash64("id", "mark"), F.lit(HOT_PARTS))
+    own = alive.where("id is not null").select("id", "mark", "names")
+    own = _ranks_in_rows("name long, id long, mark long", "id", "mark")(own).select("*", part.alias("part"))
+    hot = _ranks_in_rows("name long")(alive.where("hot is not null").select(F.col("hot").alias("names")))
+    hot = hot.select("name", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HOT_PARTS - 1).cast("long"))).alias("part"))
+    return own.join(hot.hint("shuffle_hash"), ["name", "part"]).groupBy("id", "mark").agg(F.collect_list("name").alias("hot"))
+
+
+def _second_ranks(length: int, first: int, buckets: int, hot_ranks: np.ndarray | None):
     """Batches of documents with their shared ranks to the surroundings of the shared places, per bucket.
 
     Of places with equal surroundings in a batch only those of the smallest doc_id are sent on: all windows
-    of the others are known to be repeats. Places of the ranks ``hot`` (ascending) are sent by their windows.
+    of the others are known to be repeats. Places of the ranks ``hot_ranks`` (ascending; None: those that the column ``hot`` of
+    the documents holds) are sent by their windows.
     """
     reach = length - first
 
@@ -399,6 +433,7 @@ def _second_ranks(length: int, first: int, buckets: int, hot: np.ndarray):
             keep = alive[at] == key
             place, number, name, lo, hi = place[keep], number[keep], name[keep], lo[keep], hi[keep]
             rows, sent, bits, shown = [], [], [], []
+            hot = _hot_in_batch(batch) if hot_ranks is None else hot_ranks
             if len(hot):
                 much = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
                 by_name = np.flatnonzero(much)[np.argsort(name[much], kind="stable")]
@@ -437,6 +472,12 @@ def _second_ranks(length: int, first: int, buckets: int, hot: np.ndarray):
     return run
 
 
+def _hot_in_batch(batch: pa.RecordBatch) -> np.ndarray:
+    """The hot ranks that the batch's documents hold, ascending."""
+    held = batch.column("hot").drop_null()
+    return np.unique(held.flatten().to_numpy(zero_copy_only=False).astype(np.uint64))
+
+
 def _known_copies(context: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """True for rows whose bytes a row with a smaller id has too."""
     words = _as_words(context)
@@ -612,6 +653,7 @@ def remove_repeats(
     first: int = FIRST,
     group_positions: int = GROUP_POSITIONS,
     carry: Sequence[str] = (),
+    hot_names: int = HOT_NAMES,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept, kept_text``, a row for each row of ``docs``.
 
@@ -625,7 +667,8 @@ def remove_repeats(
     rank of its strings of ``first`` bytes, about one position in eighteen, and equal windows choose alike. Ranks of 1, 2,
     4, ... bytes are paired to the first rank; the positions are shuffled and sorted by it, and those whose rank is unique
     to a document end there. Ranks that may have more than half of ``group_positions`` places are hot, at most one for some 31,000 sampled
-    places; their names are known to all tasks, and their places go on by the names of their windows, one for each string and part of a batch, so no
+    places; up to ``hot_names`` of their names are known to all tasks, more are joined to the documents that hold them, with the same
+    result. Their places go on by the names of their windows, one for each string and part of a batch, so no
     group has all places of one rank. The rest are sorted by it again with their surroundings, and their windows ranked by pairs
     at growing offsets up to the threshold. Ranks are 64-bit names; the last ones are compared byte by byte, the first only
     decide what is looked at.
@@ -645,10 +688,15 @@ def remove_repeats(
     ranked = named.mapInArrow(_first_ranks(length, first, buckets), FIRST_SCHEMA)
     shared = ranked.groupBy("bucket").applyInArrow(_shared_ranks(group_positions // 2), ALIVE_SCHEMA)
     alive = settled(shared, "ranks")
-    hot = [r["hot"] for r in alive.where("hot is not null").select("hot").collect()]
-    hot = np.sort(_from_six(b"".join(hot)))
     lists = alive.where("id is not null").groupBy("id", "mark").agg(F.collect_list("names").alias("names"))
     placed = named.join(lists.hint("shuffle_hash"), ["id", "mark"]).select("id", "mark", "text", "names")
+    found_hot = alive.where("hot is not null").select("hot")
+    hot = None
+    if (found_hot.agg(F.sum(F.octet_length("hot"))).first()[0] or 0) <= 6 * hot_names:
+        hot = np.sort(_from_six(b"".join(r["hot"] for r in found_hot.collect())))
+    else:
+        of_documents = settled(_hot_of_documents(alive), "hot")
+        placed = placed.join(of_documents.hint("shuffle_hash"), ["id", "mark"], "left").select("id", "mark", "text", "names", "hot")
     around = placed.mapInArrow(_second_ranks(length, first, buckets, hot), SECOND_SCHEMA)
     windows = settled(around.groupBy("bucket").applyInArrow(_repeats(length, first), FOUND_SCHEMA), "windows")
     found = windows.groupBy("id", "mark").agg(F.collect_list("places").alias("places"), F.collect_list("bits").alias("bits"))

@@ -94,8 +94,8 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-@pytest.mark.parametrize("positions", [10**6, 40])
-def test_suffixes(docs, positions):
+@pytest.mark.parametrize("positions, hot_names", [(10**6, 1), (40, 10**6), (40, 0)])
+def test_suffixes(docs, positions, hot_names):
     rows = _rows(docs)
     first = {}
     for i, t in sorted((x for x in rows if x[0] is not None)):
@@ -111,7 +111,7 @@ def test_suffixes(docs, positions):
         kept = bytes(b for b, g in zip(raw, gone) if not g)
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         wanted.append((str(i), len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
-    found = suffixes.remove_repeats(docs, group_positions=positions).collect()
+    found = suffixes.remove_repeats(docs, group_positions=positions, hot_names=hot_names).collect()
     assert sorted((str(r["doc_id"]), *r[2:6]) for r in found) == sorted(wanted)
     assert sum(w[2] for w in wanted) > 0
 
@@ -170,8 +170,8 @@ def test_suffixes_deal_out_hot_ranks():
 def test_suffixes_of_runs(spark):
     rows = [(5, "x" + "-" * 3000 + "y"), (5, "-" * 70), (6, "-" * 60 + "z" * 60 + "-" * 2000), (7, "z" * 55 + "-" * 50), (8, "z" * 59)]
     rows = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
-    for split in (rows, rows.repartition(5)):
-        found = suffixes.remove_repeats(split, group_positions=40).collect()
+    for split, hot_names in ((rows, 10**6), (rows.repartition(5), 10**6), (rows, 0), (rows.repartition(5), 0)):
+        found = suffixes.remove_repeats(split, group_positions=40, hot_names=hot_names).collect()
         assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in found) == [(5, 70, 0), (5, 3002, 0), (6, 2120, 2060), (7, 105, 105), (8, 59, 59)]
 
 
