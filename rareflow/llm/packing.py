@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -100,12 +99,11 @@ def _pieces(ids, counts, docs, ends_sentence, window, first_window):
     number = np.searchsorted(cuts, start, side="right")
     window_start = np.concatenate([[0], cuts])[number]
     raw = ids.astype("<u4")
-    crc = [zlib.crc32(raw[a:z].tobytes()) for a, z in zip(start.tolist(), stop.tolist())]
     made = {
         "doc_id": [docs[d] for d in doc.tolist()],
         "start": start - (doc_end - counts)[doc],
         "length": stop - start,
-        "ids_crc32": crc,
+        "ids": [raw[a:z].tobytes() for a, z in zip(start.tolist(), stop.tolist())],
         "doc_tokens": counts[doc],
         "sequence_id": first_window + number,
         "offset": start - window_start,
@@ -120,7 +118,9 @@ def _pieces(ids, counts, docs, ends_sentence, window, first_window):
 def pack(
     docs: DataFrame, path: str | None = None, window: int = WINDOW, partitions: int | None = None, block: int = BLOCK_TOKENS
 ) -> DataFrame:
-    """Pieces ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)`` of all documents.
+    """Pieces ``(doc_id, start, length, ids, doc_tokens, sequence_id, offset)`` of all documents.
+
+    ``ids`` holds the piece's token ids as little-endian unsigned 32-bit integers; a sequence is its pieces' ids by ``offset``.
 
     Documents follow each other by doc_id (null first, equal ones by text); each has the ids of its whole text and the end id, a null
     text as an empty one has the end id alone. Sequences hold ``window`` ids at most and are gapless; cuts fall behind documents or sentences where
@@ -154,5 +154,5 @@ def pack(
             yield _pieces(np.concatenate(held_ids), np.concatenate(held_counts), held_docs, ends_sentence, window, first)[0]
 
     ordered = rows.repartitionByRange(wide, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     return ordered.mapInPandas(run, schema)

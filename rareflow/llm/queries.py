@@ -50,7 +50,9 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

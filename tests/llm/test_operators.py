@@ -285,7 +285,7 @@ def test_packing(docs, nothing):
         ids = np.array(tokenizer.encode(texts[i][0], add_special_tokens=False).ids + [1], dtype="<u4")
         assert sum(p["length"] for p in pieces) == len(ids) * len(texts[i])
         for p in pieces:
-            assert p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) and p["doc_tokens"] == len(ids)
+            assert p["ids"] == ids[p["start"] : p["start"] + p["length"]].tobytes() and p["doc_tokens"] == len(ids)
     for pieces in windows.values():
         at = 0
         for p in sorted(pieces, key=lambda p: p["offset"]):

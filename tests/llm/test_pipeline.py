@@ -17,7 +17,7 @@ import xxhash
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline
-from rareflow.llm import mixing, packing, tokens, toxicity
+from rareflow.llm import mixing, packing, queries, tokens, toxicity
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, extra string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -170,13 +170,31 @@ def test_run_against_plain_python(spark, planted):
         pieces.sort(key=lambda p: p["start"])
         assert [p["start"] for p in pieces] == np.cumsum([0, *(p["length"] for p in pieces[:-1])]).tolist()
         assert sum(p["length"] for p in pieces) == len(ids[i]) and {p["doc_tokens"] for p in pieces} == {len(ids[i])}
-        assert all(p["ids_crc32"] == zlib.crc32(ids[i][p["start"] : p["start"] + p["length"]].tobytes()) for p in pieces)
+        assert b"".join(p["ids"] for p in pieces) == ids[i].tobytes() and all(len(p["ids"]) == 4 * p["length"] for p in pieces)
     for pieces in windows.values():
         pieces.sort(key=lambda p: p["offset"])
         assert [p["offset"] for p in pieces] == np.cumsum([0, *(p["length"] for p in pieces[:-1])]).tolist()
         assert sum(p["length"] for p in pieces) <= packing.WINDOW
 
 
+def test_packing_query_against_plain_python(spark, planted):
+    folder, rows = planted
+    tokenizer = tokens.Encoder(tokens.vocabulary(packing.TOKENIZER)).tokenizer
+    found = defaultdict(list)
+    for p in queries.op3_packing(spark, folder).collect():
+        found[p["doc_id"]].append(p)
+    texts = defaultdict(list)
+    for r in rows:
+        texts[r["doc_id"]].append(r["text"] or "")
+    assert set(found) == set(texts)
+    for i in (k for k in texts if len(texts[k]) == 1):
+        ids = np.array([*tokenizer.encode(texts[i][0], add_special_tokens=False).ids, 1], dtype="<u4")
+        pieces = sorted(found[i], key=lambda p: p["start"])
+        assert [p["start"] for p in pieces] == np.cumsum([0, *(p["length"] for p in pieces[:-1])]).tolist()
+        assert sum(p["length"] for p in pieces) == len(ids) and {p["doc_tokens"] for p in pieces} == {len(ids)}
+        assert all(p["ids_crc32"] == zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) for p in pieces)
+
+
 def test_stages_hand_on_the_columns(spark, planted, caplog):
     docs = spark.read.parquet(f"{planted[0]}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
