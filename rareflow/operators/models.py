@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from rareflow.functions.columns import col, free_name, vector_item
 from rareflow.functions.hashing import row_hash
+from rareflow.operators.cells import fit_cells, rows_by_cell
 from rareflow.operators.curves import curve_areas, curve_points, points_of, score_totals, thinned
 from rareflow.operators.split import mark_hash_split, parts
 from rareflow.schema import LABEL
@@ -69,6 +70,21 @@ def make_pipeline(features: Sequence[str], estimator, on_missing: str = "error")
     return Pipeline(stages=[*scaling_stages(features, on_missing), estimator])
 
 
+def fit_pipeline(train: DataFrame, features: Sequence[str], estimator) -> PipelineModel:
+    """``make_pipeline(...).fit(train)``; trees that draw no rows grow from cells of equally binned rows where these are far fewer."""
+    return fit_pipelines(train, features, [estimator])[0]
+
+
+def fit_pipelines(train: DataFrame, features: Sequence[str], estimators: Sequence, parallelism: int = 1) -> list[PipelineModel]:
+    """A fitted pipeline for each estimator; the deviations, and the cells that trees grow from, are taken once for all."""
+    scaling = Pipeline(stages=scaling_stages(features)).fit(train)
+    cells = rows_by_cell(train, features, estimators)
+    scaled = scaling.transform(train)
+    works = [partial(e.fit, scaled) if cells is None else partial(fit_cells, e, scaling, cells) for e in estimators]
+    fitted = _fit_each(train.sparkSession, works, parallelism)
+    return [PipelineModel(stages=[*scaling.stages, model]) for model in fitted]
+
+
 def make_grid(estimator, values: Mapping[str, Sequence]) -> list:
     builder = ParamGridBuilder()
     for name, choices in values.items():
@@ -133,12 +149,12 @@ def tune_by_split(
     """
     marked = mark_hash_split(train, ratio, row_hash(train.columns, seed) if h is None else h, "_part")
     fitting, judged = (staged(part, "search") for part in parts(marked, "_part"))
-    pipeline, candidates = make_pipeline(features, estimator), make_grid(estimator, grid)
-    fitted = _fit_each(train.sparkSession, [partial(pipeline.fit, fitting, c) for c in candidates], parallelism)
+    candidates = make_grid(estimator, grid)
+    fitted = fit_pipelines(fitting, features, [estimator.copy(c) for c in candidates], parallelism)
     found = areas_by_model(score_by_models({str(i): m for i, m in enumerate(fitted)}, judged, [label]), label, bins)
     areas = [found[str(i)] for i in range(len(candidates))]
     best = candidates[areas.index(max(areas))]
-    return Search(pipeline.fit(train, best), areas, candidates, [areas])
+    return Search(fit_pipeline(train, features, estimator.copy(best)), areas, candidates, [areas])
 
 
 def fold_scales(rows: DataFrame, features: Sequence[str], fold: str, folds: int) -> list[list[float]]:
@@ -184,13 +200,15 @@ def tune_by_folds(
     number = F.pmod(row_hash(train.columns, seed) if h is None else h, F.lit(folds)).cast("int")
     rows = staged(train.withColumn(fold, number), "folds", by=[fold])
     candidates = make_grid(estimator, grid)
+    estimators = [estimator.copy(c) for c in candidates]
     assembler, scaler = scaling_stages(features)
+    cells = rows_by_cell(rows, features, estimators, by=[fold])
 
     works = []
     for left_out, factors in enumerate(fold_scales(rows, features, fold, folds)):
         scaled = ElementwiseProduct(scalingVec=Vectors.dense(factors), inputCol=scaler.getInputCol(), outputCol=scaler.getOutputCol())
-        pipeline = Pipeline(stages=[assembler, scaled, estimator])
-        works += [partial(pipeline.fit, rows.where(col(fold) != left_out), c) for c in candidates]
+        scaling = PipelineModel(stages=[assembler, scaled])
+        works += [partial(_fit_others, e, scaling, rows if cells is None else cells, col(fold) != left_out, cells is not None) for e in estimators]
     fitted = _fit_each(train.sparkSession, works, parallelism)
     scored = None
     for left_out in range(folds):
@@ -202,7 +220,17 @@ def tune_by_folds(
     by_fold = [[found[f"{k}:{i}"] for i in range(len(candidates))] for k in range(folds)]
     areas = [sum(a) / folds for a in zip(*by_fold)]
     best = candidates[areas.index(max(areas))]
-    return Search(make_pipeline(features, estimator).fit(train, best), areas, candidates, by_fold)
+    if cells is None:
+        return Search(fit_pipeline(train, features, estimator.copy(best)), areas, candidates, by_fold)
+    scaling = Pipeline(stages=scaling_stages(features)).fit(train)
+    return Search(_fit_others(estimator.copy(best), scaling, cells, F.lit(True), True), areas, candidates, by_fold)
+
+
+def _fit_others(estimator, scaling: PipelineModel, table: DataFrame, others: Column, by_cell: bool) -> PipelineModel:
+    """The pipeline fitted on the rows, or the cells, of the other folds."""
+    mine = table.where(others)
+    model = fit_cells(estimator, scaling, mine) if by_cell else estimator.fit(scaling.transform(mine))
+    return PipelineModel(stages=[*scaling.stages, model])
 
 
 def add_score(predicted: DataFrame, keep_vectors: bool = False) -> DataFrame:

@@ -20,8 +20,8 @@ from rareflow.operators.models import (
     GRIDS,
     STUDY_SETTINGS,
     best_model,
+    fit_pipeline,
     make_estimator,
-    make_pipeline,
     score_by_models,
     timed,
     tune_by_folds,
@@ -143,7 +143,7 @@ def _study(
     def fit(kind: str) -> PipelineModel:
         estimator = make_estimator(kind, settings[kind], label, seed=seed)
         if kind != "lr":
-            return make_pipeline(features, estimator).fit(train)
+            return fit_pipeline(train, features, estimator)
         h = row_hash(columns, seed + 2)
         return tune_by_folds(train, features, estimator, lr_grid or GRIDS["lr"], label, h=h, seed=seed).bestModel
 

@@ -267,7 +267,7 @@ def _stump_fit(rows, kind, settings, weighted):
     weight = "classWeightCol" if weighted else None
     fitting = balance.with_class_weights(rows)[0] if weighted else rows
     estimator = models.make_estimator(kind, settings, weight=weight)
-    return models.make_pipeline(STUMP_FEATURES, estimator).fit(fitting)
+    return models.fit_pipeline(fitting, STUMP_FEATURES, estimator)
 
 
 def _stump_rows(spark, sf):
@@ -346,7 +346,7 @@ def _fit(spark, sf, kind):
     weight = "classWeightCol" if models.JOB_WEIGHTED[kind] else None
     fitting = balance.with_class_weights(train)[0] if weight else train
     estimator = models.make_estimator(kind, models.STUDY_SETTINGS[kind], weight=weight)
-    model, seconds = models.timed(lambda: models.make_pipeline(FEATURES, estimator).fit(fitting))
+    model, seconds = models.timed(lambda: models.fit_pipeline(fitting, FEATURES, estimator))
     areas = models.areas_of(model, test).first()
     scored = model.transform(test)
     agree = all(
