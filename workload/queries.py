@@ -342,17 +342,16 @@ def _fit(spark, sf, kind):
     Beside exact counts: that the exact areas are those of MLlib's evaluator, are better than those of chance, and that the fit took time.
     """
     rows = stored_txn(spark, sf, "txn_id", "h", *FEATURES, "Class")
-    train, test = split.split_stratified(rows, F.col("h"), F.col("txn_id"))
+    train, test = (
+        staged(part.select(*FEATURES, "Class"), "part") for part in split.split_stratified(rows, F.col("h"), F.col("txn_id"))
+    )
     weight = "classWeightCol" if models.JOB_WEIGHTED[kind] else None
     fitting = balance.with_class_weights(train)[0] if weight else train
     estimator = models.make_estimator(kind, models.STUDY_SETTINGS[kind], weight=weight)
     model, seconds = models.timed(lambda: models.fit_pipeline(fitting, FEATURES, estimator))
     areas = models.areas_of(model, test).first()
-    scored = model.transform(test)
-    agree = all(
-        abs(models.make_evaluator(metric).evaluate(scored) - areas[name]) < 1e-9
-        for name, metric in (("auprc_spark", "areaUnderPR"), ("auroc", "areaUnderROC"))
-    )
+    theirs = models.evaluator_areas(model.transform(test))
+    agree = all(abs(theirs[metric] - areas[name]) < 1e-9 for name, metric in (("auprc_spark", "areaUnderPR"), ("auroc", "areaUnderROC")))
     sizes = rows.groupBy().agg(F.count("*").alias("n"), F.sum("Class").alias("n_positive"))
     judged = test.agg(F.count("*").alias("n_test"), F.sum("Class").alias("n_test_positive"), F.avg("Class").alias("share"))
     better = (F.lit(areas["auprc_spark"]) > F.col("share")) & F.lit(areas["auroc"] > 0.5)
