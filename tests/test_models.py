@@ -243,3 +243,35 @@ def test_study(spark, labelled, tmp_path, order):
         assert table.count() > 0
     with pytest.raises(ValueError):
         run_study(rows, str(tmp_path), study_order="never")
+
+
+def test_candidates_that_differ_in_rounds_share_their_boosting(labelled, monkeypatch):
+    """Of two numbers of rounds the larger is fitted; its first rounds are the model that the smaller one gives."""
+    estimator = models.make_estimator("gbt", {"subsamplingRate": 0.8})
+    candidates = models.make_grid(estimator, {"maxIter": [2, 5], "maxDepth": [2, 3]})
+    alone = [models.make_pipeline(FEATURES, estimator).fit(labelled, c) for c in candidates]
+    fits, fit = [], models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, *args: fits.append(self.getMaxIter()) or fit(self, *args))
+    shared = models.fit_pipelines(labelled, FEATURES, [estimator.copy(c) for c in candidates])
+    assert fits == [5, 5]
+    for one, other in zip(shared, alone):
+        a, b = one.stages[-1], other.stages[-1]
+        assert a.toDebugString.split("\n", 1)[1] == b.toDebugString.split("\n", 1)[1] and a.treeWeights == b.treeWeights
+        assert {p.name: v for p, v in a.extractParamMap().items()} == {p.name: v for p, v in b.extractParamMap().items()}
+        scores = [{r["id"]: r["score"] for r in models.score_table(m, labelled).collect()} for m in (one, other)]
+        assert scores[0] == scores[1]
+
+
+def test_fits_at_a_time_share_the_memory(labelled, monkeypatch):
+    assert models.at_once(labelled, 2) == 2
+    monkeypatch.setattr(models, "ROWS_AT_ONCE", 3999)
+    assert models.at_once(labelled, 2) == 1
+    monkeypatch.setattr(models, "ROWS_AT_ONCE", 10)
+    assert models.at_once(labelled, 2) == 1 and models.at_once(labelled.limit(0), 3) == 3
+
+
+def test_both_areas_of_the_evaluator_from_one_curve(fitted, parts):
+    for model in fitted.values():
+        scored = model.transform(parts[1])
+        found = models.evaluator_areas(scored)
+        assert found == {m: pytest.approx(models.make_evaluator(m).evaluate(scored), abs=1e-12) for m in ("areaUnderPR", "areaUnderROC")}
