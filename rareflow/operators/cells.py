@@ -81,19 +81,28 @@ def rows_by_cell(rows: DataFrame, features: Sequence[str], estimators: Sequence,
 
 def _nearest(rows: DataFrame, features: Sequence[str], values: Sequence[int], bins: int) -> list[list[float]] | None:
     """For each feature its approximate quantiles in ascending order, an empty list if it has at most ``bins`` values; None if one is not finite."""
+    found = values_or_quantiles(rows, features, values, bins)
+    return None if found is None else [[] if exact else near for near, exact in found]
+
+
+def values_or_quantiles(rows: DataFrame, features: Sequence[str], values: Sequence[int], bins: int) -> list[tuple[list[float], bool]] | None:
+    """For each feature its values in ascending order and True if it has at most ``bins``, else as many approximate quantiles and False.
+
+    ``values`` are the numbers of values, about; None if a value is not finite.
+    """
     shares = [(i + 0.5) / bins for i in range(bins)]
     few, many = ([i for i, v in enumerate(values) if fits(v)] for fits in (lambda v: v <= 2 * bins, lambda v: v > bins / 2))
     wanted = [F.collect_set(col(features[i])).alias(f"all_{i}") for i in few]
     wanted += [F.percentile_approx(col(features[i]), shares, ACCURACY).alias(f"some_{i}") for i in many]
     found = rows.agg(*wanted).first().asDict()
-    nearest = []
+    near = []
     for i in range(len(features)):
         all_, some = (sorted(set(found.get(f"{name}_{i}") or [])) for name in ("all", "some"))
         exact = bool(all_) and len(all_) <= bins
         if not exact and len(some) < 2 or not all(map(math.isfinite, all_ + some)):
             return None
-        nearest.append([] if exact else some)
-    return nearest
+        near.append((all_ if exact else some, exact))
+    return near
 
 
 def weighted_rows(cells: DataFrame, estimator, least: int = 1) -> tuple[DataFrame, str]:

@@ -24,6 +24,7 @@ from rareflow.functions.columns import col, free_name, vector_item
 from rareflow.functions.hashing import row_hash
 from rareflow.operators.cells import fit_cells, rows_by_cell
 from rareflow.operators.curves import curve_areas, curve_points, points_of, score_totals, thinned
+from rareflow.operators.drawn import Binned, binned_rows, fit_drawn
 from rareflow.operators.split import mark_hash_split, parts
 from rareflow.schema import LABEL
 from rareflow.session import staged
@@ -82,10 +83,21 @@ def fit_pipelines(train: DataFrame, features: Sequence[str], estimators: Sequenc
     scaling = Pipeline(stages=scaling_stages(features)).fit(train)
     cells = rows_by_cell(train, features, estimators)
     scaled = scaling.transform(train)
+    binned = binned_rows(scaled, len(features), estimators) if cells is None else None
     longest = _longest_runs(estimators)
     wanted = sorted(set(longest))
-    works = [partial(e.fit, scaled) if cells is None else partial(fit_cells, e, scaling, cells) for e in (estimators[i] for i in wanted)]
-    found = dict(zip(wanted, _fit_each(train.sparkSession, works, parallelism)))
+
+    def fit(estimator):
+        if binned is not None:
+            return fit_drawn(estimator, binned, train.sparkSession)
+        return estimator.fit(scaled) if cells is None else fit_cells(estimator, scaling, cells)
+
+    try:
+        together = at_once(train if binned is None else binned, parallelism) if min(parallelism, len(wanted)) > 1 else 1
+        found = dict(zip(wanted, _fit_each(train.sparkSession, [partial(fit, estimators[i]) for i in wanted], together)))
+    finally:
+        if binned is not None:
+            binned.blocks.unpersist()
     fitted = [found[k] if k == i else first_rounds(found[k], estimators[i].getMaxIter()) for i, k in enumerate(longest)]
     return [PipelineModel(stages=[*scaling.stages, model]) for model in fitted]
 
@@ -167,7 +179,7 @@ def _fit_each(spark: SparkSession, works: Sequence[Callable[[], Any]], paralleli
         return pool.map(inheritable_thread_target(spark)(lambda work: work()), works)
 
 
-def at_once(rows: DataFrame, parallelism: int) -> int:
+def at_once(rows: DataFrame | Binned, parallelism: int) -> int:
     """How many fits run at a time: each keeps the rows in memory, and one alone has work for all cores where these are many."""
     return max(1, min(parallelism, ROWS_AT_ONCE // max(rows.count(), 1)))
 
@@ -199,7 +211,7 @@ def tune_by_split(
     marked = mark_hash_split(train, ratio, row_hash(train.columns, seed) if h is None else h, "_part")
     fitting, judged = (staged(part, "search") for part in parts(marked, "_part"))
     candidates = make_grid(estimator, grid)
-    fitted = fit_pipelines(fitting, features, [estimator.copy(c) for c in candidates], at_once(fitting, parallelism))
+    fitted = fit_pipelines(fitting, features, [estimator.copy(c) for c in candidates], parallelism)
     found = areas_by_model(score_by_models({str(i): m for i, m in enumerate(fitted)}, judged, [label]), label, bins)
     areas = [found[str(i)] for i in range(len(candidates))]
     best = candidates[areas.index(max(areas))]

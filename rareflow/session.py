@@ -53,6 +53,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 _job: ContextVar[str | None] = ContextVar("rareflow_job", default=None)
 
 
+def stage_path(spark: SparkSession, label: str) -> str:
+    """A fresh path for files of a stage, which go with the job's folder if there is a job."""
+    job = _job.get()
+    return scratch_path(spark, label if job is None else f"{job}/{label}")
+
+
 @contextmanager
 def job_stages(spark: SparkSession) -> Iterator[None]:
     """All that is staged inside belongs to one job and is removed at its end, however that ends.
