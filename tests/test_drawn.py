@@ -19,7 +19,7 @@ def rows(spark):
 
 @pytest.fixture
 def small(monkeypatch):
-    monkeypatch.setattr(drawn, "LEAST_ROWS", 0)
+    monkeypatch.setattr(drawn, "LEAST_ROWS", dict.fromkeys(drawn.LEAST_ROWS, 0))
 
 
 def trees(model):
@@ -109,5 +109,5 @@ def test_what_is_left_to_mllib(spark, rows, small, monkeypatch):
     assert drawn.binned_rows(scaled, 3, [mine, models.make_estimator("gbt", {"subsamplingRate": 0.8, "maxBins": 8})]) is None
     assert drawn.binned_rows(scaled.withColumn("Class", F.lit(2)), 3, [mine]) is None
     assert drawn.binned_rows(scaled.where("false"), 3, [mine]) is None
-    monkeypatch.setattr(drawn, "LEAST_ROWS", 30_001)
+    monkeypatch.setattr(drawn, "LEAST_ROWS", {models.GBTClassifier: 30_001})
     assert drawn.binned_rows(scaled, 3, [mine]) is None
