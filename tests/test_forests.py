@@ -87,3 +87,10 @@ def test_weights_that_do_not_follow_from_the_label_are_left_to_mllib(rows, small
     assert drawn.binned_rows(scaled.withColumn("w", F.col("Class") + 0.5), 3, [estimator]).weights == (0.5, 1.5)
     for w in (F.col("a") + 1, F.when(F.col("a") > 1, F.lit(2.0)), F.lit(0.0)):
         assert drawn.binned_rows(scaled.withColumn("w", w), 3, [estimator]) is None
+
+
+def test_small_forests_are_left_to_mllib(rows, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(drawn, "LEAST_ROWS", {models.RandomForestClassifier: 150_000})
+    scaled = models.Pipeline(stages=models.scaling_stages(FEATURES)).fit(rows).transform(rows)
+    two, three = (models.make_estimator("rf", {"numTrees": n}) for n in (2, 3))
+    assert drawn.binned_rows(scaled, 3, [two]) is None and drawn.binned_rows(scaled, 3, [two, three]) is not None
